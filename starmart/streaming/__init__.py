@@ -1,0 +1 @@
+"""Intentionally empty: every source, operator and report here is a batch job."""
