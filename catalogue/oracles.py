@@ -13,7 +13,7 @@ ORACLES: dict[str, str] = {}
 # Fixed values of the noise, see its operator.
 PRIME = 2**31 - 1
 LEVEL = int(0.3 * PRIME)
-NULL_SHARE = int(0.5 * PRIME)
+NULL_SHARE = 500
 
 COLUMNS = {
     "users": ["user_id", "name", "email", "country", "address", "signup_date"],
@@ -82,17 +82,13 @@ def _all_rules(table: str) -> dict[str, str]:
     return {**known, **above, **RULES[table]}
 
 
-def _draw(number: int) -> str:
-    stretched = f"((h * 48271 + {number * 69621}) % {PRIME})"
-    return f"(({stretched} * {stretched} + {stretched}) % {PRIME})"
-
-
-def _noisy(table: str, keys: list[str], bad: str = f"pick < {LEVEL}") -> str:
+def _noisy(table: str, keys: list[str], bad: str = f"draw < {LEVEL}") -> str:
     folded = "CAST(0 AS BIGINT)"
     for key in keys:
         folded = f"(({folded} * 31 + {key} % {PRIME}) % {PRIME})"
     columns = COLUMNS[table]
-    number = "list_extract([-1, -99, 0], CAST(v % 3 AS INTEGER) + 1)"
+    number = "list_extract([-1, -99, 0], CAST(variant % 3 AS INTEGER) + 1)"
+    old_date = "DATE '2025-01-01' - (CAST(variant * 7919 % 146000 AS INTEGER) + 36500)"
     wrong = {
         "user_id": f"CAST({number} AS BIGINT)",
         "product_id": f"CAST({number} AS BIGINT)",
@@ -100,19 +96,21 @@ def _noisy(table: str, keys: list[str], bad: str = f"pick < {LEVEL}") -> str:
         "quantity": f"CAST({number} AS INTEGER)",
         "price": f"CAST({number} AS DOUBLE)",
         "email": "replace(email, '@', '_at_')",
-        "signup_date": "DATE '2025-01-01' - CAST(v % 146000 + 36500 AS INTEGER)",
-        "transaction_date": "DATE '2025-01-01' - CAST(v % 146000 + 36500 AS INTEGER)",
+        "signup_date": old_date,
+        "transaction_date": old_date,
     }
     cells = ", ".join(
         f"CASE WHEN NOT ({bad}) OR cell <> {i} THEN {c} "
-        f"WHEN to_null < {NULL_SHARE} THEN NULL ELSE {wrong.get(c, chr(39) * 2)} END AS {c}"
+        f"WHEN share < {NULL_SHARE} THEN NULL ELSE {wrong.get(c, chr(39) * 2)} END AS {c}"
         for i, c in enumerate(columns)
     )
+    width = len(columns)
     return f"""
         SELECT {cells} FROM (
-            SELECT *, {_draw(1)} AS pick, {_draw(2)} % {len(columns)} AS cell,
-                   {_draw(3)} AS to_null, {_draw(4)} AS v
-            FROM (SELECT *, {folded} AS h FROM raw_{table}))"""
+            SELECT *, draw % {width} AS cell, draw // {width} % 1000 AS share,
+                   draw // {width * 1000} AS variant
+            FROM (SELECT *, h * (h + 1) % {PRIME} AS draw
+                  FROM (SELECT *, {folded} * 48271 % {PRIME} AS h FROM raw_{table})))"""
 
 
 def _text_dates(table: str, key: str, col: str) -> str:
@@ -405,7 +403,7 @@ for _table in COLUMNS:
 _CTES["exact_users"] = _noisy(
     "users",
     ["user_id"],
-    "row_number() OVER (ORDER BY pick, user_id) <= floor(0.03 * COUNT(*) OVER ())",
+    "row_number() OVER (ORDER BY draw, user_id) <= floor(0.03 * COUNT(*) OVER ())",
 )
 oracle("inject_noise_exact", f"SELECT {_select(U)} FROM exact_users")
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from starmart import operators as op
 from starmart import sinks, sources
 from starmart.functions import parsed_date
-from starmart.plans import REPORTS, run_medallion, run_sql_reports, scratch_folder
+from starmart.plans import REFERENCES, REPORTS, run_medallion, run_sql_reports, scratch_folder
 from starmart.sources import Star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,45 +63,42 @@ def _rounded(df: DataFrame) -> DataFrame:
 # --- inputs -----------------------------------------------------------------------------
 
 
-def noisy_star(spark: SparkSession, folder: str) -> Star:
-    star = sources.retail_star(spark, folder)
-    return Star(
-        *[
-            op.inject_noise(
-                table,
-                NOISE_KEYS[name],
-                level=NOISE_LEVEL,
-                null_share=NOISE_NULL_SHARE,
-                today=NOISE_TODAY,
-            )
-            for name, table in star._asdict().items()
-        ]
+def raw(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    return sources.retail_table(spark, folder, table)
+
+
+def noisy(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    return op.inject_noise(
+        raw(spark, folder, table),
+        NOISE_KEYS[table],
+        level=NOISE_LEVEL,
+        null_share=NOISE_NULL_SHARE,
+        today=NOISE_TODAY,
     )
 
 
-def silver_star(spark: SparkSession, folder: str) -> Star:
-    return _cleaned(sources.retail_star(spark, folder))
+def _noisy_tables(spark: SparkSession, folder: str) -> list[tuple[str, DataFrame]]:
+    return [(table, noisy(spark, folder, table)) for table in NOISE_KEYS]
 
 
-def _cleaned(star: Star) -> Star:
-    users, products = op.clean(star.users, "users"), op.clean(star.products, "products")
-    transactions = op.enforce_fks(
-        op.clean(star.transactions, "transactions"), {"user_id": users, "product_id": products}
-    )
-    return Star(users, products, transactions)
+def silver(spark: SparkSession, folder: str, table: str, source=raw) -> DataFrame:
+    """The cleaned table, references not yet enforced."""
+    return op.clean(source(spark, folder, table), table)
+
+
+def silver_star(spark: SparkSession, folder: str, source=raw) -> Star:
+    """The cleaned tables; transactions refer to cleaned users and products only."""
+    tables = {name: silver(spark, folder, name, source) for name in Star._fields}
+    references = {key: tables[dim] for key, dim in REFERENCES.items()}
+    tables["transactions"] = op.enforce_fks(tables["transactions"], references)
+    return Star(**tables)
 
 
 def _dates_as_text(df: DataFrame, key: str, col: str) -> DataFrame:
     """The date as raw files may hold it: bad text, nothing, empty, too old or in order."""
-    kind = F.col(key) % 5
-    text = (
-        F.when(kind == 0, "invalid-date")
-        .when(kind == 1, F.lit(None))
-        .when(kind == 2, "")
-        .when(kind == 3, "1899-01-01")
-        .otherwise(F.col(col).cast("string"))
-    )
-    return df.withColumn(col, text)
+    text = f"""CASE {key} % 5 WHEN 0 THEN 'invalid-date' WHEN 1 THEN NULL WHEN 2 THEN ''
+        WHEN 3 THEN '1899-01-01' ELSE CAST({col} AS STRING) END"""
+    return df.withColumn(col, F.expr(text))
 
 
 def _rule(table: str, *columns: str) -> list[op.Rule]:
@@ -114,14 +111,14 @@ def _rule(table: str, *columns: str) -> list[op.Rule]:
 @query
 def scan_csv_bronze(spark, folder):
     path = f"{scratch_folder(spark)}/users.csv"
-    sinks.write_csv(noisy_star(spark, folder).users, path)
+    sinks.write_csv(noisy(spark, folder, "users"), path)
     return sources.read_bronze(spark, path, "users")
 
 
 @query
 def scan_csv_dateformat(spark, folder):
     path = f"{scratch_folder(spark)}/transactions.csv"
-    sinks.write_csv(noisy_star(spark, folder).transactions, path)
+    sinks.write_csv(noisy(spark, folder, "transactions"), path)
     rows = sources.read_bronze(spark, path, "transactions", date_format="yyyy-MM-dd")
     return _plain(rows)
 
@@ -136,7 +133,7 @@ def scan_parquet_silver(spark, folder):
 @query
 def scan_partitioned_products(spark, folder):
     path = f"{scratch_folder(spark)}/products"
-    products = silver_star(spark, folder).products
+    products = silver(spark, folder, "products")
     sinks.write_parquet(products, path, partition_by="category")
     read = sources.read_silver(spark, path, sources.PRODUCTS)
     return read.where(F.col("category").isin(PRUNED_CATEGORIES))
@@ -160,21 +157,21 @@ def sql_report(spark, folder):
 @query
 def sink_parquet_roundtrip(spark, folder):
     path = f"{scratch_folder(spark)}/users"
-    sinks.write_parquet(silver_star(spark, folder).users, path)
+    sinks.write_parquet(silver(spark, folder, "users"), path)
     return _plain(sources.read_silver(spark, path))
 
 
 @query
 def sink_parquet_codec(spark, folder):
     path = f"{scratch_folder(spark)}/products"
-    sinks.write_parquet(silver_star(spark, folder).products, path, compression="uncompressed")
+    sinks.write_parquet(silver(spark, folder, "products"), path, compression="uncompressed")
     return sources.read_silver(spark, path)
 
 
 @query
 def sink_partitioned(spark, folder):
     path = f"{scratch_folder(spark)}/products"
-    sinks.write_parquet(silver_star(spark, folder).products, path, partition_by="category")
+    sinks.write_parquet(silver(spark, folder, "products"), path, partition_by="category")
     return sources.read_silver(spark, path, sources.PRODUCTS)
 
 
@@ -200,7 +197,7 @@ def sink_gold_parquet(spark, folder):
 @query
 def sink_csv_roundtrip(spark, folder):
     path = f"{scratch_folder(spark)}/products.csv"
-    sinks.write_csv(silver_star(spark, folder).products, path)
+    sinks.write_csv(silver(spark, folder, "products"), path)
     return sources.read_bronze(spark, path, "products")
 
 
@@ -215,75 +212,75 @@ def sink_run_metrics_json(spark, folder):
 
 @query
 def clean_null_ids(spark, folder):
-    rows = noisy_star(spark, folder).transactions
+    rows = noisy(spark, folder, "transactions")
     return _plain(op.clean(rows, op.known_keys(rows)))
 
 
 @query
 def clean_positive_ids(spark, folder):
-    rows = noisy_star(spark, folder).transactions
+    rows = noisy(spark, folder, "transactions")
     return _plain(op.clean(rows, op.positive_keys(rows)))
 
 
 @query
 def clean_quantity(spark, folder):
-    rows = noisy_star(spark, folder).transactions
+    rows = noisy(spark, folder, "transactions")
     return _plain(op.clean(rows, _rule("transactions", "quantity")))
 
 
 @query
 def clean_transaction_date(spark, folder):
-    raw = sources.retail_star(spark, folder).transactions
-    rows = _dates_as_text(raw, "transaction_id", "transaction_date")
+    rows = raw(spark, folder, "transactions")
+    rows = _dates_as_text(rows, "transaction_id", "transaction_date")
     return op.clean(rows, _rule("transactions", "transaction_date"))
 
 
 @query
 def clean_price(spark, folder):
-    return op.clean(noisy_star(spark, folder).products, _rule("products", "price"))
+    return op.clean(noisy(spark, folder, "products"), _rule("products", "price"))
 
 
 @query
 def clean_product_text(spark, folder):
     rules = _rule("products", "name", "category", "description")
-    return op.clean(noisy_star(spark, folder).products, rules)
+    return op.clean(noisy(spark, folder, "products"), rules)
 
 
 @query
 def clean_user_text(spark, folder):
     rules = _rule("users", "name", "country", "address")
-    return _plain(op.clean(noisy_star(spark, folder).users, rules))
+    return _plain(op.clean(noisy(spark, folder, "users"), rules))
 
 
 @query
 def clean_email(spark, folder):
-    return _plain(op.clean(noisy_star(spark, folder).users, _rule("users", "email")))
+    return _plain(op.clean(noisy(spark, folder, "users"), _rule("users", "email")))
 
 
 @query
 def clean_signup_date(spark, folder):
-    raw = sources.retail_star(spark, folder).users
-    return op.clean(_dates_as_text(raw, "user_id", "signup_date"), _rule("users", "signup_date"))
+    rows = raw(spark, folder, "users")
+    return op.clean(_dates_as_text(rows, "user_id", "signup_date"), _rule("users", "signup_date"))
 
 
 @query
 def clean_users(spark, folder):
-    return _plain(op.clean(noisy_star(spark, folder).users, "users"))
+    return _plain(op.clean(noisy(spark, folder, "users"), "users"))
 
 
 @query
 def clean_products(spark, folder):
-    return op.clean(noisy_star(spark, folder).products, "products")
+    return op.clean(noisy(spark, folder, "products"), "products")
 
 
 @query
 def clean_transactions(spark, folder):
-    return _plain(op.clean(noisy_star(spark, folder).transactions, "transactions"))
+    return _plain(op.clean(noisy(spark, folder, "transactions"), "transactions"))
 
 
 @query
 def reject_predicates(spark, folder):
-    users = noisy_star(spark, folder).users
+    users = noisy(spark, folder, "users")
     return _plain(
         users.where("user_id IS NULL OR user_id <= 0 OR email IS NULL OR email NOT LIKE '%@%'")
     )
@@ -293,17 +290,19 @@ def reject_predicates(spark, folder):
 def quality_report(spark, folder):
     reports = [
         op.quality_report(table, name).select(F.lit(name).alias("table_name"), "*")
-        for name, table in noisy_star(spark, folder)._asdict().items()
+        for name, table in _noisy_tables(spark, folder)
     ]
     return reports[0].unionByName(reports[1]).unionByName(reports[2])
 
 
 @query
 def try_parse_date(spark, folder):
-    raw = sources.retail_star(spark, folder).transactions
-    rows = _dates_as_text(raw, "transaction_id", "transaction_date")
-    parsed = parsed_date(F.col("transaction_date")).alias("parsed_date")
-    return _plain(rows.select("transaction_id", "transaction_date", parsed))
+    rows = raw(spark, folder, "transactions")
+    rows = _dates_as_text(rows, "transaction_id", "transaction_date")
+    parsed = parsed_date("transaction_date", T.StringType())
+    return _plain(
+        rows.selectExpr("transaction_id", "transaction_date", f"{parsed} AS parsed_date")
+    )
 
 
 # --- integrity and joins ----------------------------------------------------------------
@@ -311,27 +310,25 @@ def try_parse_date(spark, folder):
 
 @query
 def fk_enforce_users(spark, folder):
-    noisy = noisy_star(spark, folder)
-    users = op.clean(noisy.users, "users")
-    return _plain(op.enforce_fk(noisy.transactions, users, "user_id"))
+    users = silver(spark, folder, "users", source=noisy)
+    return _plain(op.enforce_fk(noisy(spark, folder, "transactions"), users, "user_id"))
 
 
 @query
 def fk_enforce_products(spark, folder):
-    noisy = noisy_star(spark, folder)
-    products = op.clean(noisy.products, "products")
-    return _plain(op.enforce_fk(noisy.transactions, products, "product_id"))
+    products = silver(spark, folder, "products", source=noisy)
+    return _plain(op.enforce_fk(noisy(spark, folder, "transactions"), products, "product_id"))
 
 
 @query
 def fk_enforce_both(spark, folder):
-    return _plain(_cleaned(noisy_star(spark, folder)).transactions)
+    return _plain(silver_star(spark, folder, source=noisy).transactions)
 
 
 @query
 def fk_orphans(spark, folder):
-    noisy = noisy_star(spark, folder)
-    return _plain(op.orphans(noisy.transactions, op.clean(noisy.users, "users"), "user_id"))
+    users = silver(spark, folder, "users", source=noisy)
+    return _plain(op.orphans(noisy(spark, folder, "transactions"), users, "user_id"))
 
 
 def _lookup(spark, folder, sort_merge):
@@ -438,26 +435,25 @@ def sales_moving_average(spark, folder):
 
 @query
 def inject_noise_users(spark, folder):
-    return _plain(noisy_star(spark, folder).users)
+    return _plain(noisy(spark, folder, "users"))
 
 
 @query
 def inject_noise_products(spark, folder):
-    return noisy_star(spark, folder).products
+    return noisy(spark, folder, "products")
 
 
 @query
 def inject_noise_transactions(spark, folder):
-    return _plain(noisy_star(spark, folder).transactions)
+    return _plain(noisy(spark, folder, "transactions"))
 
 
 @query
 def inject_noise_exact(spark, folder):
-    users = sources.retail_star(spark, folder).users
-    noisy = op.inject_noise(
-        users, "user_id", level=EXACT_LEVEL, exact=True, today=NOISE_TODAY
+    users = raw(spark, folder, "users")
+    return _plain(
+        op.inject_noise(users, "user_id", level=EXACT_LEVEL, exact=True, today=NOISE_TODAY)
     )
-    return _plain(noisy)
 
 
 # --- run metrics ------------------------------------------------------------------------
@@ -501,7 +497,7 @@ def group_runs(spark, folder):
 @query
 def medallion_end_to_end(spark, folder):
     base = scratch_folder(spark)
-    for name, table in noisy_star(spark, folder)._asdict().items():
+    for name, table in _noisy_tables(spark, folder):
         sinks.write_csv(table, f"{base}/bronze/{name}.csv")
     reports = run_medallion(spark, f"{base}/bronze", f"{base}/silver", f"{base}/gold")
     return reports["performance_analysis_by_country"]

@@ -1,21 +1,21 @@
-"""Column expressions shared by the operators; all of them run inside the JVM."""
+"""Expressions shared by the operators; all of them run inside the JVM."""
 
-from starmart.functions.dates import as_date, parsed_date
-from starmart.functions.hashing import HASH_RANGE, draw, row_hash
+from starmart.functions.dates import parsed_date
+from starmart.functions.hashing import DRAW_RANGE, row_draw
 from starmart.functions.numbers import MONEY, SECONDS, exact_sum, whole_number
-from starmart.functions.predicates import all_of, positive, present
+from starmart.functions.predicates import all_of, known, positive, present, quoted
 
 __all__ = [
-    "HASH_RANGE",
+    "DRAW_RANGE",
     "MONEY",
     "SECONDS",
     "all_of",
-    "as_date",
-    "draw",
     "exact_sum",
+    "known",
     "parsed_date",
     "positive",
     "present",
-    "row_hash",
+    "quoted",
+    "row_draw",
     "whole_number",
 ]

@@ -1,24 +1,20 @@
-"""Dates from columns that may hold text, dates or timestamps."""
+"""Dates from columns that may hold text, dates or timestamps; as SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
 from pyspark.sql import types as T
 
+from starmart.functions.predicates import quoted
 
-def as_date(col: Column) -> Column:
-    """The column as a date; text that is no date raises under ANSI mode."""
-    return col.cast("date")
 
-
-def parsed_date(col: Column, dtype: T.DataType | None = None) -> Column:
+def parsed_date(name: str, dtype: T.DataType) -> str:
     """The column as a date, NULL where it cannot be read as one.
 
-    A column that is already a date is returned as it is, which keeps comparisons on it
-    eligible for pushdown into the file scan.
+    A column that is already a date is used as it is, which keeps comparisons on it eligible
+    for pushdown into the file scan.
     """
     if isinstance(dtype, T.DateType):
-        return col
+        return quoted(name)
     if isinstance(dtype, T.NumericType):
-        col = col.cast("string")
-    return col.try_cast("date")
+        return f"try_cast(CAST({quoted(name)} AS STRING) AS DATE)"
+    return f"try_cast({quoted(name)} AS DATE)"

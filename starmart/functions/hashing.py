@@ -1,33 +1,29 @@
-"""Repeatable pseudo-random draws computed from a row's key.
+"""Repeatable pseudo-random draws computed from a row's key; as SQL text.
 
-Plain BIGINT arithmetic modulo a prime: a row gets the same draws on every attempt of a
-task, whatever the partitioning, and any SQL engine can reproduce them.
+Plain BIGINT arithmetic modulo a prime: a row gets the same draw on every attempt of a
+task, whatever the partitioning, and any SQL engine can reproduce it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from starmart.functions.predicates import quoted
 
-HASH_RANGE = 2**31 - 1
+DRAW_RANGE = 2**31 - 1
 
 _FOLD = 31
 _STRETCH = 48271
-_STEP = 69621
 
 
-def row_hash(keys: Sequence[Column], seed: int = 0) -> Column:
-    """Fold integral key columns into ``[0, HASH_RANGE)``; a NULL key counts as 0."""
-    folded = F.lit(seed % HASH_RANGE).cast("bigint")
-    for key in keys:
-        digit = F.pmod(F.coalesce(key.cast("bigint"), F.lit(0)), F.lit(HASH_RANGE))
-        folded = (folded * _FOLD + digit) % HASH_RANGE
-    return folded
+def row_draw(keys: Sequence[str], seed: int = 0) -> str:
+    """A draw in ``[0, DRAW_RANGE)`` from integral key columns; a NULL key counts as 0."""
 
+    def fold(hashed: str, key: str) -> str:
+        digit = f"pmod(coalesce(CAST({quoted(key)} AS BIGINT), 0L), {DRAW_RANGE}L)"
+        return f"({hashed} * {_FOLD}L + {digit}) % {DRAW_RANGE}L"
 
-def draw(hashed: Column, number: int) -> Column:
-    """The ``number``-th draw of a row, in ``[0, HASH_RANGE)``."""
-    stretched = (hashed * _STRETCH + number * _STEP) % HASH_RANGE
-    return (stretched * stretched + stretched) % HASH_RANGE
+    folded = reduce(lambda hashed, key: f"({fold(hashed, key)})", keys, f"{seed % DRAW_RANGE}L")
+    stretched = f"({folded} * {_STRETCH}L % {DRAW_RANGE}L)"
+    return f"{stretched} * ({stretched} + 1L) % {DRAW_RANGE}L"

@@ -19,11 +19,12 @@ def exact_sum(col: Column, unit: T.DecimalType) -> Column:
     return F.sum(col.cast(unit)).cast("double")
 
 
-def whole_number(col: Column) -> Column:
-    """Text such as ``7`` or ``7.0`` as a BIGINT, NULL for anything that is no whole number.
+def whole_number(name: str, dtype: T.IntegralType) -> str:
+    """SQL text: ``7`` or ``7.0`` as an integer, NULL for anything that is no whole number.
 
     A writer that stores a missing key as NaN turns the whole column into floats, so keys
     arrive as ``7.0`` and would be lost by a reader that expects integers.
     """
-    number = col.try_cast(T.DecimalType(38, 9))
-    return F.when(number == F.floor(number), number).try_cast("bigint")
+    number = f"try_cast(`{name}` AS DECIMAL(38, 9))"
+    whole = f"CASE WHEN {number} = floor({number}) THEN {number} END"
+    return f"try_cast({whole} AS {dtype.simpleString()})"

@@ -1,27 +1,36 @@
-"""Boolean expressions used by the quality rules."""
+"""Conditions as SQL text, ready for ``where`` and easy to read in a plan or a log.
+
+A rule set is one text: it reaches Spark in a single call, however many rules it has.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def present(col: Column) -> Column:
+def quoted(name: str) -> str:
+    """A column name that is safe inside SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def known(name: str) -> str:
+    return f"{quoted(name)} IS NOT NULL"
+
+
+def present(name: str) -> str:
     """Neither NULL nor the empty string; blanks count as text."""
-    return col.isNotNull() & (col != "")
+    return f"{known(name)} AND {quoted(name)} <> ''"
 
 
-def positive(col: Column, dtype: T.DataType | None = None) -> Column:
+def positive(name: str, dtype: T.DataType | None = None) -> str:
     """Not NULL, above zero and a number (Spark orders NaN above every number)."""
-    ok = col.isNotNull() & (col > 0)
+    above = f"{known(name)} AND {quoted(name)} > 0"
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        ok = ok & ~F.isnan(col)
-    return ok
+        above += f" AND NOT isnan({quoted(name)})"
+    return above
 
 
-def all_of(conditions: Iterable[Column]) -> Column:
-    return reduce(lambda left, right: left & right, conditions, F.lit(True))
+def all_of(conditions: Iterable[str]) -> str:
+    return " AND ".join(f"({condition})" for condition in conditions) or "true"

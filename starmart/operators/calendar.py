@@ -7,12 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.functions import as_date
-
 
 def date_bounds(df: DataFrame, col: str) -> DataFrame:
     """One row with the first and last day; both NULL for an empty table."""
-    day = as_date(F.col(col))
+    day = F.col(col).cast("date")
     return df.agg(F.min(day).alias("min_date"), F.max(day).alias("max_date"))
 
 

@@ -9,14 +9,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.functions import HASH_RANGE, draw, row_hash
+from starmart.functions import DRAW_RANGE, quoted, row_draw
 
 # What a bad number, a bad address and a bad date look like.
 BAD_NUMBERS = (-1, -99, 0)
 AT_SIGN, BAD_AT_SIGN = "@", "_at_"
 BAD_DATE_DAYS_AGO = (36500, 182500)  # 100 to 500 years
 
-_PICK, _COLUMN, _NULL, _VARIANT = 1, 2, 3, 4
+_SHARE_STEPS = 1000
+_SPREAD = 7919
 _SLICE = 2**16
 
 
@@ -31,57 +32,54 @@ def inject_noise(
 ) -> DataFrame:
     """Damage one cell in a ``level`` share of the rows.
 
-    ``key`` names integral columns that tell rows apart; all draws derive from it, so the
-    result is repeatable and needs no shuffle. The column is drawn evenly. The cell becomes
-    NULL in a ``null_share`` of cases, otherwise a value that is wrong for its column.
+    ``key`` names integral columns that tell rows apart; one draw derived from it decides
+    everything, so the result is repeatable and needs no shuffle. The column is drawn evenly.
+    The cell becomes NULL in a ``null_share`` (to a thousandth) of cases, otherwise a value
+    that is wrong for its column.
 
     By default each row is picked on its own, so the count is ``level`` of the rows on
     average. ``exact`` damages exactly ``int(rows * level)`` rows, at the price of two more
     passes that count rows by draw.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    hashed = df.withColumn("_hash", row_hash([F.col(k) for k in keys], seed))
-    drawn = hashed.withColumn("_pick", draw(F.col("_hash"), _PICK))
+    schema = df.schema
+    drawn = df.select("*", F.expr(row_draw(keys, seed)).alias("_draw"))
     if exact:
         drawn = _pick_exactly(drawn, level, keys)
     else:
-        drawn = drawn.withColumn("_bad", F.col("_pick") < int(level * HASH_RANGE))
-
-    width = len(df.columns)
-    drawn = drawn.withColumn(
-        "_cell", F.when(F.col("_bad"), (draw(F.col("_hash"), _COLUMN) % width).cast("int"))
-    ).withColumn("_variant", F.when(F.col("_bad"), draw(F.col("_hash"), _VARIANT)))
-    to_null = draw(F.col("_hash"), _NULL) < int(null_share * HASH_RANGE)
+        drawn = drawn.select("*", F.expr(f"_draw < {int(level * DRAW_RANGE)}L").alias("_bad"))
 
+    # The draw's digits: the column, then NULL or not, then which wrong value.
+    width = len(schema.fields)
+    to_null = f"_draw div {width} % {_SHARE_STEPS} < {round(null_share * _SHARE_STEPS)}"
+    variant = f"_draw div {width * _SHARE_STEPS}"
     cells = []
-    for position, field in enumerate(df.schema.fields):
-        wrong = _wrong_value(field, F.col("_variant"), today).try_cast(field.dataType)
-        damaged = F.when(~to_null, wrong)
-        cells.append(
-            F.when(F.col("_cell") == position, damaged)
-            .otherwise(F.col(field.name))
-            .alias(field.name)
-        )
-    return drawn.select(*cells)
-
-
-def _wrong_value(field: T.StructField, variant: Column, today: date | None) -> Column:
+    for position, field in enumerate(schema.fields):
+        name, dtype = quoted(field.name), field.dataType.simpleString()
+        wrong = f"try_cast({_wrong_value(field, variant, today)} AS {dtype})"
+        damaged = f"CASE WHEN {to_null} THEN NULL ELSE {wrong} END"
+        hit = f"_bad AND _draw % {width} = {position}"
+        cells.append(f"CASE WHEN {hit} THEN {damaged} ELSE {name} END AS {name}")
+    return drawn.selectExpr(*cells)
+
+
+def _wrong_value(field: T.StructField, variant: str, today: date | None) -> str:
     name = field.name
     is_number = isinstance(field.dataType, T.NumericType)
-    bad_number = F.element_at(
-        F.array(*map(F.lit, BAD_NUMBERS)), (variant % len(BAD_NUMBERS) + 1).cast("int")
-    )
+    numbers = ", ".join(map(str, BAD_NUMBERS))
+    bad_number = f"element_at(array({numbers}), CAST({variant} % {len(BAD_NUMBERS)} AS INT) + 1)"
     if "price" in name or "quantity" in name:
         return bad_number
     if "email" in name:
-        return F.replace(F.col(name), F.lit(AT_SIGN), F.lit(BAD_AT_SIGN))
+        return f"replace({quoted(name)}, '{AT_SIGN}', '{BAD_AT_SIGN}')"
     if "date" in name and not is_number:
         low, high = BAD_DATE_DAYS_AGO
-        start = F.lit(today) if today else F.current_date()
-        return F.date_sub(start, (variant % (high - low) + low).cast("int"))
+        days = f"CAST({variant} * {_SPREAD} % {high - low} AS INT) + {low}"
+        start = f"DATE '{today:%Y-%m-%d}'" if today else "current_date()"
+        return f"date_sub({start}, {days})"
     if "_id" in name or is_number:
         return bad_number
-    return F.lit("")
+    return "''"
 
 
 def _pick_exactly(drawn: DataFrame, level: float, keys: Sequence[str]) -> DataFrame:
@@ -92,17 +90,20 @@ def _pick_exactly(drawn: DataFrame, level: float, keys: Sequence[str]) -> DataFr
     counter per slice or per draw (65,536 at most) and the rows that share the last draw,
     which are told apart by their key.
     """
-    slices = drawn.groupBy(F.floor(F.col("_pick") / _SLICE).alias("at")).count()
+    in_slice = F.expr(f"_draw div {_SLICE}")
     wanted = drawn.agg(F.floor(F.count("*") * F.lit(level)).cast("bigint")).scalar()
-    cut_slice, still = _where_reached(slices, wanted)
+    cut_slice, still = _where_reached(drawn.groupBy(in_slice.alias("at")).count(), wanted)
 
-    inside = drawn.where(F.floor(F.col("_pick") / _SLICE) == cut_slice)
-    last, missing = _where_reached(inside.groupBy(F.col("_pick").alias("at")).count(), still)
+    inside = drawn.where(in_slice == cut_slice)
+    last, missing = _where_reached(inside.groupBy(F.col("_draw").alias("at")).count(), still)
 
-    below = drawn.withColumn("_bad", F.coalesce(F.col("_pick") < last, F.lit(False)))
-    place = F.row_number().over(Window.partitionBy("_pick").orderBy(*keys))
-    at_last = below.where(F.col("_pick") == last).withColumn("_bad", place <= missing)
-    return below.where(~F.coalesce(F.col("_pick") == last, F.lit(False))).unionByName(at_last)
+    draw = F.col("_draw")
+    others = drawn.where(~draw.eqNullSafe(last)).select(
+        "*", F.coalesce(draw < last, F.lit(False)).alias("_bad")
+    )
+    place = F.row_number().over(Window.partitionBy("_draw").orderBy(*keys))
+    at_last = drawn.where(draw == last).select("*", (place <= missing).alias("_bad"))
+    return others.unionByName(at_last)
 
 
 def _where_reached(counts: DataFrame, wanted: Column) -> tuple[Column, Column]:

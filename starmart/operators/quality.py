@@ -4,48 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
-from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.functions import all_of, parsed_date, positive, present
+from starmart.functions import all_of, known, parsed_date, positive, present, quoted
 
 # Dates must be later than this day, keys are named with this part.
-EARLIEST_EXCLUSIVE = date(2000, 1, 1)
+EARLIEST_EXCLUSIVE = "2000-01-01"
 KEY_MARK = "_id"
 
-Check = Callable[[Column, T.DataType], Column]
+Check = Callable[[str, T.DataType], str]
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A row passes when ``check`` is true for ``column``."""
+    """A row passes when ``check``, SQL text for a column and its type, is true."""
 
     name: str
     column: str
     check: Check
 
-    def condition(self, df: DataFrame) -> Column:
-        return self.check(F.col(self.column), df.schema[self.column].dataType)
+    def condition(self, schema: T.StructType) -> str:
+        return self.check(self.column, schema[self.column].dataType)
 
 
-def _is_known(col: Column, dtype: T.DataType) -> Column:
-    return col.isNotNull()
+def _is_known(name: str, dtype: T.DataType) -> str:
+    return known(name)
 
 
-def _is_present(col: Column, dtype: T.DataType) -> Column:
-    return present(col)
+def _is_present(name: str, dtype: T.DataType) -> str:
+    return present(name)
 
 
-def _is_address(col: Column, dtype: T.DataType) -> Column:
-    return present(col) & col.contains("@")
+def _is_address(name: str, dtype: T.DataType) -> str:
+    return f"{present(name)} AND contains({quoted(name)}, '@')"
 
 
-def _is_recent(col: Column, dtype: T.DataType) -> Column:
-    return parsed_date(col, dtype) > F.lit(EARLIEST_EXCLUSIVE)
+def _is_recent(name: str, dtype: T.DataType) -> str:
+    return f"{parsed_date(name, dtype)} > DATE '{EARLIEST_EXCLUSIVE}'"
 
 
 def _rules(check: Check, suffix: str, *columns: str) -> tuple[Rule, ...]:
@@ -74,11 +73,6 @@ def key_columns(df: DataFrame) -> list[str]:
     return [name for name in df.columns if KEY_MARK in name]
 
 
-def rules_for(df: DataFrame, table: str) -> tuple[Rule, ...]:
-    """The key rules, then the table's own; an unknown table has none of its own."""
-    return known_keys(df) + positive_keys(df) + TABLE_RULES.get(table, ())
-
-
 def known_keys(df: DataFrame) -> tuple[Rule, ...]:
     return _rules(_is_known, "known", *key_columns(df))
 
@@ -87,11 +81,21 @@ def positive_keys(df: DataFrame) -> tuple[Rule, ...]:
     return _rules(positive, "positive", *key_columns(df))
 
 
-def clean(df: DataFrame, rules: str | Iterable[Rule]) -> DataFrame:
-    """Rows that pass every rule, given as rules or as a table name. One filter, no shuffle."""
+def rules_for(df: DataFrame, table: str) -> tuple[Rule, ...]:
+    """The key rules, then the table's own; an unknown table has none of its own."""
+    return known_keys(df) + positive_keys(df) + TABLE_RULES.get(table, ())
+
+
+def _conditions(df: DataFrame, rules: str | Iterable[Rule]) -> dict[str, str]:
     if isinstance(rules, str):
         rules = rules_for(df, rules)
-    return df.where(all_of(rule.condition(df) for rule in rules))
+    schema = df.schema
+    return {rule.name: rule.condition(schema) for rule in rules}
+
+
+def clean(df: DataFrame, rules: str | Iterable[Rule]) -> DataFrame:
+    """Rows that pass every rule, given as rules or as a table name. One filter, no shuffle."""
+    return df.where(all_of(_conditions(df, rules).values()))
 
 
 def quality_report(df: DataFrame, rules: str | Iterable[Rule]) -> DataFrame:
@@ -99,20 +103,21 @@ def quality_report(df: DataFrame, rules: str | Iterable[Rule]) -> DataFrame:
 
     A row that fails several rules is counted under each of them but removed once.
     """
-    rules = list(rules_for(df, rules) if isinstance(rules, str) else rules)
-    passes = [F.coalesce(rule.condition(df), F.lit(False)) for rule in rules]
+    conditions = _conditions(df, rules)
+    counters = ", ".join(
+        f"named_struct('rule', '{name}', 'rows_failing', count_if(({condition}) IS NOT TRUE))"
+        for name, condition in conditions.items()
+    )
     counts = df.agg(
         F.count("*").alias("rows_before"),
-        F.count_if(all_of(passes)).alias("rows_after"),
-        F.array(
-            *[
-                F.struct(F.lit(rule.name).alias("rule"), F.count_if(~ok).alias("rows_failing"))
-                for rule, ok in zip(rules, passes)
-            ]
-        ).alias("rules"),
+        F.expr(f"count_if({all_of(conditions.values())})").alias("rows_after"),
+        F.expr(f"array({counters})").alias("rules"),
     )
-    return counts.select(F.inline("rules"), "rows_before", "rows_after").withColumn(
-        "rows_removed", F.col("rows_before") - F.col("rows_after")
+    return counts.select(
+        F.inline("rules"),
+        "rows_before",
+        "rows_after",
+        (F.col("rows_before") - F.col("rows_after")).alias("rows_removed"),
     )
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.functions import MONEY, as_date
+from starmart.functions import MONEY
 
 _ZERO = F.lit(0).cast("decimal(38,6)")
 
@@ -34,7 +34,8 @@ def daily_sales(transactions: DataFrame, products: DataFrame) -> DataFrame:
 
     A transaction of an unknown product counts as 0 but keeps its day in the series.
     """
-    dated = transactions.withColumn("transaction_date", as_date(F.col("transaction_date")))
+    day = F.col("transaction_date").cast("date")
+    dated = transactions.withColumn("transaction_date", day)
     return (
         _priced(dated, products, "left", "transaction_date")
         .groupBy("transaction_date")

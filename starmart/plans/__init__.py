@@ -1,6 +1,6 @@
 """Compositions: the reports, the layer jobs and their settings."""
 
-from starmart.plans.medallion import run_gold, run_medallion, run_silver
+from starmart.plans.medallion import REFERENCES, run_gold, run_medallion, run_silver
 from starmart.plans.profiles import PROFILES, Profile, profile
 from starmart.plans.reports import REPORTS
 from starmart.plans.scratch import scratch_folder
@@ -10,6 +10,7 @@ from starmart.plans.storage import persisted
 __all__ = [
     "PROFILES",
     "Profile",
+    "REFERENCES",
     "REPORTS",
     "persisted",
     "profile",

@@ -5,7 +5,7 @@ from starmart.sources.files import (
     read_run_metrics,
     read_silver,
 )
-from starmart.sources.retail import Star, retail_runs, retail_star
+from starmart.sources.retail import Star, retail_runs, retail_table
 from starmart.sources.schemas import (
     PRODUCTS,
     RUNS,
@@ -26,6 +26,6 @@ __all__ = [
     "read_run_metrics",
     "read_silver",
     "retail_runs",
-    "retail_star",
+    "retail_table",
     "with_date_as",
 ]

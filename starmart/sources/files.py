@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.functions import whole_number
+from starmart.functions import quoted, whole_number
 from starmart.sources.schemas import RUNS, TABLES
 
 # Quotes inside a field are doubled, as spreadsheet-style writers do.
@@ -37,17 +36,17 @@ def read_bronze(
     reader = spark.read.schema(scanned).options(**CSV_DIALECT, enforceSchema=False)
     if date_format:
         reader = reader.option("dateFormat", date_format)
-    return reader.csv(path).select(
-        *[_typed(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields]
+    return reader.csv(path).selectExpr(
+        *[f"{_typed(f.name, f.dataType)} AS {quoted(f.name)}" for f in schema.fields]
     )
 
 
-def _typed(col, dtype: T.DataType):
+def _typed(name: str, dtype: T.DataType) -> str:
     if isinstance(dtype, T.IntegralType):
-        return whole_number(col).try_cast(dtype)
+        return whole_number(name, dtype)
     if isinstance(dtype, T.DoubleType):
-        return col.try_cast("double")
-    return col
+        return f"try_cast({quoted(name)} AS DOUBLE)"
+    return quoted(name)
 
 
 def read_silver(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
