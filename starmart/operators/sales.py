@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from starmart.functions import MONEY
 
-_ZERO = F.lit(0).cast("decimal(38,6)")
+_TOTAL = "decimal(38,6)"
 
 
 def _priced(transactions: DataFrame, products: DataFrame, how: str, *keep: str) -> DataFrame:
@@ -26,7 +26,7 @@ def _priced(transactions: DataFrame, products: DataFrame, how: str, *keep: str)
 
 
 def _total(amount: str) -> Column:
-    return F.coalesce(F.sum(amount).cast("decimal(38,6)"), _ZERO)
+    return F.coalesce(F.sum(amount).cast(_TOTAL), F.lit(0).cast(_TOTAL))
 
 
 def daily_sales(transactions: DataFrame, products: DataFrame) -> DataFrame:
