@@ -1,0 +1,100 @@
+import pytest
+from fixtures import rows, shop
+
+from starmart.operators import inject_noise
+from starmart.plans import (
+    PROFILES,
+    REPORTS,
+    persisted,
+    profile,
+    run_gold,
+    run_medallion,
+    run_silver,
+)
+from starmart.sinks import write_csv
+from starmart.sources import TABLES
+
+
+@pytest.fixture(scope="module")
+def bronze(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("bronze"))
+    for name, table in shop(spark)._asdict().items():
+        bad = inject_noise(table, table.columns[0], level=1.0, null_share=1.0)
+        # Every row once as it is and once with a cell missing.
+        write_csv(table.unionAll(bad), f"{folder}/{name}.csv")
+    return folder
+
+
+@pytest.mark.parametrize("date_format, dtype", [("yyyy-MM-dd", "date"), (None, "string")])
+def test_silver_drops_what_is_broken(spark, bronze, tmp_path, date_format, dtype):
+    silver = run_silver(spark, bronze, str(tmp_path), date_format)
+    for name, table in shop(spark)._asdict().items():
+        assert list(map(str, sorted(rows(silver[name])))) == list(
+            map(str, sorted(rows(table.selectExpr(*silver_columns(table, dtype)))))
+        )
+    assert silver["transactions"].columns == list(TABLES["transactions"].fieldNames())
+
+
+def silver_columns(table, dtype):
+    return [f"cast({f.name} AS {dtype}) {f.name}" if "date" in f.name else f.name
+            for f in table.schema]
+
+
+def test_all_layers(spark, bronze, tmp_path):
+    result = run_medallion(spark, bronze, f"{tmp_path}/silver", f"{tmp_path}/gold")
+    assert list(result) == list(REPORTS)
+    expected = {name: rows(report(*shop(spark))) for name, report in REPORTS.items()}
+    assert {name: rows(df) for name, df in result.items()} == expected
+    assert (tmp_path / "gold" / "top_spenders").is_dir()
+
+
+def test_gold_tables_with_cached_dimensions(spark, bronze, tmp_path):
+    run_silver(spark, bronze, str(tmp_path), partition_products_by="category")
+    spark.sql(f"CREATE DATABASE gold_medallion LOCATION '{tmp_path}/db'")
+    try:
+        result = run_gold(
+            spark, str(tmp_path), database="gold_medallion", cache=True, single_file=True,
+            schemas=TABLES, reports=["performance_analysis_by_country"],
+        )
+        found = rows(result["performance_analysis_by_country"])
+        assert found[0] == ("USA", 605.0, 8, 2)
+        assert spark.table("gold_medallion.performance_analysis_by_country").count() == 4
+    finally:
+        spark.sql("DROP DATABASE gold_medallion CASCADE")
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_gold_needs_one_target(spark, tmp_path):
+    with pytest.raises(ValueError):
+        run_gold(spark, str(tmp_path))
+    with pytest.raises(ValueError):
+        run_gold(spark, str(tmp_path), gold="x", database="y")
+
+
+def test_dimensions_come_before_the_fact():
+    assert list(TABLES)[-1] == "transactions"
+
+
+def test_persisted_is_released_on_failure(spark):
+    with pytest.raises(RuntimeError):
+        with persisted(spark.range(5)) as (kept,):
+            assert kept.is_cached
+            raise RuntimeError
+    assert not kept.is_cached
+
+
+def test_profiles_set_and_restore(spark):
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    with profile(spark, PROFILES["baseline"]) as settings:
+        assert spark.conf.get("spark.sql.adaptive.enabled") == "false"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "200"
+        assert settings.compression is None
+    assert spark.conf.get("spark.sql.shuffle.partitions") == partitions
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+@pytest.mark.parametrize("name", PROFILES)
+def test_results_do_not_depend_on_the_profile(spark, name):
+    star = shop(spark)
+    with profile(spark, PROFILES[name]):
+        assert rows(REPORTS["performance_analysis_by_country"](*star))[0] == ("USA", 605.0, 8, 2)

@@ -1,0 +1,33 @@
+"""Every registered query against its SQL, on the smallest of the supplied folders."""
+
+from pathlib import Path
+
+import compare
+import pytest
+
+import __spark_entry__ as contract
+
+FOLDER = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not Path(FOLDER).is_dir(), reason="no test tables here")
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return compare.connect(FOLDER)
+
+
+def test_every_query_has_sql():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() == 10
+
+
+@pytest.mark.parametrize("name", contract.queries())
+def test_query_matches_sql(spark, connection, name):
+    result = contract.queries()[name](spark, FOLDER)
+    columns, found = compare.spark_rows(result)
+    expected_columns, expected = compare.sql_rows(connection, contract.oracle_sql()[name])
+    assert columns == expected_columns
+    assert found == expected and found
