@@ -4,6 +4,7 @@ from starmart.functions.dates import parsed_date
 from starmart.functions.hashing import DRAW_RANGE, row_draw
 from starmart.functions.numbers import MONEY, SECONDS, exact_sum, whole_number
 from starmart.functions.predicates import all_of, known, positive, present, quoted
+from starmart.functions.windows import over
 
 __all__ = [
     "DRAW_RANGE",
@@ -12,6 +13,7 @@ __all__ = [
     "all_of",
     "exact_sum",
     "known",
+    "over",
     "parsed_date",
     "positive",
     "present",

@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmart.functions.predicates import quoted
+
 # Prices are doubles in the data model. Summing doubles gives last digits that change with
 # partitioning and task order, so money is summed as a decimal and only the result is a double.
 MONEY = T.DecimalType(18, 6)
@@ -25,6 +27,7 @@ def whole_number(name: str, dtype: T.IntegralType) -> str:
     A writer that stores a missing key as NaN turns the whole column into floats, so keys
     arrive as ``7.0`` and would be lost by a reader that expects integers.
     """
-    number = f"try_cast(`{name}` AS DECIMAL(38, 9))"
+    plain = f"try_cast({quoted(name)} AS {dtype.simpleString()})"
+    number = f"try_cast({quoted(name)} AS DECIMAL(38, 9))"
     whole = f"CASE WHEN {number} = floor({number}) THEN {number} END"
-    return f"try_cast({whole} AS {dtype.simpleString()})"
+    return f"coalesce({plain}, try_cast({whole} AS {dtype.simpleString()}))"

@@ -20,13 +20,13 @@ def known(name: str) -> str:
 
 
 def present(name: str) -> str:
-    """Neither NULL nor the empty string; blanks count as text."""
-    return f"{known(name)} AND {quoted(name)} <> ''"
+    """Neither NULL, which no comparison accepts, nor the empty string; blanks are text."""
+    return f"{quoted(name)} <> ''"
 
 
 def positive(name: str, dtype: T.DataType | None = None) -> str:
-    """Not NULL, above zero and a number (Spark orders NaN above every number)."""
-    above = f"{known(name)} AND {quoted(name)} > 0"
+    """Above zero and a number: NULL compares as unknown, NaN as above every number."""
+    above = f"{quoted(name)} > 0"
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         above += f" AND NOT isnan({quoted(name)})"
     return above

@@ -4,36 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+
+from starmart.functions import over, quoted
 
 
 def date_bounds(df: DataFrame, col: str) -> DataFrame:
     """One row with the first and last day; both NULL for an empty table."""
-    day = F.col(col).cast("date")
-    return df.agg(F.min(day).alias("min_date"), F.max(day).alias("max_date"))
+    day = f"CAST({quoted(col)} AS DATE) AS _day"
+    return df.selectExpr(day).selectExpr("min(_day) AS min_date", "max(_day) AS max_date")
 
 
 def date_spine(df: DataFrame, col: str) -> DataFrame:
     """Every day between the bounds, one row each; no rows for an empty table."""
-    days = F.sequence("min_date", "max_date", F.expr("interval 1 day"))
-    return date_bounds(df, col).select(F.explode(days).alias(col))
+    days = f"explode(sequence(min_date, max_date, INTERVAL 1 DAY)) AS {quoted(col)}"
+    return date_bounds(df, col).selectExpr(days)
 
 
 def fill_from_spine(
-    daily: DataFrame, spine: DataFrame, col: str, values: Sequence[str], fill=0
+    daily: DataFrame, spine: DataFrame, col: str, values: Sequence[str], fill: float = 0
 ) -> DataFrame:
     """Values per day of a given spine, ``fill`` where the series has no row."""
-    return spine.join(daily, col, "left").select(
-        col, *[F.coalesce(value, F.lit(fill)).alias(value) for value in values]
-    )
+    filled = [f"coalesce({quoted(v)}, {fill}) AS {quoted(v)}" for v in values]
+    return spine.join(daily, col, "left").selectExpr(quoted(col), *filled)
 
 
 def fill_gaps(
     daily: DataFrame,
     col: str,
     values: Sequence[str],
-    fill=0,
+    fill: float = 0,
     partition_by: Sequence[str] = (),
 ) -> DataFrame:
     """The series with its missing days added, holding ``fill``.
@@ -41,17 +41,14 @@ def fill_gaps(
     Each day is followed by the days up to the next one present, so the series is read once
     and never joined to a calendar. Needs one row per day (and per partition): aggregate first.
     """
-    in_order = Window.partitionBy(*partition_by).orderBy(col)
-    last = F.coalesce(F.date_sub(F.lead(col).over(in_order), 1), F.col(col))
-    days = F.sequence(F.col(col), F.col("_last"), F.expr("interval 1 day"))
-    filled = daily.withColumn("_last", last).select(
-        *partition_by, *values, F.posexplode(days).alias("_offset", "_day")
+    day, kept = quoted(col), [quoted(c) for c in partition_by]
+    next_day = f"lead({day}) {over(partition_by, [col])}"
+    days = f"sequence({day}, coalesce(date_sub({next_day}, 1), {day}), INTERVAL 1 DAY)"
+    spread = daily.selectExpr(*kept, *map(quoted, values), f"{days} AS _days").selectExpr(
+        *kept, *map(quoted, values), "posexplode(_days) AS (_offset, _day)"
     )
-    return filled.select(
-        *partition_by,
-        F.col("_day").alias(col),
-        *[
-            F.when(F.col("_offset") == 0, F.col(value)).otherwise(F.lit(fill)).alias(value)
-            for value in values
-        ],
+    return spread.selectExpr(
+        *kept,
+        f"_day AS {day}",
+        *[f"CASE WHEN _offset = 0 THEN {v} ELSE {fill} END AS {v}" for v in map(quoted, values)],
     )

@@ -60,7 +60,9 @@ def inject_noise(
         damaged = f"CASE WHEN {to_null} THEN NULL ELSE {wrong} END"
         hit = f"_bad AND _draw % {width} = {position}"
         cells.append(f"CASE WHEN {hit} THEN {damaged} ELSE {name} END AS {name}")
-    return drawn.selectExpr(*cells)
+    # Emitted by a generator: a later filter then reads the finished cells, where above a
+    # projection it would be rewritten to evaluate all these expressions once per mention.
+    return drawn.selectExpr(f"inline(array(struct({', '.join(cells)})))")
 
 
 def _wrong_value(field: T.StructField, variant: str, today: date | None) -> str:

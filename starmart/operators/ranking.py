@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmart.functions import over, quoted
+
 
 def top_k(df: DataFrame, measure: str, k: int = 10, tie_break: Sequence[str] = ()) -> DataFrame:
     """The ``k`` largest rows in descending order; each task keeps ``k`` rows at most."""
@@ -28,17 +29,21 @@ def top_n_per_group(
     per group is the best ``n`` distinct measures with their row counts, which give the
     ranks, and the rows then join those few.
     """
-    order = Window.partitionBy(*groups).orderBy(F.desc(measure))
-    levels = df.groupBy(*groups, measure).agg(F.count("*").alias("_ties"))
-    best = levels.withColumn("_level", F.row_number().over(order)).where(F.col("_level") <= n)
-    ahead = F.sum("_ties").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    ranks = (
-        best.withColumn(rank_as, (F.coalesce(ahead, F.lit(0)) + 1).cast("int"))
-        .where(F.col(rank_as) <= n)
-        .select(*[F.col(c).alias(f"_best_{c}") for c in (*groups, measure)], rank_as)
+    keys = [*groups, measure]
+    best_first = over(groups, [measure], descending=True)
+    ahead = over(
+        groups, [measure], descending=True, rows=("UNBOUNDED PRECEDING", "1 PRECEDING")
     )
-    same: Column = reduce(
-        lambda left, right: left & right,
-        [F.col(c).eqNullSafe(F.col(f"_best_{c}")) for c in (*groups, measure)],
+    ranks = (
+        df.groupBy(*keys)
+        .agg(F.count("*").alias("_ties"))
+        .selectExpr("*", f"row_number() {best_first} AS _level")
+        .where(f"_level <= {n}")
+        .selectExpr(
+            *[f"{quoted(c)} AS _best_{i}" for i, c in enumerate(keys)],
+            f"CAST(coalesce(sum(_ties) {ahead}, 0) + 1 AS INT) AS {quoted(rank_as)}",
+        )
+        .where(f"{quoted(rank_as)} <= {n}")
     )
-    return df.join(ranks, same).select(*df.columns, rank_as)
+    same = " AND ".join(f"{quoted(c)} <=> _best_{i}" for i, c in enumerate(keys))
+    return df.join(ranks, F.expr(same)).select(*df.columns, rank_as)

@@ -7,26 +7,21 @@ the side that Spark splits when a key is hot, or it has been pre-aggregated.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.functions import MONEY
+from starmart.functions import MONEY, quoted
 
-_TOTAL = "decimal(38,6)"
+_AMOUNT = "_price * quantity AS amount"
+_TOTAL = "CAST(coalesce(sum(amount), 0) AS DECIMAL(38, 6))"
 
 
-def _priced(transactions: DataFrame, products: DataFrame, how: str, *keep: str) -> DataFrame:
-    """The kept fact columns and the row's ``amount``; NULL if a left join finds no product."""
-    prices = products.select(
-        F.col("product_id").alias("_product_id"), F.col("price").cast(MONEY).alias("_price")
+def _priced(transactions: DataFrame, products: DataFrame, how: str) -> DataFrame:
+    """The fact with the ``_price`` of its product; NULL if a left join finds none."""
+    prices = products.selectExpr(
+        "product_id AS _product_id", f"CAST(price AS {MONEY.simpleString()}) AS _price"
     )
-    return transactions.join(prices, F.col("product_id") == F.col("_product_id"), how).select(
-        *keep, (F.col("_price") * F.col("quantity")).alias("amount")
-    )
-
-
-def _total(amount: str) -> Column:
-    return F.coalesce(F.sum(amount).cast(_TOTAL), F.lit(0).cast(_TOTAL))
+    return transactions.join(prices, F.expr("product_id = _product_id"), how)
 
 
 def daily_sales(transactions: DataFrame, products: DataFrame) -> DataFrame:
@@ -34,12 +29,12 @@ def daily_sales(transactions: DataFrame, products: DataFrame) -> DataFrame:
 
     A transaction of an unknown product counts as 0 but keeps its day in the series.
     """
-    day = F.col("transaction_date").cast("date")
-    dated = transactions.withColumn("transaction_date", day)
+    dated = "CAST(transaction_date AS DATE) AS transaction_date"
     return (
-        _priced(dated, products, "left", "transaction_date")
+        _priced(transactions, products, "left")
+        .selectExpr(dated, _AMOUNT)
         .groupBy("transaction_date")
-        .agg(_total("amount").alias("total_sales"))
+        .agg(F.expr(f"{_TOTAL} AS total_sales"))
     )
 
 
@@ -49,24 +44,25 @@ def user_spend(transactions: DataFrame, users: DataFrame, products: DataFrame) -
     The fact is reduced to a row per user before it meets the users.
     """
     spend = (
-        _priced(transactions, products, "inner", "user_id")
+        _priced(transactions, products, "inner")
+        .selectExpr("user_id", _AMOUNT)
         .groupBy("user_id")
-        .agg(F.sum("amount").alias("_spent"))
+        .agg(F.expr("sum(amount) AS _spent"))
     )
     return (
         spend.join(users.select("user_id", "name"), "user_id")
         .groupBy("user_id", "name")
-        .agg(F.sum("_spent").cast("double").alias("total_spent"))
+        .agg(F.expr("CAST(sum(_spent) AS DOUBLE) AS total_spent"))
     )
 
 
 def product_quantity(transactions: DataFrame, products: DataFrame) -> DataFrame:
     """``total_quantity_sold`` per product that sold, reduced before it meets the products."""
-    sold = transactions.groupBy("product_id").agg(F.sum("quantity").alias("_sold"))
+    sold = transactions.groupBy("product_id").agg(F.expr("sum(quantity) AS _sold"))
     return (
         sold.join(products.select("product_id", "category", "name"), "product_id")
         .groupBy("category", "product_id", "name")
-        .agg(F.sum("_sold").cast("bigint").alias("total_quantity_sold"))
+        .agg(F.expr("CAST(sum(_sold) AS BIGINT) AS total_quantity_sold"))
     )
 
 
@@ -79,19 +75,22 @@ def segment_performance(
     without a transaction rather than from an outer join starting at the users: that join
     could neither broadcast the users nor split a hot one.
     """
-    segments = users.select(F.col("user_id").alias("_user_id"), F.col(by).alias(by))
+    segment = quoted(by)
     sales = (
-        _priced(transactions, products, "left", "user_id", "transaction_id")
-        .join(segments, F.col("user_id") == F.col("_user_id"))
-        .select(by, "amount", "transaction_id", "user_id")
+        _priced(transactions, products, "left")
+        .selectExpr("transaction_id", "user_id", _AMOUNT)
+        .join(users.selectExpr("user_id AS _user_id", segment), F.expr("user_id = _user_id"))
+        .selectExpr(segment, "amount", "transaction_id", "user_id")
+    )
+    no_sales = users.selectExpr(
+        segment, "NULL AS amount", "NULL AS transaction_id", "NULL AS user_id"
     )
-    no_sales = users.select(by, *[F.lit(None).alias(c) for c in sales.columns[1:]])
     return (
-        sales.unionByName(no_sales)
+        sales.unionAll(no_sales)
         .groupBy(by)
         .agg(
-            _total("amount").cast("double").alias("total_sales"),
-            F.count_distinct("transaction_id").alias("total_transactions"),
-            F.count_distinct("user_id").alias("total_users"),
+            F.expr(f"CAST({_TOTAL} AS DOUBLE) AS total_sales"),
+            F.expr("count(DISTINCT transaction_id) AS total_transactions"),
+            F.expr("count(DISTINCT user_id) AS total_users"),
         )
     )

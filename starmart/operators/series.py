@@ -5,8 +5,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+
+from starmart.functions import over, quoted
 
 
 def period_over_period(
@@ -22,11 +23,11 @@ def period_over_period(
 
     The change is NULL where there is no earlier value or the earlier value is 0.
     """
-    in_order = Window.partitionBy(*partition_by).orderBy(order)
-    now, before = F.col(value).cast("double"), F.col(previous_as).cast("double")
-    change = F.when(before != 0, (now - before) / before * 100)
-    return df.withColumn(previous_as, F.lag(value, offset).over(in_order)).withColumn(
-        change_as, change
+    previous = f"lag({quoted(value)}, {offset}) {over(partition_by, [order])}"
+    now, before = (f"CAST({quoted(c)} AS DOUBLE)" for c in (value, previous_as))
+    change = f"CASE WHEN {before} <> 0 THEN ({now} - {before}) / {before} * 100 END"
+    return df.selectExpr("*", f"{previous} AS {quoted(previous_as)}").selectExpr(
+        "*", f"{change} AS {quoted(change_as)}"
     )
 
 
@@ -42,6 +43,6 @@ def moving_average(
 
     Missing values weigh in as rows: the sum is divided by the number of rows in the frame.
     """
-    frame = Window.partitionBy(*partition_by).orderBy(order).rowsBetween(1 - rows, 0)
-    mean = F.sum(value).over(frame).cast("double") / F.count("*").over(frame)
-    return df.withColumn(result_as, mean)
+    frame = over(partition_by, [order], rows=(f"{rows - 1} PRECEDING", "CURRENT ROW"))
+    total = f"CAST(sum({quoted(value)}) {frame} AS DOUBLE)"
+    return df.selectExpr("*", f"{total} / count(*) {frame} AS {quoted(result_as)}")

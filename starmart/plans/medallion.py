@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable, Mapping
-from contextlib import nullcontext
+from contextlib import ExitStack
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from starmart.operators import clean, enforce_fks
-from starmart.plans.reports import REPORTS
+from starmart.plans.reports import DAILY_REPORTS, REPORTS, daily_series
 from starmart.plans.storage import persisted
 from starmart.sinks import ensure_database, write_parquet, write_table
 from starmart.sources import TABLES, read_bronze, read_silver
@@ -61,7 +61,8 @@ def run_gold(
     """Compute the reports over the silver tables and return them as written.
 
     They go to ``{gold}/{report}`` as Parquet or to tables of ``database``. ``cache`` keeps
-    the dimensions, which several reports read, and never the fact. Declare ``schemas`` of
+    the dimensions, which several reports read, and never the fact; the daily series, which
+    two reports start from, is always computed once. Declare ``schemas`` of
     partitioned tables (see ``read_silver``).
     """
     if (gold is None) == (database is None):
@@ -73,10 +74,19 @@ def run_gold(
     if database:
         ensure_database(spark, database)
 
+    names = list(reports)
     written: dict[str, DataFrame] = {}
-    with persisted(users, products) if cache else nullcontext():
-        for name in reports:
-            report = REPORTS[name](users, products, transactions)
+    with ExitStack() as kept:
+        if cache:
+            users, products = kept.enter_context(persisted(users, products))
+        shared: dict[str, DataFrame] = {}
+        if set(DAILY_REPORTS) <= set(names):
+            # A row per day: keeping it saves the second report a pass over the fact.
+            (series,) = kept.enter_context(persisted(daily_series(transactions, products)))
+            shared = {"series": series}
+        for name in names:
+            extra = shared if name in DAILY_REPORTS else {}
+            report = REPORTS[name](users, products, transactions, **extra)
             if database:
                 table = write_table(report, database, name, compression, single_file)
                 written[name] = spark.table(table)
