@@ -17,7 +17,7 @@ from catalogue.queries import NOISE_KEYS, QUERIES
 from starmart.operators import clean, enforce_fks, inject_noise
 from starmart.plans import REFERENCES, REPORTS, run_silver, scratch_folder
 from starmart.sinks import write_csv
-from starmart.sources import TABLES, Star, read_bronze, read_silver, retail_table
+from starmart.sources import TABLES, Star, conform, read_bronze, read_silver, retail_table
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -69,7 +69,7 @@ def seconds(build) -> float:
 def silver_jobs(spark: SparkSession, bronze: str) -> dict:
     def cleaned(table: str) -> DataFrame:
         path = f"{bronze}/{table}.csv"
-        return clean(read_bronze(spark, path, table, date_format="yyyy-MM-dd"), table)
+        return conform(clean(read_bronze(spark, path, table), table), TABLES[table])
 
     def transactions() -> DataFrame:
         return enforce_fks(

@@ -13,7 +13,7 @@ from starmart.operators import clean, enforce_fks
 from starmart.plans.reports import DAILY_REPORTS, REPORTS, daily_series
 from starmart.plans.storage import persisted
 from starmart.sinks import ensure_database, write_parquet, write_table
-from starmart.sources import TABLES, read_bronze, read_silver
+from starmart.sources import TABLES, conform, read_bronze, read_silver
 
 log = logging.getLogger(__name__)
 
@@ -25,12 +25,13 @@ def run_silver(
     spark: SparkSession,
     bronze: str,
     silver: str,
-    date_format: str | None = "yyyy-MM-dd",
+    date_format: str | None = None,
     compression: str | None = "snappy",
     partition_products_by: str | None = None,
 ) -> dict[str, DataFrame]:
     """Clean ``{bronze}/{table}.csv`` into ``{silver}/{table}`` and return the silver tables.
 
+    Dates are read as Spark casts text, or strictly in ``date_format``; silver holds dates.
     Dimensions are written before the fact and read back for its references: the raw files
     are parsed once, and a lost executor costs a re-read of small cleaned files.
     """
@@ -41,8 +42,8 @@ def run_silver(
             rows = enforce_fks(rows, {key: tables[dim] for key, dim in REFERENCES.items()})
         path = f"{silver}/{table}"
         partition_by = partition_products_by if table == "products" else None
-        write_parquet(rows, path, compression, partition_by)
-        tables[table] = read_silver(spark, path, rows.schema)
+        write_parquet(conform(rows, schema), path, compression, partition_by)
+        tables[table] = read_silver(spark, path, schema)
         log.info("silver table written: %s", path)
     return tables
 

@@ -12,6 +12,7 @@ from starmart.sources.schemas import (
     TABLES,
     TRANSACTIONS,
     USERS,
+    conform,
     with_date_as,
 )
 
@@ -22,6 +23,7 @@ __all__ = [
     "TABLES",
     "TRANSACTIONS",
     "USERS",
+    "conform",
     "read_bronze",
     "read_run_metrics",
     "read_silver",

@@ -6,8 +6,11 @@ depend on its worst value.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from starmart.functions import quoted
+
 
 def _table(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, dtype) for name, dtype in columns.items()])
@@ -63,3 +66,10 @@ def with_date_as(schema: T.StructType, dtype: T.DataType) -> T.StructType:
             for f in schema.fields
         ]
     )
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The declared columns in order and with their types; a value that does not fit raises."""
+    return df.selectExpr(
+        *[f"CAST({quoted(f.name)} AS {f.dataType.simpleString()}) {quoted(f.name)}" for f in schema]
+    )
