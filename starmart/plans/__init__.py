@@ -1,8 +1,8 @@
 """Compositions: the reports, the layer jobs and their settings."""
 
 from starmart.plans.medallion import REFERENCES, run_gold, run_medallion, run_silver
-from starmart.plans.profiles import PROFILES, Profile, profile
-from starmart.plans.reports import REPORTS
+from starmart.plans.profiles import PROFILES, Profile, cluster_conf, profile
+from starmart.plans.reports import REPORTS, daily_series
 from starmart.plans.scratch import scratch_folder
 from starmart.plans.sql_reports import registered, run_sql_reports
 from starmart.plans.storage import persisted
@@ -12,6 +12,8 @@ __all__ = [
     "Profile",
     "REFERENCES",
     "REPORTS",
+    "cluster_conf",
+    "daily_series",
     "persisted",
     "profile",
     "registered",

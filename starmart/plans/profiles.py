@@ -72,6 +72,25 @@ PROFILES: dict[str, Profile] = {
 }
 
 
+def cluster_conf(shuffled_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Session settings for jobs that shuffle about this much, for example the pruned columns
+    of the fact.
+
+    Shuffles start with partitions of ``partition_bytes``, small ones are merged and hot ones
+    split while the job runs. Fixed partition counts, as in the profiles, suit small data only.
+    """
+    partitions = max(200, -(-shuffled_bytes // partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
 @contextmanager
 def profile(spark: SparkSession, settings: Profile) -> Iterator[Profile]:
     """The session under a profile inside the block, as it was after it."""
