@@ -26,24 +26,18 @@ def top_n_per_group(
 
     Equal measures share a rank and all stay, so a group may return more than ``n`` rows
     (SQL's RANK). However large a group or a tie is, no task receives it whole: what meets
-    per group is the best ``n`` distinct measures with their row counts, which give the
-    ranks, and the rows then join those few.
+    per group is ``n`` of its best rows, enough to rank every measure that qualifies, and
+    the rows then join those measures.
     """
     keys = [*groups, measure]
     best_first = over(groups, [measure], descending=True)
-    ahead = over(
-        groups, [measure], descending=True, rows=("UNBOUNDED PRECEDING", "1 PRECEDING")
-    )
     ranks = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_ties"))
-        .selectExpr("*", f"row_number() {best_first} AS _level")
-        .where(f"_level <= {n}")
-        .selectExpr(
-            *[f"{quoted(c)} AS _best_{i}" for i, c in enumerate(keys)],
-            f"CAST(coalesce(sum(_ties) {ahead}, 0) + 1 AS INT) AS {quoted(rank_as)}",
-        )
-        .where(f"{quoted(rank_as)} <= {n}")
+        df.select(*keys)
+        .selectExpr("*", f"row_number() {best_first} AS _place")
+        .where(f"_place <= {n}")
+        .selectExpr(*map(quoted, keys), f"rank() {best_first} AS {quoted(rank_as)}")
+        .distinct()
+        .toDF(*[f"_best_{i}" for i in range(len(keys))], rank_as)
     )
     same = " AND ".join(f"{quoted(c)} <=> _best_{i}" for i, c in enumerate(keys))
     return df.join(ranks, F.expr(same)).select(*df.columns, rank_as)
