@@ -13,7 +13,14 @@ from pyspark.sql import types as T
 from starmart import operators as op
 from starmart import sinks, sources
 from starmart.functions import parsed_date
-from starmart.plans import REFERENCES, REPORTS, run_medallion, run_sql_reports, scratch_folder
+from starmart.plans import (
+    REFERENCES,
+    REPORTS,
+    SPLIT_HOT_KEYS,
+    run_medallion,
+    run_sql_reports,
+    scratch_folder,
+)
 from starmart.sources import Star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,7 +94,13 @@ def silver(spark: SparkSession, folder: str, table: str, source=raw) -> DataFram
 
 
 def silver_star(spark: SparkSession, folder: str, source=raw) -> Star:
-    """The cleaned tables; transactions refer to cleaned users and products only."""
+    """The cleaned tables; transactions refer to cleaned users and products only.
+
+    The reports below join them in the same job that enforced the references, on the same
+    keys, which is where a hot key is split only on request.
+    """
+    for key, value in SPLIT_HOT_KEYS.items():
+        spark.conf.set(key, value)
     tables = {name: silver(spark, folder, name, source) for name in Star._fields}
     references = {key: tables[dim] for key, dim in REFERENCES.items()}
     tables["transactions"] = op.enforce_fks(tables["transactions"], references)

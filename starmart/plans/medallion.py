@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from contextlib import ExitStack
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from starmart.operators import clean, enforce_fks
 from starmart.plans.reports import DAILY_REPORTS, REPORTS, daily_series
+from starmart.plans.sql_reports import run_sql_reports
 from starmart.plans.storage import persisted
 from starmart.sinks import ensure_database, write_parquet, write_table
 from starmart.sources import TABLES, conform, read_bronze, read_silver
@@ -54,47 +56,51 @@ def run_gold(
     gold: str | None = None,
     database: str | None = None,
     reports: Iterable[str] = REPORTS,
+    sql_files: Sequence[str | Path] = (),
     cache: bool = False,
     single_file: bool = False,
     compression: str | None = "snappy",
     schemas: Mapping[str, StructType] | None = None,
 ) -> dict[str, DataFrame]:
-    """Compute the reports over the silver tables and return them as written.
+    """Compute reports over the silver tables and return them as written.
 
-    They go to ``{gold}/{report}`` as Parquet or to tables of ``database``. ``cache`` keeps
-    the dimensions, which several reports read, and never the fact; the daily series, which
-    two reports start from, is always computed once. Declare ``schemas`` of
-    partitioned tables (see ``read_silver``).
+    They go to ``{gold}/{report}`` as Parquet or to tables of ``database``: the named
+    ``reports``, then those of ``sql_files`` under their stems. ``cache`` keeps the
+    dimensions, which several reports read, and never the fact; the daily series, which two
+    reports start from, is always computed once. Declare ``schemas`` of partitioned tables
+    (see ``read_silver``).
     """
     if (gold is None) == (database is None):
         raise ValueError("give either a gold folder or a database")
     declared = schemas or {}
-    users, products, transactions = (
-        read_silver(spark, f"{silver}/{table}", declared.get(table)) for table in TABLES
-    )
+    tables = {name: read_silver(spark, f"{silver}/{name}", declared.get(name)) for name in TABLES}
     if database:
         ensure_database(spark, database)
 
+    def write(name: str, report: DataFrame) -> DataFrame:
+        if database:
+            return spark.table(write_table(report, database, name, compression, single_file))
+        path = f"{gold}/{name}"
+        write_parquet(report, path, compression, single_file=single_file)
+        return read_silver(spark, path)
+
     names = list(reports)
     written: dict[str, DataFrame] = {}
     with ExitStack() as kept:
         if cache:
-            users, products = kept.enter_context(persisted(users, products))
+            dims = {name: tables[name] for name in REFERENCES.values()}
+            tables.update(zip(dims, kept.enter_context(persisted(*dims.values()))))
         shared: dict[str, DataFrame] = {}
         if set(DAILY_REPORTS) <= set(names):
             # A row per day: keeping it saves the second report a pass over the fact.
-            (series,) = kept.enter_context(persisted(daily_series(transactions, products)))
-            shared = {"series": series}
+            series = daily_series(tables["transactions"], tables["products"])
+            shared["series"] = kept.enter_context(persisted(series))[0]
         for name in names:
             extra = shared if name in DAILY_REPORTS else {}
-            report = REPORTS[name](users, products, transactions, **extra)
-            if database:
-                table = write_table(report, database, name, compression, single_file)
-                written[name] = spark.table(table)
-            else:
-                path = f"{gold}/{name}"
-                write_parquet(report, path, compression, single_file=single_file)
-                written[name] = read_silver(spark, path)
+            written[name] = write(name, REPORTS[name](**tables, **extra))
+            log.info("report written: %s", name)
+        for name, report in run_sql_reports(spark, sql_files, **tables).items():
+            written[name] = write(name, report)
             log.info("report written: %s", name)
     return written
 

@@ -72,6 +72,16 @@ PROFILES: dict[str, Profile] = {
 }
 
 
+# Adaptive execution leaves a hot partition whole when splitting it would cost a later operator
+# its partitioning, as in a semi-join on a key followed by a join on the same key. This makes
+# it split and shuffle again, only where a partition is found to be hot.
+SPLIT_HOT_KEYS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
 def cluster_conf(shuffled_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Session settings for jobs that shuffle about this much, for example the pruned columns
     of the fact.
@@ -81,11 +91,10 @@ def cluster_conf(shuffled_bytes: int, partition_bytes: int = 256 * 1024 * 1024)
     """
     partitions = max(200, -(-shuffled_bytes // partition_bytes))
     return {
-        "spark.sql.adaptive.enabled": "true",
+        **SPLIT_HOT_KEYS,
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
     }

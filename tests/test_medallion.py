@@ -69,6 +69,18 @@ def test_gold_tables_with_cached_dimensions(spark, bronze, tmp_path):
     assert not spark.sparkContext._jsc.getPersistentRDDs()
 
 
+def test_gold_from_sql_files(spark, bronze, tmp_path):
+    run_silver(spark, bronze, f"{tmp_path}/silver")
+    query = tmp_path / "buyers.sql"
+    query.write_text("SELECT count(DISTINCT user_id) AS buyers FROM transactions")
+    result = run_gold(
+        spark, f"{tmp_path}/silver", f"{tmp_path}/gold", reports=["top_spenders"],
+        sql_files=[query, tmp_path / "missing.sql"],
+    )
+    assert list(result) == ["top_spenders", "buyers"]
+    assert rows(spark.read.parquet(f"{tmp_path}/gold/buyers")) == [(8,)]
+
+
 def test_gold_needs_one_target(spark, tmp_path):
     with pytest.raises(ValueError):
         run_gold(spark, str(tmp_path))

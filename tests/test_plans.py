@@ -5,8 +5,8 @@ import re
 import pytest
 from fixtures import rows, shop
 
-from starmart.operators import enforce_fks
-from starmart.plans import REPORTS, cluster_conf
+from starmart.operators import daily_sales, enforce_fks
+from starmart.plans import REPORTS, SPLIT_HOT_KEYS, cluster_conf
 from starmart.sinks import write_parquet
 from starmart.sources import TABLES, Star, read_silver
 
@@ -74,6 +74,32 @@ def test_reports_do_not_depend_on_broadcasting(star, conf):
     assert {name: rows(report(*star)) for name, report in REPORTS.items()} == expected
 
 
+def test_a_hot_product_is_split_in_both_joins_on_it(spark, conf):
+    """References and prices in one job: two joins on the same key, a third of it in one value."""
+    small = {
+        "autoBroadcastJoinThreshold": "-1",
+        "adaptive__autoBroadcastJoinThreshold": "-1",
+        "adaptive__skewJoin__skewedPartitionThresholdInBytes": "40KB",
+        "adaptive__skewJoin__skewedPartitionFactor": "1.5",
+        "adaptive__advisoryPartitionSizeInBytes": "40KB",
+        "adaptive__coalescePartitions__parallelismFirst": "false",
+    }
+    conf(**small, **{k.removeprefix("spark.sql.").replace(".", "__"): v
+                     for k, v in SPLIT_HOT_KEYS.items()})
+    sales = spark.range(1, 90_001, 1, 12).selectExpr(
+        "id AS transaction_id", "1 + id % 3000 AS user_id",
+        "if(id % 3 = 0, 1, 1 + id % 5000) AS product_id", "cast(id % 7 AS int) AS quantity",
+        "date_add(DATE '2025-01-01', cast(id % 50 AS int)) AS transaction_date",
+    )
+    products = spark.range(1, 5001).selectExpr("id AS product_id", "id / 4 AS price")
+    result = daily_sales(enforce_fks(sales, {"product_id": products}), products)
+    found = sum(r.total_sales for r in result.collect())
+    expected = sales.join(products, "product_id").selectExpr("sum(quantity * price)").first()[0]
+    assert float(found) == expected
+    plan = result._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("SortMergeJoin(skew=true)") == 2
+
+
 def test_cluster_settings_grow_with_the_shuffle():
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert cluster_conf(0)[key] == "200"
