@@ -449,11 +449,8 @@ FROM totals WHERE succeeded GROUP BY experiment""",
 oracle(
     "group_runs",
     """
-SELECT experiment,
-       CAST(row_number() OVER (PARTITION BY experiment ORDER BY total_transform_s) - 1 AS INTEGER)
-           AS place,
-       ROUND(total_transform_s, 6) AS total_s
-FROM totals WHERE succeeded""",
+SELECT experiment, run, ROUND(total_transform_s, 6) AS total_transform_s
+FROM totals WHERE succeeded ORDER BY experiment, totals.total_transform_s, run""",
 )
 
 # All layers, from noisy files to a report.

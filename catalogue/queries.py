@@ -500,8 +500,7 @@ def group_distribution(spark, folder):
 
 @query
 def group_runs(spark, folder):
-    runs = op.group_runs(sources.retail_runs(spark, folder))
-    return _rounded(runs.select("experiment", F.posexplode("run_totals_s").alias("place", "total_s")))
+    return _rounded(op.group_runs(sources.retail_runs(spark, folder)))
 
 
 # --- all layers -------------------------------------------------------------------------

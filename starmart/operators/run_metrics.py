@@ -124,9 +124,12 @@ def group_distribution(runs: DataFrame) -> DataFrame:
 
 
 def group_runs(runs: DataFrame) -> DataFrame:
-    """The run totals of each experiment as an ascending list (a value per run)."""
+    """The run totals of each experiment in ascending order, a row per run.
+
+    Rows rather than a list per experiment, which would gather the experiment in one task.
+    """
     return (
         _successful(runs)
-        .groupBy("experiment")
-        .agg(F.sort_array(F.collect_list("total_transform_s")).alias("run_totals_s"))
+        .select("experiment", "run", "total_transform_s")
+        .orderBy("experiment", "total_transform_s", "run")
     )

@@ -87,9 +87,11 @@ def test_distribution(runs):
 
 
 def test_runs_in_order(runs):
-    found = by_name(group_runs(runs))
-    assert found["baseline"].run_totals_s == [16.0, 16.0, 18.0]
-    assert found["tuned"].run_totals_s == [2.0, 4.0]
+    found = [(r.experiment, r.total_transform_s) for r in group_runs(runs).collect()]
+    assert found == [
+        ("baseline", 16.0), ("baseline", 16.0), ("baseline", 18.0),
+        ("single", 8.0), ("tuned", 2.0), ("tuned", 4.0),
+    ]
 
 
 def test_no_time_at_all(spark):
