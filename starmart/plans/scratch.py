@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """A new folder name below ``spark.checkpoint.dir``, the storage all executors share.
+    """A new folder name in the storage that all executors share, whatever the master.
 
-    Only a session that runs inside this process may fall back to a local temporary folder.
+    Below ``spark.checkpoint.dir``, or below the warehouse where that is unset.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/starmart-{uuid4().hex}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return tempfile.mkdtemp(prefix="starmart-")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse.rstrip('/')}/_scratch"
+    return f"{shared.rstrip('/')}/starmart-{uuid4().hex}"

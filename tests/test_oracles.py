@@ -6,6 +6,8 @@ import compare
 import pytest
 
 import __spark_entry__ as contract
+from catalogue.oracles import ORACLES
+from catalogue.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).is_dir(), reason="no test tables here")
@@ -17,14 +19,19 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+
+
+def test_registered_queries():
+    assert set(contract.queries()) >= set(QUERIES)
+    assert set(contract.oracle_sql()) >= set(ORACLES)
 
 
 def test_entry(spark):
     assert contract.entry(spark).count() == 10
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_sql(spark, connection, name):
     result = contract.queries()[name](spark, FOLDER)
     columns, found = compare.spark_rows(result)
