@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import mixing, packing, token_files
+from starmart.llm import language, mixing, packing, token_files, toxicity
 from starmart.llm.tokens import tokenizer_file
+from starmart.llm.words import remainder
 from starmart.plans import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +45,21 @@ def op4_token_files(spark, folder):
     return documents.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@query
+def op6_kneser_ney_toxicity(spark, folder):
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    model = toxicity.learn(docs, labels, remainder(5) != 0)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", (remainder(5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op8_cross_parsing_language(spark, folder):
+    docs = _table(spark, folder, "documents")
+    found = language.identify(docs, language.learn(docs, remainder(4) != 2))
+    return found.withColumn("held_out", remainder(4) == 2)
+
+
 @query
 def op10_capped_mixing(spark, folder):
     mixed = mixing.mix(_table(spark, folder, "documents"))
