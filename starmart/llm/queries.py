@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import language, mixing, packing, token_files, toxicity
+from starmart.llm import class_model, language, mixing, packing, token_files, toxicity
 from starmart.llm.tokens import tokenizer_file
 from starmart.llm.words import remainder
 from starmart.plans import scratch_folder
@@ -60,6 +60,11 @@ def op8_cross_parsing_language(spark, folder):
     return found.withColumn("held_out", remainder(4) == 2)
 
 
+@query
+def op9_brown_class_scores(spark, folder):
+    return class_model.score_texts(_table(spark, folder, "documents"), remainder(7) == 2)
+
+
 @query
 def op10_capped_mixing(spark, folder):
     mixed = mixing.mix(_table(spark, folder, "documents"))
