@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import class_model, language, mixing, packing, token_files, toxicity
+from starmart.llm import class_model, jaccard, language, mixing, packing, token_files, toxicity
 from starmart.llm.tokens import tokenizer_file
 from starmart.llm.words import remainder
 from starmart.plans import scratch_folder
@@ -35,6 +36,11 @@ def op1_harmonic_packing(spark, folder):
     return packing.fill_bins(digests, packing.packing_workers(docs))
 
 
+@query
+def op2_jaccard_metric_join(spark, folder):
+    return jaccard.jaccard_join(_table(spark, folder, "documents"), 4, Fraction(85, 100))
+
+
 @query
 def op4_token_files(spark, folder):
     docs = _table(spark, folder, "documents")
