@@ -8,7 +8,17 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import class_model, jaccard, language, mixing, packing, token_files, toxicity
+from starmart.llm import (
+    class_model,
+    jaccard,
+    language,
+    lattice,
+    mixing,
+    packing,
+    pivot_index,
+    token_files,
+    toxicity,
+)
 from starmart.llm.tokens import tokenizer_file
 from starmart.llm.words import remainder
 from starmart.plans import scratch_folder
@@ -51,6 +61,11 @@ def op4_token_files(spark, folder):
     return documents.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@query
+def op5_lattice_near_vectors(spark, folder):
+    return lattice.near_vectors(_table(spark, folder, "embeddings"))
+
+
 @query
 def op6_kneser_ney_toxicity(spark, folder):
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
@@ -59,6 +74,11 @@ def op6_kneser_ney_toxicity(spark, folder):
     return scored.select("doc_id", (remainder(5) == 0).alias("held_out"), "score", "predicted")
 
 
+@query
+def op7_pivot_distance_search(spark, folder):
+    return pivot_index.top_k_products(_table(spark, folder, "embeddings"))
+
+
 @query
 def op8_cross_parsing_language(spark, folder):
     docs = _table(spark, folder, "documents")
