@@ -15,6 +15,7 @@ from starmart.llm import (
     lattice,
     mixing,
     packing,
+    pages,
     pivot_index,
     token_files,
     toxicity,
@@ -51,6 +52,11 @@ def op2_jaccard_metric_join(spark, folder):
     return jaccard.jaccard_join(_table(spark, folder, "documents"), 4, Fraction(85, 100))
 
 
+@query
+def op3_host_suffix_array(spark, folder):
+    return pages.extract_main_text(_table(spark, folder, "pages"))
+
+
 @query
 def op4_token_files(spark, folder):
     docs = _table(spark, folder, "documents")
