@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.llm.graph import components
 from starmart.llm.words import slices, split_words
@@ -274,46 +275,42 @@ def _classes(members: DataFrame, near: Fraction, folder: str, entries: int) -> D
     return found.select(F.col("node").alias("fp"), "label")
 
 
-def jaccard_join(
-    docs: DataFrame,
-    shingle_words: int = 5,
-    near: Fraction = Fraction(4, 5),
-    entries: int = REGION_ENTRIES,
-) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row: classes of near-duplicate texts.
-
-    A text's set holds its distinct shingles of ``shingle_words`` words (A-Z lowered, cut at ASCII
-    white space); a shorter text is one shingle. Two texts link if the Jaccard similarity of
-    their sets is ``near`` or more, decided with whole numbers; ``component_id`` is the smallest
-    ``doc_id`` that links reach. The result is exact, up to collisions of 64-bit hashes.
-
-    1. Equal sets are one set. 2. Sets that share no shingle have distance 1, of which no triangle
-    inequality says anything; so regions are first cut by ``Signatures``: sets that share one, directly or
-    over others, are a region. 3. Regions too large for a task are split into the Voronoi cells
-    of pivots, border sets being copied by the triangle inequality, recursively; what pivots
-    cannot split is joined in pairs of blocks. 4. Each region is joined by ``near_classes``.
-
-    Null texts and texts without words have no set: they link to nothing, ``n_shingles`` is 0. A null
-    ``doc_id`` takes part but never names a component unless there is no other. Repeated rows are
-    returned as often as they come. Other columns, whatever their names, are not read. An
-    empty table gives no rows.
-    """
-    spark, folder = docs.sparkSession, scratch_folder(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+def _keyed(docs: DataFrame, shingle_words: int, schema) -> DataFrame:
+    """``docs`` (whose last column is ``text``) with ``n_shingles`` and ``fp`` in place of the text, or
+    behind it if ``schema`` keeps it."""
 
     def fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, fps = [], []
             with np.errstate(over="ignore"):
-                for _, found in _sets(batch.column(1), shingle_words):
+                for _, found in _sets(batch.column(batch.num_columns - 1), shingle_words):
                     sizes.append(len(found))
                     fps.append(_fingerprint(found))
+            kept = batch.columns[: len(schema.fields) - 2]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(fps, pa.binary())],
-                names=["doc_id", "n_shingles", "fp"],
+                [*kept, pa.array(sizes, pa.int64()), pa.array(fps, pa.binary())], names=schema.names
             )
 
-    keyed = texts.mapInArrow(fingerprint, "doc_id long, n_shingles long, fp binary")
+    return docs.mapInArrow(fingerprint, schema)
+
+
+_KEYED = T.StructType(
+    [
+        T.StructField("doc_id", T.LongType()),
+        T.StructField("n_shingles", T.LongType()),
+        T.StructField("fp", T.BinaryType()),
+    ]
+)
+
+
+def _class_table(
+    docs: DataFrame, shingle_words: int, near: Fraction, entries: int, folder: str
+) -> tuple[DataFrame, DataFrame]:
+    """Rows as ``doc_id, n_shingles, fp``; and the class (``fp, label``) of sets that may link."""
+    spark = docs.sparkSession
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+
+    keyed = _keyed(texts, shingle_words, _KEYED)
     keyed.write.parquet(f"{folder}/keyed")
     keyed = spark.read.parquet(f"{folder}/keyed")
 
@@ -377,6 +374,35 @@ def jaccard_join(
         .mapInArrow(fetch, "region string, fp binary, shingles binary")
     )
     classes = _classes(members, near, folder, entries)
+    return keyed, classes
+
+
+def jaccard_join(
+    docs: DataFrame,
+    shingle_words: int = 5,
+    near: Fraction = Fraction(4, 5),
+    entries: int = REGION_ENTRIES,
+) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row: classes of near-duplicate texts.
+
+    A text's set holds its distinct shingles of ``shingle_words`` words (A-Z lowered, cut at ASCII
+    white space); a shorter text is one shingle. Two texts link if the Jaccard similarity of
+    their sets is ``near`` or more, decided with whole numbers; ``component_id`` is the smallest
+    ``doc_id`` that links reach. The result is exact, up to collisions of 64-bit hashes.
+
+    1. Equal sets are one set. 2. Sets that share no shingle have distance 1, of which no triangle
+    inequality says anything; so regions are first cut by ``Signatures``: sets that share one, directly or
+    over others, are a region. 3. Regions too large for a task are split into the Voronoi cells
+    of pivots, border sets being copied by the triangle inequality, recursively; what pivots
+    cannot split is joined in pairs of blocks. 4. Each region is joined by ``near_classes``.
+
+    Null texts and texts without words have no set: they link to nothing, ``n_shingles`` is 0. A null
+    ``doc_id`` takes part but never names a component unless there is no other. Repeated rows are
+    returned as often as they come. Other columns, whatever their names, are not read. An
+    empty table gives no rows.
+    """
+    folder = scratch_folder(docs.sparkSession)
+    keyed, classes = _class_table(docs, shingle_words, near, entries, folder)
     named = keyed.join(classes.withColumnRenamed("fp", "_fp"), F.col("fp") == F.col("_fp"), "left")
     named = named.select("doc_id", "n_shingles", F.coalesce("label", "fp").alias("label"))
     least = named.filter(F.col("label").isNotNull()).groupBy("label")
@@ -384,3 +410,37 @@ def jaccard_join(
     return named.join(least, F.col("label") == F.col("_label"), "left").select(
         "doc_id", "n_shingles", F.coalesce("_least", "doc_id").alias("component_id")
     )
+
+
+def keep_one_of_each(
+    docs: DataFrame,
+    shingle_words: int = 5,
+    near: Fraction = Fraction(4, 5),
+    entries: int = REGION_ENTRIES,
+) -> DataFrame:
+    """One row, all columns unchanged, of each class that ``jaccard_join`` finds.
+
+    The row with the smallest ``doc_id`` stays (null last; of several such rows, any). Rows without words are
+    linked to nothing and all stay.
+    """
+    folder = scratch_folder(docs.sparkSession)
+    keyed, classes = _class_table(docs, shingle_words, near, entries, folder)
+    firsts = keyed.filter(F.col("fp").isNotNull()).groupBy("fp")
+    firsts = firsts.agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("first"))
+    classes = classes.withColumnRenamed("fp", "_fp")
+    firsts = firsts.join(classes, F.col("fp") == F.col("_fp"), "left")
+    chosen = firsts.groupBy(F.coalesce("label", "fp").alias("label")).agg(
+        F.min(F.struct("first", "fp")).alias("best")
+    )
+    chosen = chosen.select(F.col("best.fp").alias("_fp"))
+
+    words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    packed = docs.filter(words).select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text")
+    )
+    schema = T.StructType([*packed.schema.fields[:2], *_KEYED.fields[1:]])
+    rows = _keyed(packed, shingle_words, schema)
+    order = Window.partitionBy("fp").orderBy(F.col("doc_id").asc_nulls_last())
+    single = rows.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") == 1)
+    stay = single.join(chosen, F.col("fp") == F.col("_fp"), "left_semi").select("row.*")
+    return stay.union(docs.filter(~words))

@@ -79,13 +79,18 @@ def learn(
     whose text holds a letter, the ``per_language`` rows of each language whose text has the
     lowest hash, long texts last, ``excerpt`` characters of each; never over ``chars`` in all.
     """
-    order = Window.partitionBy("lang").orderBy(F.length("text") > excerpt, F.xxhash64("text"))
+    order = Window.partitionBy("lang").orderBy("_long", "_draw")
     rows = (
         docs.filter(trained & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-        .select("lang", "text")
+        .select(
+            "lang",
+            F.substring("text", 1, excerpt).alias("text"),
+            (F.length("text") > excerpt).alias("_long"),
+            F.xxhash64("text").alias("_draw"),
+        )
         .withColumn("_place", F.row_number().over(order))
         .filter(F.col("_place") <= per_language)
-        .select("lang", F.substring("text", 1, excerpt).alias("text"))
+        .select("lang", "text")
         .collect()
     )
     texts: dict[str, set[str]] = {}
@@ -108,45 +113,66 @@ def _parser(learned: tuple[tuple[str, str], ...]) -> Memo:
     return Memo(parse, len(automata))
 
 
+def _predict(
+    texts: pa.Array, models: tuple[tuple[str, str], ...], weights: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Winner of each text (the number of languages for none) and its score."""
+    winners, scores = [np.zeros(0, dtype=np.int64)], [np.zeros(0)]
+    for _, some in slices(texts):
+        distinct, places, bounds = split_words(_letters(some))
+        phrases = _parser(models).rows(distinct)[places]
+        bits = per_text(phrases, bounds, np.add, 0) * weights
+        ordered = np.sort(bits, axis=1)
+        sure = np.ones(len(bits))
+        if len(models) > 1:
+            sure = 1 - ordered[:, 0] / np.maximum(ordered[:, 1], 1e-9)
+        letters = np.diff(bounds) > 0
+        winners.append(np.where(letters, np.argmin(bits, axis=1), len(models)))
+        scores.append(np.where(letters, sure, 0.0))
+    return np.concatenate(winners), np.concatenate(scores)
+
+
+def _weights(learned: dict[str, str]) -> np.ndarray:
+    return np.array([log2(max(2, len(text))) for text in learned.values()])
+
+
 def identify(docs: DataFrame, learned: dict[str, str]) -> DataFrame:
     """``doc_id, lang_pred, score`` of every whole text.
 
-    A text is lower-cased and cut into runs of letters; each of them, with the blanks around it, is parsed into
-    the longest substrings of each language's learning text. The language with the fewest phrases
-    wins, normalised as bits per character: phrases times log2 of the learning text's
-    length, by the length of the text; ties go to the first language by code point. ``score``
-    is 1 less the winner's share of the runner-up's bits (1 with one language).
+    A text is lower-cased and cut into runs of letters; each of them, with the blanks around it, is
+    parsed into the longest substrings of each language's learning text. The language with the
+    fewest phrases wins, normalised as bits per character: phrases times log2 of the learning
+    text's length, by the length of the text; ties go to the first language by code point.
+    ``score`` is 1 less the winner's share of the runner-up's bits (1 with one language).
 
     A null text, one without a letter, or any text when nothing was learned is ``und`` with score 0.
     ``doc_id`` may be null or repeated; other columns, whatever their names, are not read.
     """
-    models = tuple(learned.items())
+    models, weights = tuple(learned.items()), _weights(learned)
     names = np.array([*learned, UNKNOWN], dtype=object)
-    weights = np.array([log2(max(2, len(text))) for text in learned.values()])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            winners, scores = [], []
-            for _, texts in slices(batch.column(1)):
-                distinct, places, bounds = split_words(_letters(texts))
-                letters = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
-                phrases = _parser(models).rows(distinct)[places]
-                bits = per_text(phrases, bounds, np.add, 0) * weights
-                best = np.argmin(bits, axis=1)
-                ordered = np.sort(bits, axis=1)
-                sure = np.ones(len(bits))
-                if len(models) > 1:
-                    sure = 1 - ordered[:, 0] / np.maximum(ordered[:, 1], 1e-9)
-                winners.append(np.where(letters, best, len(models)))
-                scores.append(np.where(letters, sure, 0.0))
-            if winners:
-                found = names[np.concatenate(winners)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(found, pa.string()), pa.array(np.concatenate(scores))],
-                    names=["doc_id", "lang_pred", "score"],
-                )
+            winners, scores = _predict(batch.column(1), models, weights)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(names[winners], pa.string()), pa.array(scores)],
+                names=["doc_id", "lang_pred", "score"],
+            )
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     if not models:
         return keyed.select("doc_id", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     return keyed.mapInArrow(predict, "doc_id long, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, learned: dict[str, str]) -> DataFrame:
+    """The rows, all columns unchanged, whose ``text`` has a language."""
+    models, weights = tuple(learned.items()), _weights(learned)
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            winners, _ = _predict(batch.column(at), models, weights)
+            yield batch.filter(pa.array(winners < len(models)))
+
+    return docs.mapInArrow(keep, docs.schema)

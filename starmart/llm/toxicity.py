@@ -197,34 +197,34 @@ def _estimate(
     return ToxicityModel(units, unit, np.maximum(mass, 1e-6), keys, pair)
 
 
-def _features(docs: DataFrame, model: ToxicityModel, window: int, carried: list[str]) -> DataFrame:
-    """Length-normalised ratio of the whole text and the highest of a window of its words."""
-
+def _measure(texts: pa.Array, model: ToxicityModel, memo: Memo, window: int) -> np.ndarray:
+    """Length-normalised ratio of each whole text, and the highest of a window of its words."""
+    means, tops = [np.zeros(0)], [np.zeros(0)]
+    for _, some in slices(texts):
+        distinct, places, bounds = split_words(pc.utf8_lower(some))
+        ids = memo.rows(distinct)[:, 0].astype(np.int64)[places]
+        lengths = np.diff(bounds)
+        ratios = model.ratios(ids, bounds[:-1][lengths > 0])
+        means.append(per_text(ratios, bounds, np.add, 0) / np.maximum(lengths, 1))
+        upto = np.concatenate(([0], np.cumsum(ratios)))
+        at = np.arange(len(ratios))
+        low = np.maximum(at + 1 - window, np.repeat(bounds[:-1], lengths))
+        tops.append(per_text((upto[at + 1] - upto[low]) / window, bounds, np.maximum, 0))
+    return np.column_stack([np.concatenate(means), np.concatenate(tops)])
+
+
+def _features(docs: DataFrame, model: ToxicityModel, window: int, carried: str) -> DataFrame:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(model.places(), 1, capacity=200_000)
         for batch in batches:
-            means, tops = [], []
-            for _, texts in slices(batch.column(0)):
-                distinct, places, bounds = split_words(pc.utf8_lower(texts))
-                ids = memo.rows(distinct)[:, 0].astype(np.int64)[places]
-                lengths = np.diff(bounds)
-                ratios = model.ratios(ids, bounds[:-1][lengths > 0])
-                means.append(per_text(ratios, bounds, np.add, 0) / np.maximum(lengths, 1))
-                upto = np.concatenate(([0], np.cumsum(ratios)))
-                at = np.arange(len(ratios))
-                low = np.maximum(at + 1 - window, np.repeat(bounds[:-1], lengths))
-                sums = (upto[at + 1] - upto[low]) / window
-                tops.append(per_text(sums, bounds, np.maximum, 0))
-            if means:
-                columns = [batch.column(i + 1) for i in range(len(carried))]
-                features = [pa.array(np.concatenate(x)) for x in (means, tops)]
-                yield pa.RecordBatch.from_arrays(
-                    [*columns, *features], names=[*carried, "mean_ratio", "top_ratio"]
-                )
-
-    kinds = [f"{name} long" for name in carried] + ["mean_ratio double", "top_ratio double"]
-    picked = [F.col(name).cast("long").alias(name) for name in carried]
-    return docs.select("text", *picked).mapInArrow(measure, ", ".join(kinds))
+            found = _measure(batch.column(0), model, memo, window)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(1), pa.array(found[:, 0]), pa.array(found[:, 1])],
+                names=[carried, "mean_ratio", "top_ratio"],
+            )
+
+    picked = docs.select("text", F.col(carried).cast("long").alias(carried))
+    return picked.mapInArrow(measure, f"{carried} long, mean_ratio double, top_ratio double")
 
 
 def _logistic(rows: np.ndarray, marks: np.ndarray) -> tuple[float, float, float]:
@@ -271,7 +271,7 @@ def learn(
     _pairs(texts.filter(F.col("fold") > 0)).write.parquet(folder)
     counts = docs.sparkSession.read.parquet(folder)
     model = _estimate(counts, discount, pair_discount, most)
-    held = _features(texts.filter(F.col("fold") == 0), model, window, ["toxic"]).collect()
+    held = _features(texts.filter(F.col("fold") == 0), model, window, "toxic").collect()
     marks = np.array([row.toxic for row in held], dtype=float)
     if not len(marks) or marks.min() == marks.max():
         weights = (0.0, 0.0, 5.0 if len(marks) and marks.min() == 1 else -5.0)
@@ -292,7 +292,21 @@ def score(docs: DataFrame, model: ToxicityModel, window: int = 1) -> DataFrame:
     logit = a * F.col("mean_ratio") + b * F.col("top_ratio") + c
     chance = 1 / (1 + F.exp(-F.least(F.greatest(logit, F.lit(-30.0)), F.lit(30.0))))
     return (
-        _features(docs, model, window, ["doc_id"])
+        _features(docs, model, window, "doc_id")
         .withColumn("score", chance)
         .withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
     )
+
+
+def keep_ordinary(docs: DataFrame, model: ToxicityModel, window: int = 1) -> DataFrame:
+    """The rows, all columns unchanged, whose ``text`` scores below 0.5."""
+    at = docs.columns.index("text")
+    *weights, bias = model.weights
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = Memo(model.places(), 1, capacity=200_000)
+        for batch in batches:
+            logit = _measure(batch.column(at), model, memo, window) @ np.array(weights) + bias
+            yield batch.filter(pa.array(logit < 0))
+
+    return docs.mapInArrow(keep, docs.schema)
