@@ -187,7 +187,12 @@ def _split(regions: DataFrame, large: DataFrame, near: Fraction) -> DataFrame:
         inside.withColumn("_rank", F.row_number().over(first))
         .filter(F.col("_rank") <= _PIVOTS)
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(_PARTS - 1)).cast("array<long>")))
-        .select("region", "part", F.col("shingles").alias("pivot"), F.col("_rank").alias("rank"))
+        .select(
+            F.col("region").alias("_region"),
+            F.col("part").alias("_part"),
+            F.col("shingles").alias("pivot"),
+            F.col("_rank").alias("rank"),
+        )
     )
     reach = 2 * float(1 - near) + 1e-9
 
@@ -212,7 +217,7 @@ def _split(regions: DataFrame, large: DataFrame, near: Fraction) -> DataFrame:
     return (
         inside.select("region", "part", "fp", "shingles")
         .groupBy("region", "part")
-        .cogroup(pivots.groupBy("region", "part"))
+        .cogroup(pivots.groupBy("_region", "_part"))
         .applyInArrow(deal, "region string, fp binary, shingles binary")
     )
 

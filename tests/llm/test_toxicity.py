@@ -1,0 +1,67 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from starmart.llm import toxicity
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def ids(rows):
+    return sorted(((r.doc_id, r.predicted) for r in rows), key=repr)
+
+
+@pytest.fixture
+def labelled(spark, documents):
+    names = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa"]
+    texts = []
+    for i in range(400):
+        words = [names[(i * k + k) % 7] + str((i * k) % 9) for k in range(1, 12)]
+        if i % 4 == 0:
+            words.insert(i % 11, ["dimwit", "dimwits", "dimwitted", "oaf,"][i // 4 % 4])
+        texts.append((i, " ".join(words)))
+    labels = spark.createDataFrame(
+        [(i, None, int(i % 4 == 0)) for i in range(400)] + [(None, 1, 1), (1, 0, None)],
+        "doc_id long, quality int, toxic int",
+    )
+    return documents(texts), labels
+
+
+def test_learns_insults_and_their_beginnings(documents, labelled):
+    model = toxicity.learn(*labelled, F.lit(True))
+    rows = [(1, "alpha1 beta2 dimwit gamma3"), (2, "alpha1 beta2 gamma3"), (3, None), (4, "")]
+    rows += [(None, "an OAF"), (6, "alpha1 " * 50_000 + "oaf"), (2, "alpha1 beta2 gamma3")]
+    scored = toxicity.score(documents(rows), model).collect()
+    expected = [(1, 1), (2, 0), (2, 0), (3, 0), (4, 0), (6, 1), (None, 1)]
+    assert ids(scored) == sorted(expected, key=repr)
+    assert all(0 <= r.score <= 1 for r in scored)
+    ratio = np.log(model.unit[:, 0] / model.unit[:, 1])
+    place = model.places()
+    assert ratio[place("Dimwitty!".lower())] > ratio[place("unheard")] + 1
+    docs = documents(rows)
+    kept = toxicity.keep_ordinary(docs, model)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 2, 3, 4]
+
+
+def test_no_labels_and_empty_tables(documents, labelled):
+    docs, labels = labelled
+    model = toxicity.learn(docs, labels, F.lit(False))
+    assert [r.predicted for r in toxicity.score(documents([(1, "dimwit")]), model).collect()] == [0]
+    assert toxicity.score(documents([]), model).count() == 0
+    assert toxicity.learn(documents([]), labels, F.lit(True)).units == ()
+
+
+def test_model_is_a_distribution(labelled):
+    """Words, and what is left to rare ones, do not add up to more than everything."""
+    model = toxicity.learn(*labelled, F.lit(True))
+    words = np.array([not unit.endswith("*") for unit in model.units] + [False])
+    assert (model.unit[words].sum(0) <= 1 + 1e-9).all() and (model.unit > 0).all()
+
+
+def test_held_out_accuracy(spark):
+    from starmart.llm.queries import QUERIES
+
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
+    found = QUERIES["op6_kneser_ney_toxicity"](spark, FOLDER).join(labels, "doc_id")
+    rows = found.filter("held_out").collect()
+    assert sum(r.toxic == r.predicted for r in rows) >= 0.95 * len(rows)
