@@ -28,16 +28,11 @@ class ToxicityModel:
 
     ``units`` are the words, then the beginnings (``"lowe*"``) that rare words back off to; row
     ``i`` of ``unit`` holds the probabilities in the toxic and the ordinary model, the last row
-    those of a word nothing is known of. ``rest`` is the mass a context leaves to single words,
-    ``pairs`` (context * number of units + word, sorted) and ``pair`` are the discounted
-    probabilities of frequent pairs.
+    those of a word nothing is known of.
     """
 
     units: tuple[str, ...]
     unit: np.ndarray
-    rest: np.ndarray
-    pairs: np.ndarray
-    pair: np.ndarray
     weights: tuple[float, float, float] = (0.0, 0.0, 0.0)
 
     def places(self) -> Callable[[str], int]:
@@ -50,28 +45,19 @@ class ToxicityModel:
 
         return find
 
-    def ratios(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """log P(toxic) - log P(ordinary) of each word after the one before it."""
-        unknown = len(self.units)
-        before = np.concatenate(([unknown], ids[:-1])) if len(ids) else ids
-        before[first] = unknown
-        chance = self.rest[before] * self.unit[ids]
-        if len(self.pairs):
-            keys = before * unknown + ids
-            at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
-            found = (self.pairs[at] == keys) & (before < unknown) & (ids < unknown)
-            chance[found] += self.pair[at[found]]
-        return np.log(chance[:, 0]) - np.log(chance[:, 1])
+    def ratios(self) -> np.ndarray:
+        """log P(toxic) - log P(ordinary) of each unit."""
+        return np.log(self.unit[:, 0]) - np.log(self.unit[:, 1])
 
 
 def _normal(word: str) -> str:
     return word.strip(_EDGES) or word
 
 
-def _pairs(docs: DataFrame) -> DataFrame:
+def _contexts(docs: DataFrame) -> DataFrame:
     """Adjacent words of ``text`` with ``toxic``: in how many texts of each class they occur."""
 
-    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = batch.column(1)
             for low, texts in slices(batch.column(0)):
@@ -88,7 +74,7 @@ def _pairs(docs: DataFrame) -> DataFrame:
                         )
 
     rows = docs.select("text", F.col("toxic").cast("long")).mapInArrow(
-        pair, "before string, word string, toxic long"
+        find, "before string, word string, toxic long"
     )
     return rows.groupBy("before", "word").agg(
         F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("ordinary")
@@ -131,9 +117,7 @@ def _units(words: DataFrame) -> DataFrame:
     )
 
 
-def _estimate(
-    counts: DataFrame, discount: float, pair_discount: float, most: int
-) -> ToxicityModel:
+def _estimate(counts: DataFrame, discount: float, most: int) -> ToxicityModel:
     both = ("toxic", "ordinary")
     words = counts.groupBy("word").agg(
         *[F.sum(F.signum(c).cast("long")).alias(c) for c in both],
@@ -169,42 +153,16 @@ def _estimate(
     stems = np.array([name.endswith("*") for name in units] + [True])
     rare = np.maximum(chance - taken, 1e-12) / np.maximum(crowd, 1)[:, None]
     unit[stems] = rare[stems]
-
-    # A pair borrows from its word unless more texts of the class hold it than the discount.
-    heads = counts.groupBy(F.col("before").alias("head")).agg(*[F.sum(c).alias(f"all_{c}") for c in both])
-    frequent = (
-        counts.filter(F.greatest(*both) > pair_discount)
-        .orderBy(F.greatest(*both).desc(), "before", "word")
-        .limit(most)
-        .join(heads, F.col("before") == F.col("head"))
-        .collect()
-    )
-    kept = sorted(
-        (place[r.before] * root + place[r.word], r)
-        for r in frequent
-        if r.before in place and r.word in place
-    )
-    pair = np.array(
-        [
-            [max(r[c] - pair_discount, 0) / max(1, r[f"all_{c}"]) for c in both]
-            for _, r in kept
-        ]
-    ).reshape(-1, 2)
-    keys = np.array([key for key, _ in kept], dtype=np.int64)
-    mass = np.ones((root + 1, 2))
-    if len(keys):
-        np.subtract.at(mass, keys // root, pair)
-    return ToxicityModel(units, unit, np.maximum(mass, 1e-6), keys, pair)
+    return ToxicityModel(units, unit)
 
 
 def _measure(texts: pa.Array, model: ToxicityModel, memo: Memo, window: int) -> np.ndarray:
     """Length-normalised ratio of each whole text, and the highest of a window of its words."""
-    means, tops = [np.zeros(0)], [np.zeros(0)]
+    means, tops, by_unit = [np.zeros(0)], [np.zeros(0)], model.ratios()
     for _, some in slices(texts):
         distinct, places, bounds = split_words(pc.utf8_lower(some))
-        ids = memo.rows(distinct)[:, 0].astype(np.int64)[places]
+        ratios = by_unit[memo.rows(distinct)[:, 0].astype(np.int64)][places]
         lengths = np.diff(bounds)
-        ratios = model.ratios(ids, bounds[:-1][lengths > 0])
         means.append(per_text(ratios, bounds, np.add, 0) / np.maximum(lengths, 1))
         upto = np.concatenate(([0], np.cumsum(ratios)))
         at = np.arange(len(ratios))
@@ -248,7 +206,6 @@ def learn(
     trained: Column,
     per_class: int = 4000,
     discount: float = 3.0,
-    pair_discount: float = 8.0,
     most: int = 100_000,
     window: int = 1,
 ) -> ToxicityModel:
@@ -257,9 +214,10 @@ def learn(
     The bounded sample: ``per_class`` keys of each class with the lowest hash. Three of four folds
     are counted: a word's count in a class is the number of distinct words before it there, so
     copies of a text add nothing; what is discounted goes to the counts that both classes share.
-    A rare word backs off to the words that begin alike. At most ``most`` words and pairs are kept, the most frequent ones; the others
-    count as rare. The fourth fold sets the weights of the score. A key with several labels is
-    toxic if any says so; null labels and keys are left out.
+    A rare word backs off to the words that begin alike. At most ``most`` words and
+    beginnings are kept, the most frequent ones; the others count as rare. The fourth fold sets
+    the weights of the score. A key with several labels is toxic if any says so; null labels and
+    keys are left out.
     """
     sample = F.broadcast(_sample(labels, trained, per_class))
     texts = (
@@ -268,9 +226,9 @@ def learn(
         .join(sample, "doc_id")
     )
     folder = scratch_folder(docs.sparkSession)
-    _pairs(texts.filter(F.col("fold") > 0)).write.parquet(folder)
+    _contexts(texts.filter(F.col("fold") > 0)).write.parquet(folder)
     counts = docs.sparkSession.read.parquet(folder)
-    model = _estimate(counts, discount, pair_discount, most)
+    model = _estimate(counts, discount, most)
     held = _features(texts.filter(F.col("fold") == 0), model, window, "toxic").collect()
     marks = np.array([row.toxic for row in held], dtype=float)
     if not len(marks) or marks.min() == marks.max():

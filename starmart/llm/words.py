@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SLICE_BYTES = 8 << 20
+_SLICE_BYTES = 4 << 20
 
 
 def remainder(divisor: int, key: str = "doc_id") -> Column:
