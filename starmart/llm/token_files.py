@@ -64,6 +64,7 @@ def _pack(ids: np.ndarray) -> tuple[int, bytes]:
 
 def train_dictionary(
     docs: DataFrame,
+    rows: int,
     tokenizer: str,
     end_id: int = 2,
     size: int = 64 << 10,
@@ -73,13 +74,16 @@ def train_dictionary(
     """A dictionary from the id arrays of a bounded sample; empty if the sample is too small.
 
     The sample: of the texts of 1 to ``longest`` characters, the ``sample`` rows whose key has the
-    lowest hash. Short documents are the ones a dictionary helps.
+    lowest hash. Short documents are the ones a dictionary helps. Of ``rows`` rows in all
+    only a share of about eight samples is looked at, so that what tasks send on stays bounded.
     """
     import zstandard
 
+    share = min(1.0, 8 * sample / max(1, rows)) * (1 << 30)
     drawn = (
         docs.filter(F.length("text").between(1, longest))
         .select("text", F.xxhash64("doc_id", "text").alias("_draw"))
+        .filter(F.pmod("_draw", F.lit(1 << 30)) <= share)
         .orderBy("_draw")
         .limit(sample)
         .select("text")
@@ -150,9 +154,9 @@ def write_token_files(
 
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-total // bytes_per_part))
-    shared = train_dictionary(docs, tokenizer, end_id)
+    total, rows = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    parts = max(1, -(-(total or 0) // bytes_per_part))
+    shared = train_dictionary(docs, rows, tokenizer, end_id)
     digest = hashlib.sha256(shared).digest()
     place, base = _place(folder)
     place.create_dir(base, recursive=True)

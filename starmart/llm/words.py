@@ -18,11 +18,11 @@ def remainder(divisor: int, key: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % divisor
 
 
-def slices(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
-    """The texts in runs of some megabytes, or one longer text; a null becomes empty."""
+def slices(texts: pa.Array, size: int = _SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """The texts in runs of about ``size`` bytes, or one longer text; a null becomes empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
-    runs = (np.cumsum(sizes) - sizes) // _SLICE_BYTES
+    runs = (np.cumsum(sizes) - sizes) // size
     edges = np.flatnonzero(np.diff(runs, prepend=-1))
     for low, high in zip(edges, [*edges[1:], len(texts)]):
         yield int(low), texts.slice(low, high - low)
