@@ -20,6 +20,7 @@ from starmart.operators import (
     layer_share,
     summarise_runs,
 )
+from starmart.operators.run_metrics import SUCCESS
 from starmart.plans import PROFILES, REFERENCES, REPORTS, Profile, persisted, profile, scratch_folder
 from starmart.sinks import write_csv, write_parquet, write_run_metrics
 from starmart.sources import (
@@ -70,6 +71,21 @@ def run_layers(spark: SparkSession, settings: Profile, bronze: str, out: str):
             yield "gold", name, *step(result, path, settings, None, settings.single_file)
 
 
+def recorded(name: str, run: int, settings: Profile, steps) -> list[tuple]:
+    """The steps of a run as rows; one that fails ends its run, is recorded and stops no other."""
+    rows: list[tuple] = []
+    try:
+        for stage, item, transform, write, count in steps:
+            rows.append(
+                (name, run, stage, item, transform, write, count, SUCCESS, settings.description)
+            )
+    except Exception as error:
+        print(f"{name}, run {run} failed: {error}", file=sys.stderr)
+        stage = rows[-1][2] if rows else "silver"
+        rows.append((name, run, stage, "failed", None, None, None, "failed", settings.description))
+    return rows
+
+
 def main(names: list[str]) -> None:
     spark = session()
     base = scratch_folder(spark)
@@ -83,13 +99,9 @@ def main(names: list[str]) -> None:
         with profile(spark, PROFILES[name]) as settings:
             for run in range(1, RUNS + 1):
                 out = f"{base}/{name}_run{run}"
-                for stage, item, transform, write, rows in run_layers(
-                    spark, settings, f"{base}/bronze", out
-                ):
-                    measured.append(
-                        (name, run, stage, item, transform, write, rows, "success",
-                         settings.description)
-                    )
+                measured += recorded(
+                    name, run, settings, run_layers(spark, settings, f"{base}/bronze", out)
+                )
     path = write_run_metrics(spark.createDataFrame(measured, RUNS_SCHEMA), base)
     summary = summarise_runs(read_run_metrics(spark, path))
     summary.drop("description").show(truncate=False)

@@ -12,6 +12,7 @@ ORACLES: dict[str, str] = {}
 
 # Fixed values of the noise, see its operator.
 PRIME = 2**31 - 1
+FOLD = 1_000_003_391
 LEVEL = int(0.3 * PRIME)
 NULL_SHARE = 500
 
@@ -85,7 +86,7 @@ def _all_rules(table: str) -> dict[str, str]:
 def _noisy(table: str, keys: list[str], bad: str = f"draw < {LEVEL}") -> str:
     folded = "CAST(0 AS BIGINT)"
     for key in keys:
-        folded = f"(({folded} * 31 + {key} % {PRIME}) % {PRIME})"
+        folded = f"(({folded} * {FOLD} + {key} % {PRIME}) % {PRIME})"
     columns = COLUMNS[table]
     number = "list_extract([-1, -99, 0], CAST(variant % 3 AS INTEGER) + 1)"
     old_date = "DATE '2025-01-01' - (CAST(variant * 7919 % 146000 AS INTEGER) + 36500)"
@@ -178,7 +179,8 @@ def _sums(measure: str) -> str:
 
 _CTES["totals"] = f"""
         SELECT experiment, run, {_sums('transform_s')}, {_sums('write_s')},
-               CAST(SUM(CAST(transform_s + write_s AS DECIMAL(28, 9))) AS DOUBLE) AS total_s,
+               COALESCE(CAST(SUM(CAST(transform_s AS DECIMAL(28, 9))) AS DOUBLE), 0.0)
+                   + COALESCE(CAST(SUM(CAST(write_s AS DECIMAL(28, 9))) AS DOUBLE), 0.0) AS total_s,
                bool_and(status = 'success') AS succeeded, MIN(description) AS description
         FROM runs GROUP BY experiment, run"""
 _CTES["summary"] = """
@@ -458,3 +460,26 @@ oracle(
     "medallion_end_to_end",
     _country("restored_transactions", "denoised_users", "denoised_products"),
 )
+
+oracle(
+    "csv_line_breaks",
+    """
+SELECT user_id, name, email, country,
+       address || CASE user_id % 4 WHEN 3 THEN '   ' ELSE ' ' END || name AS address,
+       CAST(signup_date AS VARCHAR) AS signup_date
+FROM raw_users""",
+)
+
+# Prices that no decimal of six places holds: the sums are doubles, to so many digits.
+oracle(
+    "money_extremes",
+    """
+SELECT kind, CAST(day AS VARCHAR) AS transaction_date, ROUND(SUM(quantity * price) / unit, 3) AS total
+FROM (
+    SELECT kind, unit, transaction_date AS day, quantity,
+           CASE kind WHEN 'tiny' THEN 4e-7 WHEN 'huge' THEN 1e13
+               ELSE CASE WHEN product_id % 2 = 0 THEN 4e-7 ELSE price END END AS price
+    FROM raw_transactions JOIN raw_products USING (product_id)
+    CROSS JOIN (VALUES ('tiny', 1e-7), ('huge', 1e13), ('mixed', 1.0)) AS k(kind, unit))
+GROUP BY kind, unit, day""",
+)

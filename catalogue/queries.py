@@ -16,7 +16,6 @@ from starmart.functions import parsed_date
 from starmart.plans import (
     REFERENCES,
     REPORTS,
-    SPLIT_HOT_KEYS,
     run_medallion,
     run_sql_reports,
     scratch_folder,
@@ -97,10 +96,9 @@ def silver_star(spark: SparkSession, folder: str, source=raw) -> Star:
     """The cleaned tables; transactions refer to cleaned users and products only.
 
     The reports below join them in the same job that enforced the references, on the same
-    keys, which is where a hot key is split only on request.
+    keys, which is where a hot key is split only on request (``SPLIT_HOT_KEYS``, a setting
+    that is left to the session).
     """
-    for key, value in SPLIT_HOT_KEYS.items():
-        spark.conf.set(key, value)
     tables = {name: silver(spark, folder, name, source) for name in Star._fields}
     references = {key: tables[dim] for key, dim in REFERENCES.items()}
     tables["transactions"] = op.enforce_fks(tables["transactions"], references)
@@ -190,9 +188,8 @@ def sink_partitioned(spark, folder):
 
 @query
 def sink_gold_table(spark, folder):
-    location = scratch_folder(spark)
-    database = "gold_" + location.rsplit("starmart-", 1)[-1]
-    sinks.ensure_database(spark, database, location)
+    database = "starmart_gold"  # one for all calls: the table is replaced
+    sinks.ensure_database(spark, database)
     report = REPORTS["performance_analysis_by_country"](*silver_star(spark, folder))
     return spark.table(
         sinks.write_table(report, database, "performance_analysis_by_country", single_file=True)
@@ -443,6 +440,33 @@ def sales_moving_average(spark, folder):
     return _plain(REPORTS["sales_moving_average"](*silver_star(spark, folder)))
 
 
+@query
+def money_extremes(spark, folder):
+    """Totals of prices that cleaning accepts but no decimal of six places holds."""
+    products, transactions = (raw(spark, folder, t) for t in ("products", "transactions"))
+    known = transactions.join(products.select("product_id"), "product_id", "left_semi")
+    prices = {
+        "tiny": ("4e-7D", 1e-7),
+        "huge": ("1e13D", 1e13),
+        "mixed": ("CASE WHEN product_id % 2 = 0 THEN 4e-7D ELSE price END", 1.0),
+    }
+    totals = []
+    for kind, (price, unit) in prices.items():
+        daily = op.daily_sales(known, products.withColumn("price", F.expr(price)))
+        total = F.round(F.col("total_sales") / unit, 3).alias("total")
+        totals.append(daily.select(F.lit(kind).alias("kind"), "transaction_date", total))
+    return _plain(totals[0].unionByName(totals[1]).unionByName(totals[2]))
+
+
+@query
+def csv_line_breaks(spark, folder):
+    """Texts with line breaks of each kind, written as CSV and read again: a row stays a row."""
+    users, path = raw(spark, folder, "users"), f"{scratch_folder(spark)}/users.csv"
+    breaks = F.expr("element_at(array('\\n', '\\r', '\\r\\n', ' \\n\\n'), CAST(user_id % 4 AS INT) + 1)")
+    sinks.write_csv(users.withColumn("address", F.concat("address", breaks, "name")), path)
+    return _plain(sources.read_bronze(spark, path, "users"))
+
+
 # --- noise ------------------------------------------------------------------------------
 
 

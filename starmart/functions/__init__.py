@@ -2,7 +2,14 @@
 
 from starmart.functions.dates import parsed_date
 from starmart.functions.hashing import DRAW_RANGE, row_draw
-from starmart.functions.numbers import MONEY, SECONDS, exact_sum, whole_number
+from starmart.functions.numbers import (
+    MONEY,
+    SECONDS,
+    both_parts,
+    exact_total,
+    split_exact,
+    whole_number,
+)
 from starmart.functions.predicates import all_of, known, positive, present, quoted
 from starmart.functions.windows import over
 
@@ -11,7 +18,8 @@ __all__ = [
     "MONEY",
     "SECONDS",
     "all_of",
-    "exact_sum",
+    "both_parts",
+    "exact_total",
     "known",
     "over",
     "parsed_date",
@@ -19,5 +27,6 @@ __all__ = [
     "present",
     "quoted",
     "row_draw",
+    "split_exact",
     "whole_number",
 ]

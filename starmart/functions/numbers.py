@@ -2,23 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.functions.predicates import quoted
 
 # Prices are doubles in the data model. Summing doubles gives last digits that change with
-# partitioning and task order, so money is summed as a decimal and only the result is a double.
+# partitioning and task order, so every number that this type holds without loss is summed as
+# a decimal. Others (tiny, huge, infinite) are summed as doubles, and the result is a double.
 MONEY = T.DecimalType(18, 6)
 
 # Clock readings, to the nanosecond.
 SECONDS = T.DecimalType(28, 9)
 
 
-def exact_sum(col: Column, unit: T.DecimalType) -> Column:
-    """Order-independent sum in ``unit``, as a double."""
-    return F.sum(col.cast(unit)).cast("double")
+def split_exact(value: str, unit: T.DecimalType = MONEY) -> tuple[str, str]:
+    """SQL text: the value as ``unit`` and as a double; the one that loses nothing, the other NULL."""
+    exact, plain = f"try_cast({value} AS {unit.simpleString()})", f"CAST({value} AS DOUBLE)"
+    fits = f"CAST({exact} AS DOUBLE) <=> {plain}"
+    return f"CASE WHEN {fits} THEN {exact} END", f"CASE WHEN NOT ({fits}) THEN {plain} END"
+
+
+def both_parts(exact: str, rest: str) -> str:
+    """SQL text: the double that two sums make; NULL only if both are."""
+    exact = f"CAST({exact} AS DOUBLE)"
+    return f"coalesce({exact} + {rest}, {exact}, {rest})"
+
+
+def exact_total(value: str, unit: T.DecimalType = MONEY, over: str = "") -> str:
+    """SQL text: the sum of a column or expression as a double, whatever the order of the rows
+    as far as ``unit`` holds the values; nothing is rounded away or dropped."""
+    exact, rest = (f"sum({part}) {over}" for part in split_exact(value, unit))
+    return both_parts(exact, rest)
 
 
 def whole_number(name: str, dtype: T.IntegralType) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +18,7 @@ BAD_DATE_DAYS_AGO = (36500, 182500)  # 100 to 500 years
 
 _SHARE_STEPS = 1000
 _SPREAD = 7919
-_SLICE = 2**16
+_SLICE = 2**11
 
 
 def inject_noise(
@@ -39,13 +39,15 @@ def inject_noise(
 
     By default each row is picked on its own, so the count is ``level`` of the rows on
     average. ``exact`` damages exactly ``int(rows * level)`` rows, at the price of two more
-    passes that count rows by draw.
+    scans that count rows by draw; only rows equal in all columns cannot be told apart. Rows with a
+    NULL key are drawn by a hash of all their columns.
     """
     keys = [key] if isinstance(key, str) else list(key)
     schema = df.schema
-    drawn = df.select("*", F.expr(row_draw(keys, seed)).alias("_draw"))
+    whole_row = f"xxhash64({', '.join(map(quoted, df.columns))})"
+    drawn = df.select("*", F.expr(row_draw(keys, seed, whole_row)).alias("_draw"))
     if exact:
-        drawn = _pick_exactly(drawn, level, keys)
+        drawn = _pick_exactly(drawn, level, whole_row)
     else:
         drawn = drawn.select("*", F.expr(f"_draw < {int(level * DRAW_RANGE)}L").alias("_bad"))
 
@@ -84,39 +86,31 @@ def _wrong_value(field: T.StructField, variant: str, today: date | None) -> str:
     return "''"
 
 
-def _pick_exactly(drawn: DataFrame, level: float, keys: Sequence[str]) -> DataFrame:
+def _pick_exactly(drawn: DataFrame, level: float, whole_row: str) -> DataFrame:
     """Mark the rows with the smallest draws, exactly as many as asked for.
 
-    The largest draw to take is found in two steps, each over counts: first the slice of
-    draws it lies in, then the draw itself within that slice. What meets in one task is a
-    counter per slice or per draw (65,536 at most) and the rows that share the last draw,
-    which are told apart by their key.
+    The last row to take is found in two scans of counts: first the slice of draws it lies in,
+    then its place in that slice by draw and, where draws are equal, by a hash of the row. What
+    meets in one task is a counter per slice (a million) and the rows of one slice, a
+    millionth of all.
     """
-    in_slice = F.expr(f"_draw div {_SLICE}")
-    wanted = drawn.agg(F.floor(F.count("*") * F.lit(level)).cast("bigint")).scalar()
-    cut_slice, still = _where_reached(drawn.groupBy(in_slice.alias("at")).count(), wanted)
-
-    inside = drawn.where(in_slice == cut_slice)
-    last, missing = _where_reached(inside.groupBy(F.col("_draw").alias("at")).count(), still)
-
-    draw = F.col("_draw")
-    others = drawn.where(~draw.eqNullSafe(last)).select(
-        "*", F.coalesce(draw < last, F.lit(False)).alias("_bad")
-    )
-    place = F.row_number().over(Window.partitionBy("_draw").orderBy(*keys))
-    at_last = drawn.where(draw == last).select("*", (place <= missing).alias("_bad"))
-    return others.unionByName(at_last)
-
-
-def _where_reached(counts: DataFrame, wanted: Column) -> tuple[Column, Column]:
-    """The first position at which the running count reaches ``wanted``, and how many are
-    missing before it; both NULL if nothing is wanted. One scalar subquery."""
-    in_order = Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    missing = wanted - F.coalesce(F.sum("count").over(in_order), F.lit(0))
+    slices = drawn.groupBy(F.expr(f"_draw div {_SLICE}").alias("_slice")).count()
+    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    wanted = F.floor(F.sum("count").over(Window.partitionBy()) * F.lit(level)).cast("bigint")
+    missing = wanted - F.coalesce(F.sum("count").over(before), F.lit(0))
     cut = (
-        counts.select("at", "count", missing.alias("missing"))
-        .where((F.col("missing") > 0) & (F.col("missing") <= F.col("count")))
-        .select(F.struct("at", "missing"))
+        slices.select("_slice", "count", missing.alias("_missing"))
+        .where((F.col("_missing") > 0) & (F.col("_missing") <= F.col("count")))
+        .select("_slice", "_missing")
+    )
+    row = F.struct(F.col("_draw").alias("draw"), F.expr(whole_row).alias("row"))
+    inside = drawn.select(F.expr(f"_draw div {_SLICE}").alias("_at"), row.alias("_row"))
+    place = F.row_number().over(Window.orderBy("_row"))
+    last = (
+        inside.join(F.broadcast(cut), F.col("_at") == F.col("_slice"))
+        .select("_row", "_missing", place.alias("_place"))
+        .where(F.col("_place") == F.col("_missing"))
+        .select("_row")
         .scalar()
     )
-    return cut.getField("at"), cut.getField("missing")
+    return drawn.select("*", F.coalesce(row <= last, F.lit(False)).alias("_bad"))

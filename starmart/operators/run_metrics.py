@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.functions import SECONDS, exact_sum
+from starmart.functions import SECONDS, exact_total, over, quoted
 
 SUCCESS = "success"
 STAGES = ("silver", "gold")
 
 
 def _mean(col: str) -> Column:
-    return F.sum(F.col(col).cast(SECONDS)).cast("double") / F.count(col)
+    return F.expr(exact_total(quoted(col), SECONDS)) / F.count(col)
 
 
 def stage_totals(runs: DataFrame) -> DataFrame:
@@ -20,21 +20,19 @@ def stage_totals(runs: DataFrame) -> DataFrame:
 
     A run succeeded if all of its steps did.
     """
-    in_stage = {stage: F.col("stage") == stage for stage in STAGES}
     sums = []
     for measure in ("transform_s", "write_s"):
-        seconds = F.col(measure)
-        sums += [
-            F.coalesce(exact_sum(F.when(here, seconds), SECONDS), F.lit(0.0)).alias(
-                f"{stage}_{measure}"
-            )
-            for stage, here in in_stage.items()
-        ]
-        sums.append(exact_sum(seconds, SECONDS).alias(f"total_{measure}"))
-    total = exact_sum(F.col("transform_s") + F.col("write_s"), SECONDS).alias("total_s")
+        for stage in STAGES:
+            here = f"CASE WHEN stage = '{stage}' THEN {measure} END"
+            seconds = f"coalesce({exact_total(here, SECONDS)}, 0D)"
+            sums.append(F.expr(seconds).alias(f"{stage}_{measure}"))
+        sums.append(F.expr(exact_total(measure, SECONDS)).alias(f"total_{measure}"))
+    # Each measure is totalled by itself: a step may lack one of them.
+    transform, write = (exact_total(measure, SECONDS) for measure in ("transform_s", "write_s"))
+    total = f"coalesce({transform} + {write}, {transform}, {write})"
     return runs.groupBy("experiment", "run").agg(
         *sums,
-        total,
+        F.expr(total).alias("total_s"),
         F.bool_and(F.col("status") == SUCCESS).alias("succeeded"),
         F.min("description").alias("description"),
     )
@@ -97,29 +95,34 @@ def layer_share(summary: DataFrame) -> DataFrame:
 
 
 def group_distribution(runs: DataFrame) -> DataFrame:
-    """Mean, spread and quartiles of the run totals per experiment (a value per run)."""
+    """Mean, spread and quartiles of the run totals per experiment (a value per run).
+
+    Run totals are ranked, a sort that spills, and each quartile is read off the one or two
+    totals at its place; no list of an experiment's totals is kept.
+    """
     value = "total_transform_s"
-    quartiles = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    return (
-        _successful(runs)
-        .groupBy("experiment")
-        .agg(
-            _mean(value).alias("mean_s"),
-            F.stddev_pop(value).alias("std_s"),
-            F.min(value).alias("min_s"),
-            F.max(value).alias("max_s"),
-            quartiles.alias("_quartiles"),
-        )
-        .select(
-            "experiment",
-            "mean_s",
-            F.col("_quartiles")[1].alias("median_s"),
-            "std_s",
-            "min_s",
-            "max_s",
-            F.col("_quartiles")[0].alias("q1_s"),
-            F.col("_quartiles")[2].alias("q3_s"),
-        )
+    totals = _successful(runs).where(F.col(value).isNotNull())
+    ranked = totals.selectExpr(
+        "experiment",
+        value,
+        f"row_number() {over(['experiment'], [value])} - 1 AS _place",
+        "count(*) OVER (PARTITION BY experiment) - 1 AS _last",
+    )
+
+    def quartile(share: float) -> Column:
+        """The total at ``share`` of the way, between neighbours in proportion."""
+        at = f"{share}D * _last"
+        weight = f"greatest(0D, 1 - abs(_place - {at}))"
+        return F.expr(f"sum(CASE WHEN {weight} > 0 THEN {weight} * {value} END)")
+
+    return ranked.groupBy("experiment").agg(
+        _mean(value).alias("mean_s"),
+        quartile(0.5).alias("median_s"),
+        F.stddev_pop(value).alias("std_s"),
+        F.min(value).alias("min_s"),
+        F.max(value).alias("max_s"),
+        quartile(0.25).alias("q1_s"),
+        quartile(0.75).alias("q3_s"),
     )
 
 

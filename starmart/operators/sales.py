@@ -10,31 +10,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.functions import MONEY, quoted
+from starmart.functions import both_parts, quoted, split_exact
 
-_AMOUNT = "_price * quantity AS amount"
-_TOTAL = "CAST(coalesce(sum(amount), 0) AS DECIMAL(38, 6))"
+# A sale is a decimal where its price is one without loss, else a double; see ``split_exact``.
+_AMOUNTS = ("_price * quantity AS amount", "_odd_price * quantity AS odd_amount")
+_SUMS = ("sum(amount) AS amount", "sum(odd_amount) AS odd_amount")
+_TOTAL = both_parts("sum(amount)", "sum(odd_amount)")
 
 
 def _priced(transactions: DataFrame, products: DataFrame, how: str) -> DataFrame:
-    """The fact with the ``_price`` of its product; NULL if a left join finds none."""
+    """The fact with ``_price`` or ``_odd_price`` of its product; NULL if a left join finds none."""
+    price, odd_price = split_exact("price")
     prices = products.selectExpr(
-        "product_id AS _product_id", f"CAST(price AS {MONEY.simpleString()}) AS _price"
+        "product_id AS _product_id", f"{price} AS _price", f"{odd_price} AS _odd_price"
     )
     return transactions.join(prices, F.expr("product_id = _product_id"), how)
 
 
 def daily_sales(transactions: DataFrame, products: DataFrame) -> DataFrame:
-    """``total_sales`` per day with at least one transaction, as a decimal.
+    """``total_sales`` per day with at least one transaction.
 
     A transaction of an unknown product counts as 0 but keeps its day in the series.
     """
     dated = "CAST(transaction_date AS DATE) AS transaction_date"
     return (
         _priced(transactions, products, "left")
-        .selectExpr(dated, _AMOUNT)
+        .selectExpr(dated, *_AMOUNTS)
         .groupBy("transaction_date")
-        .agg(F.expr(f"{_TOTAL} AS total_sales"))
+        .agg(F.expr(f"coalesce({_TOTAL}, 0D) AS total_sales"))
     )
 
 
@@ -45,14 +48,14 @@ def user_spend(transactions: DataFrame, users: DataFrame, products: DataFrame) -
     """
     spend = (
         _priced(transactions, products, "inner")
-        .selectExpr("user_id", _AMOUNT)
+        .selectExpr("user_id", *_AMOUNTS)
         .groupBy("user_id")
-        .agg(F.expr("sum(amount) AS _spent"))
+        .agg(*map(F.expr, _SUMS))
     )
     return (
         spend.join(users.select("user_id", "name"), "user_id")
         .groupBy("user_id", "name")
-        .agg(F.expr("CAST(sum(_spent) AS DOUBLE) AS total_spent"))
+        .agg(F.expr(f"{_TOTAL} AS total_spent"))
     )
 
 
@@ -71,26 +74,39 @@ def segment_performance(
 ) -> DataFrame:
     """Sales, distinct transactions and distinct buyers per user segment.
 
-    A segment without any transaction appears with zeros. It comes from a row per user
-    without a transaction rather than from an outer join starting at the users: that join
-    could neither broadcast the users nor split a hot one.
+    The fact is reduced to a row per user and transaction before it meets the users; buyers
+    are counted from a row per user, read from one column. Each of the two counts has an
+    aggregation of its own, so nothing is expanded. A segment without any transaction appears with zeros: it comes from
+    a row per segment rather than from an outer join starting at the users, which could neither
+    broadcast the users nor split a hot one.
     """
     segment = quoted(by)
     sales = (
         _priced(transactions, products, "left")
-        .selectExpr("transaction_id", "user_id", _AMOUNT)
-        .join(users.selectExpr("user_id AS _user_id", segment), F.expr("user_id = _user_id"))
-        .selectExpr(segment, "amount", "transaction_id", "user_id")
+        .selectExpr("transaction_id", "user_id", *_AMOUNTS)
+        .groupBy("user_id", "transaction_id")
+        .agg(*map(F.expr, _SUMS))
     )
-    no_sales = users.selectExpr(
-        segment, "NULL AS amount", "NULL AS transaction_id", "NULL AS user_id"
-    )
-    return (
-        sales.unionAll(no_sales)
+    segments = users.selectExpr("user_id AS _user_id", segment)
+    bought = F.expr("user_id = _user_id")
+    parts = [
+        sales.join(segments, bought)
         .groupBy(by)
         .agg(
-            F.expr(f"CAST({_TOTAL} AS DOUBLE) AS total_sales"),
+            *map(F.expr, _SUMS),
             F.expr("count(DISTINCT transaction_id) AS total_transactions"),
-            F.expr("count(DISTINCT user_id) AS total_users"),
-        )
+            F.expr("0L AS total_users"),
+        ),
+        transactions.select("user_id")
+        .distinct()
+        .join(segments, bought)
+        .groupBy(by)
+        .agg(F.expr("count(DISTINCT user_id) AS total_users")),
+        segments.select(by).distinct(),
+    ]
+    measured = parts[0].unionByName(parts[1], True).unionByName(parts[2], True)
+    return measured.groupBy(by).agg(
+        F.expr(f"coalesce({_TOTAL}, 0D) AS total_sales"),
+        F.expr("coalesce(sum(total_transactions), 0L) AS total_transactions"),
+        F.expr("coalesce(sum(total_users), 0L) AS total_users"),
     )

@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
-from starmart.functions import over, quoted
+from starmart.functions import exact_total, over, quoted
 
 
 def period_over_period(
@@ -45,4 +46,6 @@ def moving_average(
     """
     frame = over(partition_by, [order], rows=(f"{rows - 1} PRECEDING", "CURRENT ROW"))
     total = f"CAST(sum({quoted(value)}) {frame} AS DOUBLE)"
+    if isinstance(df.schema[value].dataType, T.DoubleType):
+        total = exact_total(quoted(value), over=frame)
     return df.selectExpr("*", f"{total} / count(*) {frame} AS {quoted(result_as)}")

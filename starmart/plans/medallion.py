@@ -55,6 +55,7 @@ def run_gold(
     silver: str,
     gold: str | None = None,
     database: str | None = None,
+    location: str | None = None,
     reports: Iterable[str] = REPORTS,
     sql_files: Sequence[str | Path] = (),
     cache: bool = False,
@@ -64,8 +65,8 @@ def run_gold(
 ) -> dict[str, DataFrame]:
     """Compute reports over the silver tables and return them as written.
 
-    They go to ``{gold}/{report}`` as Parquet or to tables of ``database``: the named
-    ``reports``, then those of ``sql_files`` under their stems. ``cache`` keeps the
+    They go to ``{gold}/{report}`` as Parquet or to tables of ``database`` (made at ``location``
+    if it is missing): the named ``reports``, then those of ``sql_files`` under their stems. ``cache`` keeps the
     dimensions, which several reports read, and never the fact; the daily series, which two
     reports start from, is always computed once. Declare ``schemas`` of partitioned tables
     (see ``read_silver``).
@@ -75,7 +76,7 @@ def run_gold(
     declared = schemas or {}
     tables = {name: read_silver(spark, f"{silver}/{name}", declared.get(name)) for name in TABLES}
     if database:
-        ensure_database(spark, database)
+        ensure_database(spark, database, location)
 
     def write(name: str, report: DataFrame) -> DataFrame:
         if database:
@@ -106,8 +107,17 @@ def run_gold(
 
 
 def run_medallion(
-    spark: SparkSession, bronze: str, silver: str, gold: str
+    spark: SparkSession,
+    bronze: str,
+    silver: str,
+    gold: str | None = None,
+    *,
+    date_format: str | None = None,
+    compression: str | None = "snappy",
+    partition_products_by: str | None = None,
+    **gold_options,
 ) -> dict[str, DataFrame]:
-    """Both layer jobs in order."""
-    run_silver(spark, bronze, silver)
-    return run_gold(spark, silver, gold, schemas=TABLES)
+    """Both layer jobs in order; the options are those of ``run_silver`` and ``run_gold``."""
+    run_silver(spark, bronze, silver, date_format, compression, partition_products_by)
+    gold_options = {"schemas": TABLES, **gold_options}
+    return run_gold(spark, silver, gold, compression=compression, **gold_options)

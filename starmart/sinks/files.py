@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from starmart.functions import quoted
 from starmart.sources.files import CSV_DIALECT
 
 
@@ -40,13 +44,22 @@ def write_parquet(
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header in each file, written by all tasks; NULL and "" are both empty."""
-    df.write.mode("overwrite").options(**CSV_DIALECT).csv(path)
+    """CSV with a header in each file, written by all tasks; NULL and "" are both empty.
+
+    A line is a row, so that files can be split: line breaks in texts become blanks.
+    """
+    lines = [
+        F.regexp_replace(quoted(field.name), r"\r\n|\r|\n", " ").alias(field.name)
+        if isinstance(field.dataType, T.StringType)
+        else F.col(quoted(field.name))
+        for field in df.schema.fields
+    ]
+    df.select(*lines).write.mode("overwrite").options(**CSV_DIALECT).csv(path)
 
 
 def write_run_metrics(runs: DataFrame, folder: str, at: datetime | None = None) -> str:
-    """JSON lines under a name that carries the time; returns the path."""
+    """JSON lines under a new name that carries the time; returns the path."""
     moment = at or datetime.now(timezone.utc)
-    path = f"{folder.rstrip('/')}/runs_{moment:%Y%m%d_%H%M%S}"
-    runs.write.mode("overwrite").json(path)
+    path = f"{folder.rstrip('/')}/runs_{moment:%Y%m%d_%H%M%S}_{uuid4().hex[:12]}"
+    runs.write.mode("errorifexists").json(path)
     return path

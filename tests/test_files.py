@@ -13,7 +13,7 @@ from starmart.sinks import (
     write_run_metrics,
     write_table,
 )
-from starmart.sources import PRODUCTS, RUNS, read_bronze, read_run_metrics, read_silver
+from starmart.sources import PRODUCTS, RUNS, USERS, read_bronze, read_run_metrics, read_silver
 
 
 def write(path: Path, text: str) -> str:
@@ -152,7 +152,7 @@ def test_run_metrics_round_trip(spark, tmp_path):
          ("b", 2, "gold", "r", None, None, None, "failed", None)], RUNS
     )
     path = write_run_metrics(runs, str(tmp_path), at=datetime(2025, 1, 2, 3, 4, 5))
-    assert path.endswith("runs_20250102_030405")
+    assert "/runs_20250102_030405_" in path
     assert sorted(rows(read_run_metrics(spark, path)), key=repr) == sorted(rows(runs), key=repr)
 
 
@@ -179,17 +179,39 @@ def test_registered_views(spark):
     assert not spark.catalog.tableExists("users")
 
 
-def test_scratch_is_shared_and_new(spark):
+def test_scratch_is_shared_and_new(spark, conf):
     one, two = scratch_folder(spark), scratch_folder(spark)
     assert one != two and one.startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
-class Session:
-    def __init__(self, **options):
-        self.conf = {f"spark.{k}": v for k, v in options.items()}
+@pytest.mark.parametrize("master", ["local[2]", "spark://host:7077"])
+def test_scratch_without_a_checkpoint_folder_lies_in_the_warehouse(master):
+    class Conf:
+        values = {"spark.master": master, "spark.sql.warehouse.dir": "hdfs://shared/warehouse/"}
 
+        def get(self, key, *default):
+            return self.values.get(key, *default)
 
-def test_scratch_on_a_cluster_must_be_named():
-    with pytest.raises(ValueError, match="checkpoint"):
-        scratch_folder(Session(master="yarn"))
-    assert Path(scratch_folder(Session(master="local[2]"))).is_dir()
+    class Session:
+        conf = Conf()
+
+    assert scratch_folder(Session()).startswith("hdfs://shared/warehouse/_scratch/")
+
+
+def test_a_row_with_line_breaks_stays_a_row(spark, tmp_path):
+    texts = ["two\nlines", "an\rold one", "a\r\nforeign one", 'quoted "\n" break', "plain"]
+    users = spark.createDataFrame(
+        [(i, text, "a@b", "USA", text, date(2024, 1, 1)) for i, text in enumerate(texts, 1)],
+        USERS,
+    )
+    write_csv(users, f"{tmp_path}/users.csv")
+    found = {r.user_id: r.address for r in read_bronze(spark, f"{tmp_path}/users.csv", "users").collect()}
+    blank = [t.replace("\r\n", " ").replace("\n", " ").replace("\r", " ") for t in texts]
+    assert found == dict(enumerate(blank, 1))
+
+
+def test_runs_written_in_the_same_second_are_kept(spark, tmp_path):
+    runs = spark.createDataFrame([("a", 1, "gold", "r", 0.1, None, 3, "success", "d")], RUNS)
+    moment = datetime(2025, 1, 2, 3, 4, 5)
+    paths = {write_run_metrics(runs, str(tmp_path), at=moment) for _ in range(2)}
+    assert [read_run_metrics(spark, path).count() for path in paths] == [1, 1]

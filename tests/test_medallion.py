@@ -115,3 +115,34 @@ def test_results_do_not_depend_on_the_profile(spark, name):
     star = shop(spark)
     with profile(spark, PROFILES[name]):
         assert rows(REPORTS["performance_analysis_by_country"](*star))[0] == ("USA", 605.0, 8, 2)
+
+
+def test_options_of_both_jobs(spark, bronze, tmp_path):
+    """Codec, partitions, a database at a place, chosen reports and SQL files through one call."""
+    query = tmp_path / "buyers.sql"
+    query.write_text("SELECT count(DISTINCT user_id) AS buyers FROM transactions")
+    place = f"{tmp_path}/tables"
+    try:
+        reports = run_medallion(
+            spark, bronze, f"{tmp_path}/silver", database="placed", location=place,
+            partition_products_by="category", compression="uncompressed",
+            reports=["top_spenders"], sql_files=[query], cache=True,
+        )
+        assert set(reports) == {"top_spenders", "buyers"} and reports["buyers"].first().buyers > 0
+        where = spark.sql("DESCRIBE DATABASE placed").where("info_name = 'Location'").first()[1]
+        assert where.rstrip("/").endswith(place)
+        assert any("category=" in str(p) for p in (tmp_path / "silver" / "products").iterdir())
+    finally:
+        spark.sql("DROP DATABASE IF EXISTS placed CASCADE")
+
+
+def test_a_failed_run_is_recorded_and_the_others_go_on():
+    import bench_profiles
+
+    def steps():
+        yield "silver", "users", 1.0, 0.5, 10
+        raise ValueError("no space left")
+
+    settings = bench_profiles.PROFILES["baseline"]
+    measured = bench_profiles.recorded("baseline", 1, settings, steps())
+    assert [row[7] for row in measured] == ["success", "failed"]

@@ -4,6 +4,7 @@ import pytest
 from fixtures import rows
 from pyspark.sql import functions as F
 
+from starmart.functions import DRAW_RANGE, row_draw
 from starmart.operators import inject_noise
 from starmart.sources import TABLES
 
@@ -111,3 +112,25 @@ def test_other_columns(spark):
     noisy = inject_noise(df, "id", level=1.0, null_share=0.0)
     assert {r.score for r in noisy.collect()} == {5, -1, -99, 0}
     assert {r.active for r in noisy.collect()} == {True, None}
+
+
+def test_neighbouring_keys_and_seeds_are_drawn_apart(spark):
+    """Neither rows (t, p) and (t + 1, p - 31) nor seeds 0 and 1 are damaged alike."""
+    df = spark.range(1, 4001).selectExpr("id AS t", "id * 31 + 100 AS p")
+    ids = F.col("t"), F.col("p")
+
+    def hit(frame, seed):
+        draw = F.expr(row_draw(["t", "p"], seed)) < F.lit(DRAW_RANGE // 2)
+        return [r[0] for r in frame.orderBy("t").select(draw).collect()]
+
+    zero, one = hit(df, 0), hit(df, 1)
+    moved = hit(df.select((ids[0] + 1).alias("t"), (ids[1] - 31).alias("p")), 0)
+    for other in (one, moved, one[31:] + one[:31], one[1:] + one[:1]):
+        assert 0.4 < sum(a == b for a, b in zip(zero, other)) / len(zero) < 0.6
+
+
+def test_null_keys_are_drawn_one_by_one(spark):
+    df = spark.range(0, 2000).selectExpr("CAST(NULL AS BIGINT) AS id", "id AS n", "'x' AS a")
+    noisy = inject_noise(df, "id", level=0.25, null_share=1.0, exact=True)
+    # A third of the damage falls on the key, which is NULL already.
+    assert 200 < noisy.where("n IS NULL OR a IS NULL").count() < 450

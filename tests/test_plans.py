@@ -5,7 +5,8 @@ import re
 import pytest
 from fixtures import rows, shop
 
-from starmart.operators import daily_sales, enforce_fks
+import __spark_entry__ as contract
+from starmart.operators import daily_sales, enforce_fks, inject_noise
 from starmart.plans import REPORTS, SPLIT_HOT_KEYS, cluster_conf
 from starmart.sinks import write_parquet
 from starmart.sources import TABLES, Star, read_silver
@@ -104,3 +105,25 @@ def test_cluster_settings_grow_with_the_shuffle():
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     assert cluster_conf(0)[key] == "200"
     assert cluster_conf(20 * 2**40)[key] == "81920"
+
+
+def test_countries_are_counted_without_expanding_the_fact(star, conf):
+    conf(autoBroadcastJoinThreshold="-1", maxMetadataStringLength="10000")
+    plan = planned(REPORTS["performance_analysis_by_country"](*star))
+    assert "Expand" not in plan
+    # A row per user and transaction before the users are joined.
+    assert "keys=[user_id" in plan.split("SortMergeJoin")[1] or plan.count("keys=[user_id") >= 2
+
+
+def test_exact_noise_takes_three_scans(star):
+    noisy = inject_noise(star.users, "user_id", level=0.3, exact=True)
+    noisy.collect()
+    plan = noisy._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet", plan)) <= 3
+
+
+@pytest.mark.parametrize("name", ["top_spenders", "sink_gold_table", "fk_enforce_both"])
+def test_queries_leave_the_session_as_it_was(spark, name):
+    before = {r["key"]: r["value"] for r in spark.sql("SET").collect()}
+    contract.queries()[name](spark, contract.SMOKE_FOLDER).count()
+    assert {r["key"]: r["value"] for r in spark.sql("SET").collect()} == before

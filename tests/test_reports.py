@@ -1,10 +1,13 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
 from fixtures import rows, shop, shop_rows
+from pyspark.sql import functions as F
 
+from starmart import plans
 from starmart.operators import daily_sales, segment_performance, user_spend
-from starmart.plans import REPORTS
+from starmart.plans import REPORTS, run_sql_reports
 
 # The shop's daily totals and the reports that follow from its sales.
 DAILY = [80.0, 102.0, 391.0, 194.0, 190.0, 87.0, 167.0, 132.0]
@@ -130,3 +133,31 @@ def test_no_transactions(spark, name):
         assert {tuple(r)[1:] for r in result} == {(0.0, 0, 0)} and len(result) == 4
     else:
         assert result == []
+
+
+@pytest.mark.parametrize(
+    "price, factor", [(4e-7, 4e-7), (1e13, 1e13), (float("inf"), float("inf")), (12.3456789, 12.3456789)]
+)
+def test_no_accepted_price_is_rounded_dropped_or_refused(spark, price, factor):
+    star = shop(spark)
+    priced = star.products.withColumn("price", F.lit(price))
+    sold = star.transactions.groupBy("transaction_date").agg(F.sum("quantity").alias("n"))
+    quantity = dict(sold.collect())
+    found = dict(daily_sales(star.transactions, priced).collect())
+    assert found == {day: pytest.approx(n * factor, rel=1e-12) for day, n in quantity.items()}
+    for name in ("top_spenders", "performance_analysis_by_country", "sales_moving_average"):
+        assert REPORTS[name](star.users, priced, star.transactions).collect()
+    file = Path(plans.__file__).parent / "sql" / "top_spenders.sql"
+    tables = {"users": star.users, "products": priced, "transactions": star.transactions}
+    by_sql = run_sql_reports(spark, [file], **tables)["top_spenders"]
+    totals = {r.user_id: r.total_spent for r in REPORTS["top_spenders"](**tables).collect()}
+    assert {r.user_id: r.total_spent for r in by_sql.collect()} == pytest.approx(totals)
+
+
+def test_odd_and_ordinary_prices_add_up(spark):
+    star = shop(spark)
+    odd = star.products.withColumn("price", F.expr("if(product_id = 5, 1e13, price)"))
+    plain = star.products.withColumn("price", F.expr("if(product_id = 5, 0, price)"))
+    only = star.products.withColumn("price", F.expr("if(product_id = 5, 1e13, 0)"))
+    totals = [dict(daily_sales(star.transactions, p).collect()) for p in (odd, plain, only)]
+    assert all(totals[0][day] == totals[1][day] + totals[2][day] for day in totals[0])

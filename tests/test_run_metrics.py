@@ -98,3 +98,20 @@ def test_no_time_at_all(spark):
     data = [step("idle", 1, "silver", "users", 0.0), step("idle", 1, "gold", "report", 0.0)]
     summary = summarise_runs(spark.createDataFrame(data, RUNS))
     assert by_name(layer_share(summary))["idle"].silver_percent is None
+
+
+def test_a_step_without_a_write_time_keeps_its_own(spark):
+    steps = [step("e", 1, "silver", "a", 1.0, None), step("e", 1, "gold", "b", 2.0, 3.0)]
+    row = stage_totals(spark.createDataFrame(steps, RUNS)).first()
+    assert (row.total_transform_s, row.total_write_s, row.total_s) == (3.0, 3.0, 6.0)
+
+
+def test_times_below_a_nanosecond_count(spark):
+    steps = [step("e", 1, "silver", str(i), 1e-12, 0.0) for i in range(10)]
+    row = stage_totals(spark.createDataFrame(steps, RUNS)).first()
+    assert row.total_transform_s == pytest.approx(1e-11)
+
+
+def test_quartiles_keep_no_list_of_totals(runs):
+    plan = group_distribution(runs)._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan
