@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 from math import log2
 
 import numpy as np
@@ -12,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.words import Memo, per_text, slices, split_words
+from starmart.llm.words import Memo, kept, per_text, slices, split_words
 
 UNKNOWN = "und"
 
@@ -102,15 +101,18 @@ def learn(
     return {lang: joined[lang][: max(shortest, longest // 8)] for lang in sorted(joined)}
 
 
-@cache
 def _parser(learned: tuple[tuple[str, str], ...]) -> Memo:
-    """Phrases of a word in each language, one automaton per language and worker process."""
-    automata = [SuffixAutomaton(text) for _, text in learned]
+    """Phrases of a word in each language; the worker's automata, one per language."""
 
-    def parse(word: str) -> list[int]:
-        return [automaton.phrases(f" {word} ") for automaton in automata]
+    def make() -> Memo:
+        automata = [SuffixAutomaton(text) for _, text in learned]
 
-    return Memo(parse, len(automata))
+        def parse(word: str) -> list[int]:
+            return [automaton.phrases(f" {word} ") for automaton in automata]
+
+        return Memo(parse, len(automata), capacity=300_000)
+
+    return kept(("phrases", learned), make)
 
 
 def _predict(

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from starmart.llm.words import kept
+
 # White space before a blank: there the ids of a piece can depend on its neighbour.
 _RUN = r"[\s\x{0B}\x{85}\x{1C}-\x{1F}\p{Z}] "
 _SLICE_BYTES = 8 << 20
@@ -22,10 +23,9 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@cache
 def encoder(path: str) -> Encoder:
-    """One encoder per file and worker process; workers are reused between tasks."""
-    return Encoder(path)
+    """The worker's encoder for a file."""
+    return kept(("encoder", path), lambda: Encoder(path))
 
 
 class Encoder:

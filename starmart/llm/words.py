@@ -18,6 +18,21 @@ def remainder(divisor: int, key: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % divisor
 
 
+_KEPT: dict[object, object] = {}
+
+
+def kept(key: object, make: Callable[[], object]):
+    """What ``make`` gives, made once per worker process and kept between tasks.
+
+    Only the last object asked for is kept: workers serve one operator after the other, and what
+    each remembers of its words would add up.
+    """
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def slices(texts: pa.Array, size: int = _SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
     """The texts in runs of about ``size`` bytes, or one longer text; a null becomes empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
