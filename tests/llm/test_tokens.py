@@ -25,7 +25,7 @@ def encoded(file, texts):
 
 @pytest.mark.parametrize("file", FILES)
 @given(texts=TEXTS)
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=80, deadline=None)
 def test_same_ids_as_the_library(file, texts):
     assert encoded(file, texts) == [plain(file)(text) for text in texts]
 
