@@ -107,22 +107,16 @@ def like_for_like(spark: SparkSession) -> dict[str, float]:
     cleaned = {name: clean(table, name) for name, table in raw._asdict().items()}
     references = {key: cleaned[dim] for key, dim in REFERENCES.items()}
     cleaned["transactions"] = enforce_fks(cleaned["transactions"], references)
-    silver = Star(**{name: table.cache() for name, table in cleaned.items()})
-    for table in (*raw, *silver):
-        table.count()
-    uncached = {name: clean(table, name) for name, table in raw._asdict().items()}
-    references = {key: uncached[dim] for key, dim in REFERENCES.items()}
+    silver = Star(**cleaned)
     jobs = {
-        "silver": [
-            lambda: uncached["users"],
-            lambda: uncached["products"],
-            lambda: enforce_fks(uncached["transactions"], references),
-        ],
-        "gold": [lambda report=report: report(*silver) for report in REPORTS.values()],
+        "silver": (raw, [lambda table=table: table for table in silver]),
+        "gold": (silver, [lambda report=report: report(*silver) for report in REPORTS.values()]),
     }
     found = {}
-    for how, timer in (("count", counted), ("in_full", seconds)):
-        for layer, steps in jobs.items():
+    for layer, (inputs, steps) in jobs.items():  # silver before its tables are cached
+        for table in inputs:
+            table.cache().count()
+        for how, timer in (("count", counted), ("in_full", seconds)):
             passes = [sum(map(timer, steps)) for _ in range(WARM_UPS + RUNS)]
             found[f"{layer}_{how}"] = round(sum(passes[WARM_UPS:]) / RUNS, 3)
     for table in (*raw, *silver):
