@@ -40,7 +40,8 @@ def components(links: DataFrame, folder: str) -> DataFrame:
     while before[0]:
         number += 1
         large = star(both_ways(edges)).filter(F.col("b") > F.col("a"))
-        edges = keep(larger_first(large.select(F.col("b").alias("a"), F.col("m").alias("b"))), f"large-{number}")
+        large = large.select(F.col("b").alias("a"), F.col("m").alias("b"))
+        edges = keep(larger_first(large), f"large-{number}")
         small = star(edges)
         pulled = small.select(F.col("b").alias("a"), F.col("m").alias("b"))
         own = small.select("a", F.col("m").alias("b"))

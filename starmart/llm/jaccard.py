@@ -228,7 +228,10 @@ def _in_blocks(regions: DataFrame, large: DataFrame, entries: int) -> DataFrame:
     block = F.pmod(F.xxhash64("fp"), F.col("blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     pair = F.concat_ws(
-        "+", F.col("region"), F.least("block", "other").cast("string"), F.greatest("block", "other").cast("string")
+        "+",
+        F.col("region"),
+        F.least("block", "other").cast("string"),
+        F.greatest("block", "other").cast("string"),
     )
     return (
         regions.join(large.withColumn("blocks", blocks), "region")
