@@ -76,9 +76,9 @@ def segment_performance(
 
     The fact is reduced to a row per user and transaction before it meets the users; buyers
     are counted from a row per user, read from one column. Each of the two counts has an
-    aggregation of its own, so nothing is expanded. A segment without any transaction appears with zeros: it comes from
-    a row per segment rather than from an outer join starting at the users, which could neither
-    broadcast the users nor split a hot one.
+    aggregation of its own, so nothing is expanded. A segment without any transaction appears
+    with zeros: it comes from a row per segment rather than from an outer join starting at the
+    users, which could neither broadcast the users nor split a hot one.
     """
     segment = quoted(by)
     sales = (

@@ -66,8 +66,8 @@ def run_gold(
     """Compute reports over the silver tables and return them as written.
 
     They go to ``{gold}/{report}`` as Parquet or to tables of ``database`` (made at ``location``
-    if it is missing): the named ``reports``, then those of ``sql_files`` under their stems. ``cache`` keeps the
-    dimensions, which several reports read, and never the fact; the daily series, which two
+    if it is missing): the named ``reports``, then those of ``sql_files`` under their stems.
+    ``cache`` keeps the dimensions, which several reports read, and never the fact; the daily series, which two
     reports start from, is always computed once. Declare ``schemas`` of partitioned tables
     (see ``read_silver``).
     """
