@@ -25,8 +25,11 @@ _MULTIPLIERS = np.array(
     dtype=np.uint64,
 )
 # A region whose sets have more entries than this is split before it is joined.
-REGION_ENTRIES = 4_000_000
-_PIVOTS, _SPLITS, _PARTS = 8, 3, 16
+REGION_ENTRIES = 6_000_000
+_PART_ENTRIES = 500_000
+_PIVOTS, _SPLITS = 8, 3
+# Links of a pivot from which on the windows of all other sets are worth looking at.
+_DENSE = 8
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -125,10 +128,12 @@ def near_classes(
 ) -> list[tuple[bytes, bytes]]:
     """Each set of a region with the first set of its class (sets that links connect).
 
-    Pivots are taken in turn. A pivot's distance to every set of the region comes from an
-    inverted index; sets near enough join its class. Since the distance is a metric, a set can
-    only link to sets whose distance to the pivot differs by no more than the join's own
-    distance: once all sets in that window are of its class, it needs no further look.
+    Pivots are taken in turn. The sets that may link to a pivot hold one of its rarest elements,
+    as many as its similarity cannot do without; an inverted index gives them, and those near
+    enough join its class. If they are several, the distances of all sets to the pivot are taken:
+    since the distance is a metric, a set can only link to sets whose distance to the pivot
+    differs by no more than the join's own distance. Once all sets in that window are of its class,
+    a set needs no further look.
     """
     order = sorted(range(len(sets)), key=lambda i: fingerprints[i])
     first: dict[bytes, int] = {}
@@ -136,27 +141,40 @@ def near_classes(
     sizes = np.array([len(sets[i]) for i in order], dtype=np.int64)
     count = len(order)
     _, element = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)
-    owner = np.repeat(np.arange(count), sizes)
-    by_element = np.argsort(element, kind="stable")
-    members = owner[by_element]
-    lists = np.concatenate(([0], np.cumsum(np.bincount(element))))
+    element = element.astype(np.int32)
+    members = np.repeat(np.arange(count, dtype=np.int32), sizes)
+    members = members[np.argsort(element, kind="stable")]
+    holders = np.bincount(element)
+    lists = np.concatenate(([0], np.cumsum(holders)))
     ends = np.cumsum(sizes)
     reach = float(1 - near) + 1e-9
     label = np.arange(count)
     settled = np.zeros(count, dtype=bool)
+
+    def held_by(elements: np.ndarray) -> np.ndarray:
+        starts, lengths = lists[elements], holders[elements]
+        before = np.cumsum(lengths) - lengths
+        return members[np.repeat(starts - before, lengths) + np.arange(lengths.sum())]
+
     for pivot in range(count):
         if settled[pivot]:
             continue
-        mine = element[ends[pivot] - sizes[pivot] : ends[pivot]]
-        starts, lengths = lists[mine], lists[mine + 1] - lists[mine]
-        before = np.cumsum(lengths) - lengths
-        picked = np.repeat(starts - before, lengths) + np.arange(lengths.sum())
-        common = np.bincount(members[picked], minlength=count)
-        union = sizes + sizes[pivot] - common
+        settled[pivot] = True
+        size = sizes[pivot]
+        mine = element[ends[pivot] - size : ends[pivot]]
+        needed = size - ceil(near * size) + 1
+        rare = mine[np.argpartition(holders[mine], needed - 1)[:needed]]
+        may = np.unique(held_by(rare))
+        may = may[(sizes[may] >= near * size) & (sizes[may] * near <= size)]
+        if len(may) < 2:
+            continue
+        common = np.bincount(held_by(mine), minlength=count)
+        union = sizes + size - common
         linked = common * near.denominator >= union * near.numerator
         touched = np.unique(label[linked])
         label[np.isin(label, touched)] = touched[0]
-        settled[pivot] = True
+        if linked.sum() < _DENSE:
+            continue
         distance = 1 - common / union
         ranked = np.argsort(distance, kind="stable")
         near_first, classes = distance[ranked], label[ranked]
@@ -175,44 +193,46 @@ def _distances(set_: np.ndarray, pivots: list[np.ndarray]) -> np.ndarray:
 def _split(regions: DataFrame, large: DataFrame, near: Fraction) -> DataFrame:
     """Voronoi cells of the large regions, each set in every cell that may hold one it links to.
 
-    The pivots of a region are the sets with the lowest hash. A set goes to its nearest pivot's
-    cell, and to any cell whose pivot is farther by at most twice the join's distance:
-    beyond that, a set of that cell cannot link to it. A region is dealt to several tasks, each with
-    all pivots.
+    The pivots of a region are the sets with the lowest hash. With ``r`` the join's distance, sets
+    nearer than ``1 - r`` to a pivot live in the cell of their nearest pivot, the others in a far
+    cell. By the triangle inequality a set can only link to sets of another pivot's cell if it is at most
+    ``2 r`` farther from that pivot than from its own and nearer than 1 to it, and to sets of the far
+    cell if it is no nearer than ``1 - 2 r`` to any pivot: there it is copied to. A region is dealt
+    to tasks by its size, each with all pivots.
     """
-    part = F.pmod(F.xxhash64("fp"), F.lit(_PARTS))
-    inside = regions.join(large, "region").withColumn("part", part)
+    parts = large.withColumn("parts", F.ceil(F.col("entries") / _PART_ENTRIES).cast("long"))
+    inside = regions.join(parts, "region").withColumn(
+        "part", F.pmod(F.xxhash64("fp"), F.col("parts"))
+    )
     first = Window.partitionBy("region").orderBy(F.xxhash64("fp", "region"), "fp")
     pivots = (
         inside.withColumn("_rank", F.row_number().over(first))
         .filter(F.col("_rank") <= _PIVOTS)
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(_PARTS - 1)).cast("array<long>")))
         .select(
             F.col("region").alias("_region"),
-            F.col("part").alias("_part"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("_part"),
             F.col("shingles").alias("pivot"),
             F.col("_rank").alias("rank"),
         )
     )
-    reach = 2 * float(1 - near) + 1e-9
+    apart = float(1 - near) + 1e-9
 
     def deal(key, rows: pa.Table, centres: pa.Table) -> pa.Table:
         ranks = centres.column("rank").to_pylist()
-        seen = {r: np.frombuffer(p, np.uint64) for r, p in zip(ranks, centres.column("pivot").to_pylist())}
-        pivot = [seen[r] for r in sorted(seen)]
-        region, found = key[0].as_py(), []
-        for fp, data in zip(rows.column("fp").to_pylist(), rows.column("shingles").to_pylist()):
+        seen = dict(zip(ranks, centres.column("pivot").to_pylist()))
+        pivot = [np.frombuffer(seen[rank], np.uint64) for rank in sorted(seen)]
+        names, taken = [], []
+        region = key[0].as_py()
+        for row, data in enumerate(rows.column("shingles").to_pylist()):
             far = _distances(np.frombuffer(data, np.uint64), pivot)
-            for cell in np.flatnonzero(far <= far.min() + reach):
-                found.append((f"{region}/{cell}", fp, data))
-        columns = list(zip(*found)) or [[], [], []]
-        return pa.table(
-            {
-                "region": pa.array(columns[0], pa.string()),
-                "fp": pa.array(columns[1], pa.binary()),
-                "shingles": pa.array(columns[2], pa.binary()),
-            }
-        )
+            nearest = far.min()
+            cells = np.flatnonzero((far <= nearest + 2 * apart) & (far < 1))
+            names += [f"{region}/{cell}" for cell in cells]
+            if nearest >= 1 - 2 * apart:
+                names.append(f"{region}/far")
+            taken += [row] * (len(names) - len(taken))
+        copies = rows.select(["fp", "shingles"]).take(pa.array(taken, pa.int64()))
+        return copies.add_column(0, "region", pa.array(names, pa.string()))
 
     return (
         inside.select("region", "part", "fp", "shingles")
