@@ -166,7 +166,12 @@ def near_classes(
         rare = mine[np.argpartition(holders[mine], needed - 1)[:needed]]
         may = np.unique(held_by(rare))
         may = may[(sizes[may] >= near * size) & (sizes[may] * near <= size)]
-        if len(may) < 2:
+        if len(may) < _DENSE:
+            for other in may[may != pivot]:
+                its = element[ends[other] - sizes[other] : ends[other]]
+                both = len(np.intersect1d(mine, its, assume_unique=True))
+                if both * near.denominator >= (size + sizes[other] - both) * near.numerator:
+                    label[label == label[other]] = label[pivot]
             continue
         common = np.bincount(held_by(mine), minlength=count)
         union = sizes + size - common
