@@ -292,15 +292,17 @@ def _classes(members: DataFrame, near: Fraction, folder: str, entries: int) -> D
     if large.isEmpty():
         return joined(regions).select(F.col("a").alias("fp"), F.col("b").alias("label"))
     links = [joined(regions.join(large, "region", "left_anti"))]
+    total = large.agg(F.sum("entries")).first()[0]
     for level in range(_SPLITS):
-        cells = keep(_split(regions, large, near), f"cells-{level}")
-        large = sizes(cells)
-        links.append(joined(cells.join(large, "region", "left_anti")))
-        regions = cells
-        if large.isEmpty():
+        regions = keep(_split(regions, large, near), f"cells-{level}")
+        large = sizes(regions)
+        links.append(joined(regions.join(large, "region", "left_anti")))
+        before, total = total, large.agg(F.sum("entries")).first()[0] or 0
+        if not total:
+            break
+        if level == _SPLITS - 1 or total > before / 2:  # pivots do not separate what is left
+            links.append(joined(_in_blocks(regions, large, entries)))
             break
-    else:
-        links.append(joined(_in_blocks(regions, large, entries)))
     edges = links[0]
     for more in links[1:]:
         edges = edges.union(more)
