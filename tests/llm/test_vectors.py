@@ -67,6 +67,23 @@ def test_links_match_brute_force(vectors):
             assert (r.n_links, r.component_id, r.kept) == (0, r.vec_id, True)
 
 
+@pytest.mark.parametrize("width", [16, 64])
+def test_pairs_at_the_threshold_are_found_in_large_tables(width):
+    random = np.random.default_rng(5)
+    x, other = (unit(random.normal(size=(2000, width))) for _ in range(2))
+    y = 0.9 * x + np.sqrt(1 - 0.9**2) * unit(other - (x * other).sum(1, keepdims=True) * x)
+    for count in (50_000, 200_000, 5_000_000):
+        tables = lattice.LatticeTables(width, count, tables=6, probes=8, seed=0)
+        found = np.zeros(len(x), bool)
+        for (own, around), (home, near) in zip(tables.keys(x), tables.keys(y)):
+            found |= (own == home) | (around == home[:, None]).any(1) | (near == own[:, None]).any(1)
+        assert found.mean() >= 0.985
+
+
+def unit(rows):
+    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
 def rows_of_one(width):
     return [1.0] * width
 
