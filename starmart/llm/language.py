@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from starmart.llm.words import Memo, kept, per_text, slices, split_words
 
 UNKNOWN = "und"
+# Of a shorter learning text, which knows few characters, phrases would cost too little.
+_LEAST_CHARS = 256
 
 
 def _letters(texts: pa.Array) -> pa.Array:
@@ -72,33 +74,36 @@ class SuffixAutomaton:
 def learn(
     docs: DataFrame, trained: Column, chars: int = 400_000, per_language: int = 40, excerpt: int = 1500
 ) -> dict[str, str]:
-    """A learning text per language, all of about the same length.
+    """A learning text per language.
 
     The bounded sample: of the rows that ``trained`` admits, whose language is not null and
-    whose text holds a letter, the ``per_language`` rows of each language whose text has the
-    lowest hash, long texts last, ``excerpt`` characters of each; never over ``chars`` in all.
+    whose text holds a letter, the ``per_language`` distinct excerpts of ``excerpt`` characters of each
+    language with the lowest hash, those of longer texts last; never over ``chars`` in all. Excerpts that
+    differ only in case or in what is no letter count as one. Lengths may differ between
+    languages: phrases are weighed by the length of the learning text.
     """
+    opening = F.substring("text", 1, excerpt)
+    plain = F.trim(F.regexp_replace(F.lower(opening), r"[^\p{L}]+", " "))
+    rows = docs.filter(trained & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
+        "lang",
+        opening.alias("text"),
+        (F.length("text") > excerpt).alias("_long"),
+        F.xxhash64(plain).alias("_draw"),
+    )
     order = Window.partitionBy("lang").orderBy("_long", "_draw")
-    rows = (
-        docs.filter(trained & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-        .select(
-            "lang",
-            F.substring("text", 1, excerpt).alias("text"),
-            (F.length("text") > excerpt).alias("_long"),
-            F.xxhash64("text").alias("_draw"),
-        )
+    drawn = (
+        rows.groupBy("lang", "_draw")
+        .agg(F.min("_long").alias("_long"))
         .withColumn("_place", F.row_number().over(order))
         .filter(F.col("_place") <= per_language)
-        .select("lang", "text")
-        .collect()
+        .select("lang", "_draw")
     )
+    found = rows.join(drawn, ["lang", "_draw"], "left_semi").groupBy("lang", "_draw")
     texts: dict[str, set[str]] = {}
-    for row in rows:
+    for row in found.agg(F.min("text").alias("text")).collect():
         texts.setdefault(row.lang, set()).add(" ".join(_letters(pa.array([row.text]))[0].as_py().split()))
     longest = chars // max(1, len(texts))
-    joined = {lang: f" {' '.join(sorted(some))} "[:longest] for lang, some in texts.items()}
-    shortest = min(map(len, joined.values()), default=0)
-    return {lang: joined[lang][: max(shortest, longest // 8)] for lang in sorted(joined)}
+    return {lang: f" {' '.join(sorted(texts[lang]))} "[:longest] for lang in sorted(texts)}
 
 
 def _parser(learned: tuple[tuple[str, str], ...]) -> Memo:
@@ -135,7 +140,7 @@ def _predict(
 
 
 def _weights(learned: dict[str, str]) -> np.ndarray:
-    return np.array([log2(max(2, len(text))) for text in learned.values()])
+    return np.array([log2(max(_LEAST_CHARS, len(text))) for text in learned.values()])
 
 
 def identify(docs: DataFrame, learned: dict[str, str]) -> DataFrame:
@@ -144,7 +149,7 @@ def identify(docs: DataFrame, learned: dict[str, str]) -> DataFrame:
     A text is lower-cased and cut into runs of letters; each of them, with the blanks around it, is
     parsed into the longest substrings of each language's learning text. The language with the
     fewest phrases wins, normalised as bits per character: phrases times log2 of the learning
-    text's length, by the length of the text; ties go to the first language by code point.
+    text's length (256 at least), by the length of the text; ties go to the first language by code point.
     ``score`` is 1 less the winner's share of the runner-up's bits (1 with one language).
 
     A null text, one without a letter, or any text when nothing was learned is ``und`` with score 0.

@@ -26,6 +26,17 @@ def learned(documents):
     return language.learn(documents(rows), F.lit(True))
 
 
+def test_copies_take_one_place_and_short_languages_cut_no_other(documents):
+    texts = [" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}{c}" for c in "abcdefgh") for i in range(100)]
+    rows = [(i * 50 + k, ("", "! ")[k % 2] + text, "en") for i, text in enumerate(texts) for k in range(50)]
+    rows += [(6000, "kurz", "de")]
+    learned = language.learn(documents(rows), F.lit(True))
+    assert learned["de"] == " kurz "
+    assert sum(text in learned["en"] for text in texts) == 40
+    found = language.identify(documents(list(enumerate(texts))), learned).collect()
+    assert {r.lang_pred for r in found} == {"en"}
+
+
 def test_edges(documents, learned):
     assert list(learned) == ["de", "en"]
     rows = [(1, None), (2, ""), (3, "12 %"), (4, "The DOG!"), (5, "die Katze"), (None, "the house")]
