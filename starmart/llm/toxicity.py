@@ -28,11 +28,16 @@ class ToxicityModel:
 
     ``units`` are the words, then the beginnings (``"lowe*"``) that rare words back off to; row
     ``i`` of ``unit`` holds the probabilities in the toxic and the ordinary model, the last row
-    those of a word nothing is known of.
+    those of a word nothing is known of. ``pairs`` (unit before * number of units + unit, sorted)
+    and ``pair`` are the discounted probabilities of a unit after another, ``rest`` is what the
+    one before leaves to units alone.
     """
 
     units: tuple[str, ...]
     unit: np.ndarray
+    rest: np.ndarray
+    pairs: np.ndarray
+    pair: np.ndarray
     weights: tuple[float, float, float] = (0.0, 0.0, 0.0)
 
     def places(self) -> Callable[[str], int]:
@@ -45,9 +50,18 @@ class ToxicityModel:
 
         return find
 
-    def ratios(self) -> np.ndarray:
-        """log P(toxic) - log P(ordinary) of each unit."""
-        return np.log(self.unit[:, 0]) - np.log(self.unit[:, 1])
+    def ratios(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """log P(toxic) - log P(ordinary) of each unit after the one before it, ``first`` after none."""
+        unknown = len(self.units)
+        before = np.concatenate(([unknown], ids[:-1])) if len(ids) else ids
+        before[first] = unknown
+        chance = self.rest[before] * self.unit[ids]
+        if len(self.pairs):
+            keys = before * unknown + ids
+            at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+            found = (self.pairs[at] == keys) & (before < unknown) & (ids < unknown)
+            chance[found] += self.pair[at[found]]
+        return np.log(chance[:, 0]) - np.log(chance[:, 1])
 
 
 def _normal(word: str) -> str:
@@ -55,7 +69,7 @@ def _normal(word: str) -> str:
 
 
 def _contexts(docs: DataFrame) -> DataFrame:
-    """Adjacent words of ``text`` with ``toxic``: in how many texts of each class they occur."""
+    """Three words of ``text`` in a row with ``toxic``: in how many texts of each class they occur."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -64,19 +78,20 @@ def _contexts(docs: DataFrame) -> DataFrame:
                 distinct, places, bounds = split_words(pc.utf8_lower(texts))
                 normal = np.array([_normal(word) for word in distinct] + [""], dtype=object)
                 for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
-                    here = np.concatenate(([len(distinct)], places[a:b]))
-                    seen = {*zip(normal[here[:-1]], normal[here[1:]])}
+                    here = normal[np.concatenate(([len(distinct)] * 2, places[a:b]))]
+                    seen = {*zip(here[:-2], here[1:-1], here[2:])}
                     if seen:
-                        before, word = zip(*seen)
+                        earlier, before, word = zip(*seen)
                         toxic = pa.array([marks[low + i].as_py()] * len(seen), pa.int64())
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(before), pa.array(word), toxic], names=["before", "word", "toxic"]
+                            [pa.array(earlier), pa.array(before), pa.array(word), toxic],
+                            names=["earlier", "before", "word", "toxic"],
                         )
 
     rows = docs.select("text", F.col("toxic").cast("long")).mapInArrow(
-        find, "before string, word string, toxic long"
+        find, "earlier string, before string, word string, toxic long"
     )
-    return rows.groupBy("before", "word").agg(
+    return rows.groupBy("earlier", "before", "word").agg(
         F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("ordinary")
     )
 
@@ -117,9 +132,15 @@ def _units(words: DataFrame) -> DataFrame:
     )
 
 
-def _estimate(counts: DataFrame, discount: float, most: int) -> ToxicityModel:
+def _estimate(
+    counts: DataFrame, discount: float, pair_discount: float, most: int
+) -> ToxicityModel:
     both = ("toxic", "ordinary")
-    words = counts.groupBy("word").agg(
+    # A pair counts once for each word before it, so copies and near copies of a text add nothing.
+    pairs = counts.groupBy("before", "word").agg(
+        *[F.sum(F.signum(c).cast("long")).alias(c) for c in both]
+    )
+    words = pairs.groupBy("word").agg(
         *[F.sum(F.signum(c).cast("long")).alias(c) for c in both],
         F.count("*").alias("shared"),
     )
@@ -153,16 +174,38 @@ def _estimate(counts: DataFrame, discount: float, most: int) -> ToxicityModel:
     stems = np.array([name.endswith("*") for name in units] + [True])
     rare = np.maximum(chance - taken, 1e-12) / np.maximum(crowd, 1)[:, None]
     unit[stems] = rare[stems]
-    return ToxicityModel(units, unit)
+
+    heads = pairs.groupBy(F.col("before").alias("head")).agg(*[F.sum(c).alias(f"all_{c}") for c in both])
+    frequent = (
+        pairs.filter((F.greatest(*both) > pair_discount) & (F.col("before") != ""))
+        .orderBy(F.greatest(*both).desc(), "before", "word")
+        .limit(most)
+        .join(heads, F.col("before") == F.col("head"))
+        .collect()
+    )
+    found = sorted(
+        (place[r.before] * root + place[r.word], r)
+        for r in frequent
+        if r.before in place and r.word in place
+    )
+    pair = np.array(
+        [[max(r[c] - pair_discount, 0) / max(1, r[f"all_{c}"]) for c in both] for _, r in found]
+    ).reshape(-1, 2)
+    keys = np.array([key for key, _ in found], dtype=np.int64)
+    rest = np.ones((root + 1, 2))
+    if len(keys):
+        np.subtract.at(rest, keys // root, pair)
+    return ToxicityModel(units, unit, np.maximum(rest, 1e-6), keys, pair)
 
 
 def _measure(texts: pa.Array, model: ToxicityModel, memo: Memo, window: int) -> np.ndarray:
     """Length-normalised ratio of each whole text, and the highest of a window of its words."""
-    means, tops, by_unit = [np.zeros(0)], [np.zeros(0)], model.ratios()
+    means, tops = [np.zeros(0)], [np.zeros(0)]
     for _, some in slices(texts):
         distinct, places, bounds = split_words(pc.utf8_lower(some))
-        ratios = by_unit[memo.rows(distinct)[:, 0].astype(np.int64)][places]
+        ids = memo.rows(distinct)[:, 0].astype(np.int64)[places]
         lengths = np.diff(bounds)
+        ratios = model.ratios(ids, bounds[:-1][lengths > 0])
         means.append(per_text(ratios, bounds, np.add, 0) / np.maximum(lengths, 1))
         upto = np.concatenate(([0], np.cumsum(ratios)))
         at = np.arange(len(ratios))
@@ -206,6 +249,7 @@ def learn(
     trained: Column,
     per_class: int = 4000,
     discount: float = 3.0,
+    pair_discount: float = 8.0,
     most: int = 100_000,
     window: int = 1,
 ) -> ToxicityModel:
@@ -214,8 +258,9 @@ def learn(
     The bounded sample: ``per_class`` keys of each class with the lowest hash. Three of four folds
     are counted: a word's count in a class is the number of distinct words before it there, so
     copies of a text add nothing; what is discounted goes to the counts that both classes share.
-    A rare word backs off to the words that begin alike. At most ``most`` words and
-    beginnings are kept, the most frequent ones; the others count as rare. The fourth fold sets
+    A pair's count is the number of distinct words before the pair; what ``pair_discount`` takes of a
+    class's pairs goes to single words. A rare word backs off to the words that begin alike. At most
+    ``most`` words and beginnings and as many pairs are kept, the most frequent ones; the others count as rare. The fourth fold sets
     the weights of the score. A key with several labels is toxic if any says so; null labels and
     keys are left out.
     """
@@ -228,7 +273,7 @@ def learn(
     folder = scratch_folder(docs.sparkSession)
     _contexts(texts.filter(F.col("fold") > 0)).write.parquet(folder)
     counts = docs.sparkSession.read.parquet(folder)
-    model = _estimate(counts, discount, most)
+    model = _estimate(counts, discount, pair_discount, most)
     held = _features(texts.filter(F.col("fold") == 0), model, window, "toxic").collect()
     marks = np.array([row.toxic for row in held], dtype=float)
     if not len(marks) or marks.min() == marks.max():

@@ -43,6 +43,29 @@ def test_learns_insults_and_their_beginnings(documents, labelled):
     assert sorted(r.doc_id for r in kept.collect()) == [2, 2, 3, 4]
 
 
+def test_learns_expressions_of_ordinary_words(spark, documents):
+    """Both classes have the same words; only in toxic texts does one follow the other."""
+    names = [f"word{i}" for i in range(60)]
+    texts = []
+    for i in range(600):
+        words = [names[(i * 7 + k * (1 + i % 11)) % 60] for k in range(12)]
+        at = 1 + i % 10
+        words[at:at] = ["rotten", "apple"] if i % 3 == 0 else ["apple", "rotten"]
+        texts.append((i, " ".join(words)))
+    copy = "you all read the same long note about nothing much today"
+    texts += [(i, copy) for i in range(600, 900)]
+    marks = [(i, None, int(i % 3 == 0 or i >= 600)) for i in range(900)]
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    model = toxicity.learn(documents(texts), labels, F.lit(True))
+    rows = [(1, "word3 word9 rotten apple word5 word30"), (2, "word3 word9 apple rotten word5 word30")]
+    rows += [(3, "word8 word40 rotten apple word21"), (4, "word8 word40 apple rotten word21")]
+    assert ids(toxicity.score(documents(rows), model).collect()) == [(1, 1), (2, 0), (3, 1), (4, 0)]
+    place = {unit: i for i, unit in enumerate(model.units)}
+    kept = {divmod(int(key), len(model.units)) for key in model.pairs}
+    assert (place["rotten"], place["apple"]) in kept
+    assert all(not {"same", "long"} & {model.units[i] for i in pair} for pair in kept)
+
+
 def test_no_labels_and_empty_tables(documents, labelled):
     docs, labels = labelled
     model = toxicity.learn(docs, labels, F.lit(False))
