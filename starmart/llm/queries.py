@@ -13,6 +13,7 @@ from starmart.llm import (
     jaccard,
     language,
     lattice,
+    merkle,
     mixing,
     packing,
     pages,
@@ -150,3 +151,99 @@ FROM docs d
 JOIN quotas q ON d.source IS NOT DISTINCT FROM q.source
 JOIN ranked r ON d.source IS NOT DISTINCT FROM r.source AND d.draw = r.draw
 """
+
+
+@query
+def op11_merkle_manifest(spark, folder):
+    return merkle.document_manifest(_table(spark, folder, "documents"))
+
+
+# crc32 is the usual reflected one (polynomial 0xEDB88320 = 3988292384) over the id's digits.
+ORACLES["op11_merkle_manifest"] = r"""
+WITH RECURSIVE bits AS (
+    SELECT range AS byte, 0 AS step, range AS crc FROM range(256)
+    UNION ALL
+    SELECT byte, step + 1, CASE WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384) ELSE crc // 2 END
+    FROM bits WHERE step < 8
+), bytes AS (
+    SELECT byte, crc FROM bits WHERE step = 8
+), digits AS (
+    SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS id, 1 AS pos, 4294967295 AS crc
+    FROM (SELECT DISTINCT doc_id FROM documents)
+    UNION ALL
+    SELECT doc_id, id, pos + 1, xor(d.crc // 256, b.crc)
+    FROM digits d JOIN bytes b ON b.byte = xor(d.crc % 256, ascii(substr(id, pos, 1)))
+    WHERE pos <= length(id)
+), crcs AS (
+    SELECT doc_id, xor(crc, 4294967295) AS crc FROM digits WHERE pos = length(id) + 1
+), fields AS (
+    SELECT d.*, coalesce(strlen(CAST(d.doc_id AS VARCHAR)) || ':' || d.doc_id, '-')
+        || coalesce(strlen(source) || ':' || source, '-')
+        || coalesce(strlen(lang) || ':' || lang, '-')
+        || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+        CASE WHEN c.crc % 3 = 0
+            THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+            ELSE text END AS tampered_text
+    FROM documents d JOIN crcs c ON d.doc_id IS NOT DISTINCT FROM c.doc_id
+), hashed AS (
+    SELECT row_number() OVER () AS k, doc_id, coalesce('=' || lang, '') AS tree,
+        sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+        sha256(head || coalesce(strlen(tampered_text) || ':' || tampered_text, '-')) AS tampered
+    FROM fields
+), leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, k) - 1 AS place
+    FROM hashed
+), nodes AS (
+    SELECT tree, 0 AS level, place, count(*) OVER (PARTITION BY tree) AS nodes, leaf AS node
+    FROM leaves
+    UNION ALL
+    SELECT tree, level + 1, place // 8, (nodes + 7) // 8, sha256(string_agg(node, '' ORDER BY place))
+    FROM nodes WHERE nodes > 1 GROUP BY tree, level, place // 8, nodes
+), subroots AS (
+    SELECT tree, node, row_number() OVER (ORDER BY encode(tree)) - 1 AS place,
+        count(*) OVER () AS nodes
+    FROM nodes WHERE nodes = 1
+), tops AS (
+    SELECT 0 AS level, place, nodes, node FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 8, (nodes + 7) // 8, sha256(string_agg(node, '' ORDER BY place))
+    FROM tops WHERE nodes > 1 GROUP BY level, place // 8, nodes
+), steps AS (
+    SELECT a.tree, 0 AS stage, a.level, a.place,
+        coalesce(string_agg(b.node, '' ORDER BY b.place) FILTER (b.place < a.place), '') AS l,
+        coalesce(string_agg(b.node, '' ORDER BY b.place) FILTER (b.place > a.place), '') AS r
+    FROM nodes a JOIN nodes b
+        ON a.tree = b.tree AND a.level = b.level AND a.place // 8 = b.place // 8
+    WHERE a.nodes > 1 GROUP BY ALL
+    UNION ALL
+    SELECT NULL, 1, a.level, a.place,
+        coalesce(string_agg(b.node, '' ORDER BY b.place) FILTER (b.place < a.place), ''),
+        coalesce(string_agg(b.node, '' ORDER BY b.place) FILTER (b.place > a.place), '')
+    FROM tops a JOIN tops b ON a.level = b.level AND a.place // 8 = b.place // 8
+    WHERE a.nodes > 1 GROUP BY ALL
+), paths AS (
+    SELECT l.k, s.stage, s.level, s.l, s.r
+    FROM leaves l JOIN steps s ON s.stage = 0 AND s.tree = l.tree
+        AND s.place = l.place // CAST(pow(8, s.level) AS BIGINT)
+    UNION ALL
+    SELECT l.k, s.stage, s.level, s.l, s.r
+    FROM leaves l JOIN subroots t ON t.tree = l.tree
+        JOIN steps s ON s.stage = 1 AND s.place = t.place // CAST(pow(8, s.level) AS BIGINT)
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY k ORDER BY stage, level) AS n FROM paths
+), proofs AS (
+    SELECT k, string_agg(l || r, '' ORDER BY n) AS proof FROM numbered GROUP BY k
+), folding AS (
+    SELECT k, 1 AS n, tampered AS node FROM leaves
+    UNION ALL
+    SELECT f.k, f.n + 1, sha256(p.l || f.node || p.r)
+    FROM folding f JOIN numbered p ON p.k = f.k AND p.n = f.n
+), folded AS (
+    SELECT k, max_by(node, n) AS node FROM folding GROUP BY k
+)
+SELECT l.doc_id, l.leaf, t.node AS subroot, r.node AS root,
+    sha256(coalesce(p.proof, '')) AS proof_sha256, f.node AS folded_root,
+    f.node = r.node AS verified
+FROM leaves l JOIN subroots t USING (tree) JOIN folded f USING (k) LEFT JOIN proofs p USING (k)
+    CROSS JOIN (SELECT node FROM tops WHERE nodes = 1) r
+"""

@@ -1,0 +1,120 @@
+"""Merkle manifests against trees built row by row, and proofs that can be checked by hand."""
+
+from __future__ import annotations
+
+from hashlib import sha256
+from itertools import groupby
+from zlib import crc32
+
+import pytest
+
+from starmart.llm import merkle
+
+
+def _hash(text):
+    return sha256(text.encode()).hexdigest()
+
+
+def _leaf(doc_id, source, lang, n_chars, text):
+    coded = ["-" if v is None else f"{len(str(v).encode())}:{v}" for v in (doc_id, source, lang, n_chars, text)]
+    return _hash("".join(coded))
+
+
+def _tree(leaves, arity):
+    """The root and, for each leaf, its (left, right) siblings level by level."""
+    level, paths, owners = list(leaves), [[] for _ in leaves], [[i] for i in range(len(leaves))]
+    while len(level) > 1:
+        runs = [range(at, min(at + arity, len(level))) for at in range(0, len(level), arity)]
+        for run in runs:
+            for node in run:
+                step = tuple("".join(level[i] for i in side) for side in (range(run[0], node), range(node + 1, run[-1] + 1)))
+                for owner in owners[node]:
+                    paths[owner].append(step)
+        owners = [[owner for node in run for owner in owners[node]] for run in runs]
+        level = [_hash("".join(level[i] for i in run)) for run in runs]
+    return level[0], paths
+
+
+def _brute(docs, arity=8):
+    rows = []
+    for doc_id, text, lang, source, n_chars in docs:
+        lowered = text
+        if text is not None and crc32(str("" if doc_id is None else doc_id).encode()) % 3 == 0:
+            lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+        leaf, tampered = (_leaf(doc_id, source, lang, n_chars, t) for t in (text, lowered))
+        rows.append((lang, doc_id, leaf, tampered))
+    order = lambda r: (b"" if r[0] is None else b"=" + r[0].encode(), r[1] is not None, r[1] or 0, r[2])
+    rows.sort(key=order)
+    groups = [list(g) for _, g in groupby(rows, key=lambda r: r[0])]
+    trees = [_tree([r[2] for r in g], arity) for g in groups]
+    root, above = _tree([t[0] for t in trees], arity)
+    found = []
+    for group, (subroot, paths), over in zip(groups, trees, above):
+        for (_, doc_id, leaf, node), path in zip(group, paths):
+            proof = "".join(left + right for left, right in path + over)
+            for left, right in path + over:
+                node = _hash(left + node + right)
+            found.append((doc_id, leaf, subroot, root, _hash(proof), node, node == root))
+    return sorted(found, key=repr)
+
+
+def _docs(spark, rows):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, leaf int, tree string"
+    return spark.createDataFrame([(*row, 1, "x") for row in rows], schema)
+
+
+def _found(df):
+    return sorted((tuple(row) for row in df.collect()), key=repr)
+
+
+LANGS = ["en"] * 6 + ["de", "fr", None, "", "zß"]
+MANY = [(i * 7 % 211, f"Text {i} ÄÖ", LANGS[i % 11], None if i % 5 else "s", i) for i in range(150)]
+
+
+def test_equals_a_tree_built_row_by_row(spark):
+    found = _found(merkle.document_manifest(_docs(spark, MANY)))
+    assert found == _brute(MANY)
+    changed = {row[0] for row in MANY if crc32(str(row[0]).encode()) % 3 == 0}
+    assert {row[0] for row in found if not row[-1]} == changed
+
+
+@pytest.mark.parametrize(
+    "rows",
+    [
+        [(1, "A", "en", "s", 1)],
+        [
+            (3, None, None, None, None), (3, "", "", "", 0), (None, "Q", "en", None, 2),
+            # Repeated rows and equal ids in one hot group, a long text, other alphabets.
+            *[(5, "Same", "en", "s", 4)] * 20, *[(5, f"Other {i}", "en", "s", 4) for i in range(9)],
+            (6, "Long " * 100_000, "en", "s", 500_000), (7, "é😀", "en", "s", 2),
+            # More groups than one run of the upper tree.
+            *[(i, "B" * i, f"l{i}", "s", i) for i in range(70)],
+        ],
+    ],
+)
+def test_edges(spark, rows):
+    assert _found(merkle.document_manifest(_docs(spark, rows))) == _brute(rows)
+
+
+def test_empty_table(spark):
+    empty = merkle.document_manifest(_docs(spark, []))
+    assert empty.collect() == []
+    assert empty.columns == [
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified",
+    ]
+
+
+@pytest.mark.parametrize("arity", [2, 3])
+def test_paths_fold_to_the_root_for_any_arity(spark, arity):
+    rows = [(f"t{i % 3}", i, _hash(str(i))) for i in range(40)]
+    # The caller's columns have the names that the operator uses inside.
+    df = spark.createDataFrame(rows, "tree string, place int, node string")
+    found = merkle.build_manifest(df, "node", "tree", ["place"], arity).collect()
+    root, _ = _tree([_tree([r[2] for r in rows if r[0] == t], arity)[0] for t in ("t0", "t1", "t2")], arity)
+    assert len(found) == 40
+    for row in found:
+        node = row.leaf
+        for left, right in row.path:
+            node = _hash(left + node + right)
+        assert (row.root, node) == (root, root)
+        assert row.row.node == row.leaf
