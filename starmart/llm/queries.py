@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starmart.llm import (
     class_model,
+    hard_negatives,
     jaccard,
     language,
     lattice,
@@ -247,3 +248,39 @@ SELECT l.doc_id, l.leaf, t.node AS subroot, r.node AS root,
 FROM leaves l JOIN subroots t USING (tree) JOIN folded f USING (k) LEFT JOIN proofs p USING (k)
     CROSS JOIN (SELECT node FROM tops WHERE nodes = 1) r
 """
+
+
+@query
+def op13_shared_list_negatives(spark, folder):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+    vectors = _table(spark, folder, "embeddings")
+    vectors = vectors.withColumn("label", F.coalesce(moved, F.col("label")))
+    return hard_negatives.mine_hard_negatives(vectors)
+
+
+# All anchors against all rows, with scores as whole numbers.
+ORACLES["op13_shared_list_negatives"] = """
+WITH vectors AS (
+    SELECT row_number() OVER () AS k, vec_id,
+        CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.k, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike,
+        CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM vectors a JOIN vectors b ON a.k <> b.k
+    WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id) AS place
+    FROM scored WHERE alike QUALIFY place <= 5
+), negatives AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id,
+        p.score AS positive_score, n.score AS negative_score,
+        row_number() OVER (PARTITION BY p.k, p.place ORDER BY n.score DESC, n.vec_id) AS rank
+    FROM positives p JOIN scored n ON p.k = n.k AND NOT n.alike
+    WHERE 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+)
+SELECT * FROM negatives WHERE rank <= 10
+"""
