@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starmart.llm import (
     class_model,
+    fingerprints,
     hard_negatives,
     jaccard,
     language,
@@ -284,3 +285,8 @@ WITH vectors AS (
 )
 SELECT * FROM negatives WHERE rank <= 10
 """
+
+
+@query
+def op12_parsed_fingerprints(spark, folder):
+    return fingerprints.compare_with_next(_table(spark, folder, "documents"))
