@@ -162,8 +162,10 @@ def sketch(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
     return roots, np.where(filled, values, _EMPTY)
 
 
-def _written_out(roots: np.ndarray, slots: np.ndarray) -> list[str]:
-    return [f"{root:016x}{row.tobytes().hex()}" for root, row in zip(roots.tolist(), slots.astype(">u2"))]
+def packed(roots: np.ndarray, slots: np.ndarray) -> list[bytes]:
+    """Fingerprints as bytes; as texts they are the hex digits of these."""
+    rows = zip(roots.astype(">u8"), slots.astype(">u2"))
+    return [root.tobytes() + row.tobytes() for root, row in rows]
 
 
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -208,7 +210,7 @@ def fingerprint(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         for batch in batches:
             texts = batch.column(1).fill_null("").to_pylist()
             for part in _runs(texts):
-                prints = _written_out(*sketch(texts[part]))
+                prints = [print_.hex() for print_ in packed(*sketch(texts[part]))]
                 ids = batch.column(0).slice(part.start, part.stop - part.start)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(prints)], names=["id", "fingerprint"])
 
@@ -217,9 +219,11 @@ def fingerprint(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     return found.withColumnRenamed("id", id_column)
 
 
+# Digests are bytes until the end: in between they are written once.
+_DIGESTS = ("edited_sha256", "fingerprint", "edited_fingerprint")
 _RESULT = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint string,"
-    " edited_fingerprint string, near_edited double, near_next double"
+    "doc_id long, n_chars long, edited_sha256 binary, fingerprint binary,"
+    " edited_fingerprint binary, near_edited double, near_next double"
 )
 _ROW = f"part int, kind int, {_RESULT}, text string"
 _CLOSED, _LAST, _FIRST = 0, 1, 2
@@ -243,13 +247,13 @@ def _compared(ids: pa.Array, texts: list[str], known=None) -> tuple[list[pa.Arra
     after = tuple(x[1:] for x in prints)
     changed = [edited(text, following) for text, following in zip(texts, texts[1:])]
     other = sketch(changed)
-    digests = [sha256(text.encode("utf-8", "surrogatepass")).hexdigest() for text in changed]
+    digests = [sha256(text.encode("utf-8", "surrogatepass")).digest() for text in changed]
     columns = [
         ids.slice(0, len(changed)),
         pa.array([len(text) for text in texts[:-1]], pa.int64()),
-        pa.array(digests, pa.string()),
-        pa.array(_written_out(*own), pa.string()),
-        pa.array(_written_out(*other), pa.string()),
+        pa.array(digests, pa.binary()),
+        pa.array(packed(*own), pa.binary()),
+        pa.array(packed(*other), pa.binary()),
         pa.array(likeness(own, other), pa.float64()),
         pa.array(likeness(own, after), pa.float64()),
     ]
@@ -265,7 +269,7 @@ def _rows(part: int, kind: int, columns: list[pa.Array], texts: list[str | None]
 
 
 def _edge(part: int, kind: int, doc_id: pa.Array, text: str) -> pa.RecordBatch:
-    blank = [pa.nulls(1, pa.int64()), *[pa.nulls(1, pa.string())] * 3, *[pa.nulls(1, pa.float64())] * 2]
+    blank = [pa.nulls(1, pa.int64()), *[pa.nulls(1, pa.binary())] * 3, *[pa.nulls(1, pa.float64())] * 2]
     return _rows(part, kind, [doc_id, *blank], [text])
 
 
@@ -343,4 +347,5 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     met = ends.join(follows, "part").join(firsts, "next_part")
     joined = met.select("doc_id", "text", "next_text").mapInArrow(_across, _RESULT)
     closed = done.filter(F.col("kind") == _CLOSED)
-    return closed.select(*joined.columns).unionByName(joined)
+    results = closed.select(*joined.columns).unionByName(joined)
+    return results.withColumns({name: F.lower(F.hex(name)) for name in _DIGESTS})

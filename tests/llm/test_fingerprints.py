@@ -121,7 +121,7 @@ def _brute(rows):
         cut = len(text) // 4
         changed = text[: len(text) - cut] + following[:cut]
         own, after, other = (sketch([t]) for t in (text, following, changed))
-        prints = [fingerprints._written_out(*p)[0] for p in (own, other)]
+        prints = [fingerprints.packed(*p)[0].hex() for p in (own, other)]
         digest = sha256(changed.encode()).hexdigest()
         near = (float(likeness(own, p)[0]) for p in (other, after))
         found.append((doc_id, len(text), digest, *prints, *near))
@@ -149,7 +149,7 @@ def test_few_rows(spark, rows):
 def test_a_hot_id_with_repeated_rows(spark):
     rows = [(5, f"copy {i % 3}") for i in range(90)] + [(6, "last")]
     found = _found(compare_with_next(_docs(spark, rows)))
-    prints = {i: fingerprints._written_out(*sketch([f"copy {i}"]))[0] for i in range(3)}
+    prints = {i: fingerprints.packed(*sketch([f"copy {i}"]))[0].hex() for i in range(3)}
     assert [sum(r[3] == p for r in found) for p in prints.values()] == [30, 30, 30]
     # Equal texts stand together: two in three are followed by an equal text.
     assert sum(r[6] == 1 for r in found) == 87
