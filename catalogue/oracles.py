@@ -342,6 +342,7 @@ oracle(
     "WHERE product_id IN (SELECT product_id FROM denoised_products)",
 )
 oracle("fk_enforce_both", f"SELECT {_select(X)} FROM restored_transactions")
+oracle("scan_other_scheme", f"SELECT {_select(X)} FROM restored_transactions")
 oracle(
     "fk_orphans",
     f"SELECT {_select(X)} FROM noisy_transactions AS t WHERE NOT EXISTS "

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 from pathlib import Path
+from uuid import uuid4
 
 import starmart.plans
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from starmart.plans import (
     REFERENCES,
     REPORTS,
     run_medallion,
+    run_silver,
     run_sql_reports,
     scratch_folder,
 )
@@ -92,19 +94,32 @@ def silver(spark: SparkSession, folder: str, table: str, source=raw) -> DataFram
     return op.clean(source(spark, folder, table), table)
 
 
-def silver_star(spark: SparkSession, folder: str, source=raw) -> Star:
+def silver_star(
+    spark: SparkSession, folder: str, source=raw, hot: op.HotKeys | None = None
+) -> Star:
     """The cleaned tables; transactions refer to cleaned users and products only.
 
-    The reports below join them in the same job that enforced the references, on the same
-    keys, which is where a hot key is split only on request (``SPLIT_HOT_KEYS``, a setting
-    that is left to the session).
+    Reports that join them on the same keys in the same job are given the fact's hot keys, see
+    ``report``.
     """
     tables = {name: silver(spark, folder, name, source) for name in Star._fields}
     references = {key: tables[dim] for key, dim in REFERENCES.items()}
-    tables["transactions"] = op.enforce_fks(tables["transactions"], references)
+    tables["transactions"] = op.enforce_fks(tables["transactions"], references, hot)
     return Star(**tables)
 
 
+def hot_keys(spark: SparkSession, folder: str) -> op.HotKeys:
+    """Users and products that hold a large share of the fact; one pass over its keys."""
+    keys = list(REFERENCES)
+    return op.find_hot_keys(raw(spark, folder, "transactions"), keys, ["transaction_id", *keys])
+
+
+def report(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A report from raw tables; references and prices join in one job, hot keys in pieces."""
+    hot = hot_keys(spark, folder)
+    return REPORTS[name](*silver_star(spark, folder, hot=hot), hot=hot)
+
+
 def _dates_as_text(df: DataFrame, key: str, col: str) -> DataFrame:
     """The date as raw files may hold it: bad text, nothing, empty, too old or in order."""
     text = f"""CASE {key} % 5 WHEN 0 THEN 'invalid-date' WHEN 1 THEN NULL WHEN 2 THEN ''
@@ -156,6 +171,18 @@ def scan_run_metrics_json(spark, folder):
     return sources.read_run_metrics(spark, path)
 
 
+@query
+def scan_other_scheme(spark, folder):
+    """Bronze and silver behind a scheme that only this query's readers and writers know."""
+    base, store = sources.qualified(spark, scratch_folder(spark)), f"shop-{uuid4().hex}"
+    links = {f"/{layer}": f"{base}/{layer}" for layer in ("bronze", "silver")}
+    options = sources.io_options(sources.mount_conf(store, links))
+    bronze, silver_layer = (f"viewfs://{store}{layer}" for layer in links)
+    for name, table in _noisy_tables(spark, folder):
+        sinks.write_csv(table, f"{bronze}/{name}.csv", options)
+    return _plain(run_silver(spark, bronze, silver_layer, options=options)["transactions"])
+
+
 @query
 def sql_report(spark, folder):
     file = Path(starmart.plans.__file__).parent / "sql" / "top_spenders.sql"
@@ -190,17 +217,17 @@ def sink_partitioned(spark, folder):
 def sink_gold_table(spark, folder):
     database = "starmart_gold"  # one for all calls: the table is replaced
     sinks.ensure_database(spark, database)
-    report = REPORTS["performance_analysis_by_country"](*silver_star(spark, folder))
+    countries = report(spark, folder, "performance_analysis_by_country")
     return spark.table(
-        sinks.write_table(report, database, "performance_analysis_by_country", single_file=True)
+        sinks.write_table(countries, database, "performance_analysis_by_country", single_file=True)
     )
 
 
 @query
 def sink_gold_parquet(spark, folder):
     path = f"{scratch_folder(spark)}/gold/day_to_day_sales"
-    report = REPORTS["day_to_day_sales"](*silver_star(spark, folder))
-    sinks.write_parquet(report, path, single_file=True)
+    days = report(spark, folder, "day_to_day_sales")
+    sinks.write_parquet(days, path, single_file=True)
     return _plain(sources.read_silver(spark, path))
 
 
@@ -391,7 +418,7 @@ def table_counts(spark, folder):
 
 @query
 def category_counts(spark, folder):
-    best = REPORTS["top_products_by_category"](*silver_star(spark, folder))
+    best = report(spark, folder, "top_products_by_category")
     return best.groupBy("category").agg(F.count("*").alias("rows"))
 
 
@@ -417,27 +444,27 @@ def date_spine_fill(spark, folder):
 
 @query
 def top_spenders(spark, folder):
-    return REPORTS["top_spenders"](*silver_star(spark, folder))
+    return report(spark, folder, "top_spenders")
 
 
 @query
 def top_n_per_group(spark, folder):
-    return REPORTS["top_products_by_category"](*silver_star(spark, folder))
+    return report(spark, folder, "top_products_by_category")
 
 
 @query
 def country_performance(spark, folder):
-    return REPORTS["performance_analysis_by_country"](*silver_star(spark, folder))
+    return report(spark, folder, "performance_analysis_by_country")
 
 
 @query
 def day_to_day_sales(spark, folder):
-    return _plain(REPORTS["day_to_day_sales"](*silver_star(spark, folder)))
+    return _plain(report(spark, folder, "day_to_day_sales"))
 
 
 @query
 def sales_moving_average(spark, folder):
-    return _plain(REPORTS["sales_moving_average"](*silver_star(spark, folder)))
+    return _plain(report(spark, folder, "sales_moving_average"))
 
 
 @query

@@ -31,8 +31,10 @@ from starmart.operators.sales import (
     user_spend,
 )
 from starmart.operators.series import moving_average, period_over_period
+from starmart.operators.skew import HotKeys, find_hot_keys
 
 __all__ = [
+    "HotKeys",
     "Rule",
     "TABLE_RULES",
     "clean",
@@ -43,6 +45,7 @@ __all__ = [
     "enforce_fks",
     "fill_from_spine",
     "fill_gaps",
+    "find_hot_keys",
     "group_distribution",
     "group_runs",
     "group_vs_baseline",

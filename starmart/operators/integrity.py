@@ -7,14 +7,23 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmart.operators.skew import HotKeys
 
-def enforce_fk(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
+
+def enforce_fk(
+    fact: DataFrame,
+    dim: DataFrame,
+    key: str,
+    dim_key: str | None = None,
+    hot: HotKeys | None = None,
+) -> DataFrame:
     """Fact rows whose key exists in the dimension.
 
     A semi-join: no DISTINCT over the dimension, no fan-out, the fact's columns as they were.
-    The fact is the left side, which Spark can split when one key is hot.
+    The fact is the left side, which Spark can split when one key is hot, unless a later join
+    needs the same key together; ``hot`` keys are split whatever follows.
     """
-    return _match(fact, dim, key, dim_key, "left_semi")
+    return _match(fact, dim, key, dim_key, "left_semi", hot)
 
 
 def orphans(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
@@ -22,14 +31,23 @@ def orphans(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = Non
     return _match(fact, dim, key, dim_key, "left_anti")
 
 
-def enforce_fks(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+def enforce_fks(
+    fact: DataFrame, dims: Mapping[str, DataFrame], hot: HotKeys | None = None
+) -> DataFrame:
     """``enforce_fk`` for each key in turn."""
     for key, dim in dims.items():
-        fact = enforce_fk(fact, dim, key)
+        fact = enforce_fk(fact, dim, key, hot=hot)
     return fact
 
 
-def _match(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None, how: str) -> DataFrame:
+def _match(
+    fact: DataFrame,
+    dim: DataFrame,
+    key: str,
+    dim_key: str | None,
+    how: str,
+    hot: HotKeys | None = None,
+) -> DataFrame:
     # Renamed and compared by condition: joining by name would move the key to the front.
     keys = dim.select(F.col(dim_key or key).alias("_known_key"))
-    return fact.join(keys, F.col(key) == F.col("_known_key"), how)
+    return (hot or HotKeys()).join(fact, keys, key, "_known_key", how)

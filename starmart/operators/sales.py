@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions import both_parts, quoted, split_exact
+from starmart.operators.skew import HotKeys
 
 # A sale is a decimal where its price is one without loss, else a double; see ``split_exact``.
 _AMOUNTS = ("_price * quantity AS amount", "_odd_price * quantity AS odd_amount")
@@ -18,36 +19,45 @@ _SUMS = ("sum(amount) AS amount", "sum(odd_amount) AS odd_amount")
 _TOTAL = both_parts("sum(amount)", "sum(odd_amount)")
 
 
-def _priced(transactions: DataFrame, products: DataFrame, how: str) -> DataFrame:
+def _priced(
+    transactions: DataFrame, products: DataFrame, how: str, hot: HotKeys | None = None
+) -> DataFrame:
     """The fact with ``_price`` or ``_odd_price`` of its product; NULL if a left join finds none."""
     price, odd_price = split_exact("price")
     prices = products.selectExpr(
         "product_id AS _product_id", f"{price} AS _price", f"{odd_price} AS _odd_price"
     )
-    return transactions.join(prices, F.expr("product_id = _product_id"), how)
+    return (hot or HotKeys()).join(transactions, prices, "product_id", "_product_id", how)
 
 
-def daily_sales(transactions: DataFrame, products: DataFrame) -> DataFrame:
+def daily_sales(
+    transactions: DataFrame, products: DataFrame, hot: HotKeys | None = None
+) -> DataFrame:
     """``total_sales`` per day with at least one transaction.
 
     A transaction of an unknown product counts as 0 but keeps its day in the series.
     """
     dated = "CAST(transaction_date AS DATE) AS transaction_date"
     return (
-        _priced(transactions, products, "left")
+        _priced(transactions, products, "left", hot)
         .selectExpr(dated, *_AMOUNTS)
         .groupBy("transaction_date")
         .agg(F.expr(f"coalesce({_TOTAL}, 0D) AS total_sales"))
     )
 
 
-def user_spend(transactions: DataFrame, users: DataFrame, products: DataFrame) -> DataFrame:
+def user_spend(
+    transactions: DataFrame,
+    users: DataFrame,
+    products: DataFrame,
+    hot: HotKeys | None = None,
+) -> DataFrame:
     """``total_spent`` per user and name, for users that bought a known product.
 
     The fact is reduced to a row per user before it meets the users.
     """
     spend = (
-        _priced(transactions, products, "inner")
+        _priced(transactions, products, "inner", hot)
         .selectExpr("user_id", *_AMOUNTS)
         .groupBy("user_id")
         .agg(*map(F.expr, _SUMS))
@@ -70,43 +80,42 @@ def product_quantity(transactions: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def segment_performance(
-    users: DataFrame, transactions: DataFrame, products: DataFrame, by: str = "country"
+    users: DataFrame,
+    transactions: DataFrame,
+    products: DataFrame,
+    by: str = "country",
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Sales, distinct transactions and distinct buyers per user segment.
 
-    The fact is reduced to a row per user and transaction before it meets the users; buyers
-    are counted from a row per user, read from one column. Each of the two counts has an
-    aggregation of its own, so nothing is expanded. A segment without any transaction appears
-    with zeros: it comes from a row per segment rather than from an outer join starting at the
-    users, which could neither broadcast the users nor split a hot one.
+    A tree of partial aggregates over one scan of the fact: a row per user and transaction meets
+    the users; then, per segment, a row per transaction and one per buyer, which are counted. A
+    segment without any transaction appears with zeros: it comes from a row per segment rather
+    than from an outer join starting at the users, which could neither broadcast the users nor
+    split a hot one.
     """
     segment = quoted(by)
     sales = (
-        _priced(transactions, products, "left")
+        _priced(transactions, products, "left", hot)
         .selectExpr("transaction_id", "user_id", *_AMOUNTS)
         .groupBy("user_id", "transaction_id")
         .agg(*map(F.expr, _SUMS))
     )
     segments = users.selectExpr("user_id AS _user_id", segment)
-    bought = F.expr("user_id = _user_id")
-    parts = [
-        sales.join(segments, bought)
-        .groupBy(by)
-        .agg(
-            *map(F.expr, _SUMS),
-            F.expr("count(DISTINCT transaction_id) AS total_transactions"),
-            F.expr("0L AS total_users"),
-        ),
-        transactions.select("user_id")
-        .distinct()
-        .join(segments, bought)
-        .groupBy(by)
-        .agg(F.expr("count(DISTINCT user_id) AS total_users")),
-        segments.select(by).distinct(),
-    ]
-    measured = parts[0].unionByName(parts[1], True).unionByName(parts[2], True)
+    met = sales.join(segments, F.expr("user_id = _user_id"))
+    # The transaction with its amounts, the buyer without: each is one row per segment after this.
+    counted = met.selectExpr(
+        segment,
+        """inline(array(
+            named_struct('_transaction', transaction_id, '_buyer', NULL,
+                'amount', amount, 'odd_amount', odd_amount),
+            named_struct('_transaction', NULL, '_buyer', user_id,
+                'amount', NULL, 'odd_amount', NULL)))""",
+    )
+    counted = counted.groupBy(by, "_transaction", "_buyer").agg(*map(F.expr, _SUMS))
+    measured = counted.unionByName(segments.select(by).distinct(), True)
     return measured.groupBy(by).agg(
         F.expr(f"coalesce({_TOTAL}, 0D) AS total_sales"),
-        F.expr("coalesce(sum(total_transactions), 0L) AS total_transactions"),
-        F.expr("coalesce(sum(total_users), 0L) AS total_users"),
+        F.expr("count(_transaction) AS total_transactions"),
+        F.expr("count(_buyer) AS total_users"),
     )

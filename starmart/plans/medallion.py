@@ -30,22 +30,27 @@ def run_silver(
     date_format: str | None = None,
     compression: str | None = "snappy",
     partition_products_by: str | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """Clean ``{bronze}/{table}.csv`` into ``{silver}/{table}`` and return the silver tables.
 
     Dates are read as Spark casts text, or strictly in ``date_format``; silver holds dates.
     Dimensions are written before the fact and read back for its references: the raw files
-    are parsed once, and a lost executor costs a re-read of small cleaned files.
+    are parsed once, and a lost executor costs a re-read of small cleaned files. ``options``
+    are settings of the file systems behind the paths, see ``io_options``.
     """
     tables: dict[str, DataFrame] = {}
     for table, schema in TABLES.items():
-        rows = clean(read_bronze(spark, f"{bronze}/{table}.csv", table, date_format), table)
+        raw = read_bronze(spark, f"{bronze}/{table}.csv", table, date_format, options)
+        rows = clean(raw, table)
         if table == "transactions":
             rows = enforce_fks(rows, {key: tables[dim] for key, dim in REFERENCES.items()})
         path = f"{silver}/{table}"
         partition_by = partition_products_by if table == "products" else None
-        write_parquet(conform(rows, schema), path, compression, partition_by)
-        tables[table] = read_silver(spark, path, schema)
+        write_parquet(
+            conform(rows, schema), path, compression, partition_by, options=options
+        )
+        tables[table] = read_silver(spark, path, schema, options)
         log.info("silver table written: %s", path)
     return tables
 
@@ -62,6 +67,7 @@ def run_gold(
     single_file: bool = False,
     compression: str | None = "snappy",
     schemas: Mapping[str, StructType] | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> dict[str, DataFrame]:
     """Compute reports over the silver tables and return them as written.
 
@@ -69,12 +75,15 @@ def run_gold(
     if it is missing): the named ``reports``, then those of ``sql_files`` under their stems.
     ``cache`` keeps the dimensions, which several reports read, and never the fact; the daily series, which two
     reports start from, is always computed once. Declare ``schemas`` of partitioned tables
-    (see ``read_silver``).
+    (see ``read_silver``). ``options`` are settings of the file systems behind the paths.
     """
     if (gold is None) == (database is None):
         raise ValueError("give either a gold folder or a database")
     declared = schemas or {}
-    tables = {name: read_silver(spark, f"{silver}/{name}", declared.get(name)) for name in TABLES}
+    tables = {
+        name: read_silver(spark, f"{silver}/{name}", declared.get(name), options)
+        for name in TABLES
+    }
     if database:
         ensure_database(spark, database, location)
 
@@ -82,8 +91,8 @@ def run_gold(
         if database:
             return spark.table(write_table(report, database, name, compression, single_file))
         path = f"{gold}/{name}"
-        write_parquet(report, path, compression, single_file=single_file)
-        return read_silver(spark, path)
+        write_parquet(report, path, compression, single_file=single_file, options=options)
+        return read_silver(spark, path, options=options)
 
     names = list(reports)
     written: dict[str, DataFrame] = {}
@@ -115,9 +124,10 @@ def run_medallion(
     date_format: str | None = None,
     compression: str | None = "snappy",
     partition_products_by: str | None = None,
+    options: Mapping[str, str] | None = None,
     **gold_options,
 ) -> dict[str, DataFrame]:
     """Both layer jobs in order; the options are those of ``run_silver`` and ``run_gold``."""
-    run_silver(spark, bronze, silver, date_format, compression, partition_products_by)
-    gold_options = {"schemas": TABLES, **gold_options}
+    run_silver(spark, bronze, silver, date_format, compression, partition_products_by, options)
+    gold_options = {"schemas": TABLES, "options": options, **gold_options}
     return run_gold(spark, silver, gold, compression=compression, **gold_options)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime, timezone
 from uuid import uuid4
 
@@ -19,6 +20,7 @@ def write_parquet(
     compression: str | None = "snappy",
     partition_by: str | None = None,
     single_file: bool = False,
+    options: Mapping[str, str] | None = None,
 ) -> None:
     """Parquet with a codec; ``None`` leaves the session's default, for plain files name
     ``"uncompressed"``.
@@ -28,6 +30,7 @@ def write_parquet(
     values get one file each and a hot one is spread over many tasks.
 
     ``single_file`` is for ordered reports of bounded size: their last stage becomes one task.
+    ``options`` are settings of the path's file system, see ``io_options``.
     """
     if partition_by in df.columns:
         df = df.hint("rebalance", partition_by)
@@ -35,7 +38,7 @@ def write_parquet(
         partition_by = None
     if single_file:
         df = df.coalesce(1)
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(partition_by)
     if compression:
@@ -43,7 +46,7 @@ def write_parquet(
     writer.parquet(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, options: Mapping[str, str] | None = None) -> None:
     """CSV with a header in each file, written by all tasks; NULL and "" are both empty.
 
     A line is a row, so that files can be split: line breaks in texts become blanks.
@@ -54,7 +57,8 @@ def write_csv(df: DataFrame, path: str) -> None:
         else F.col(quoted(field.name))
         for field in df.schema.fields
     ]
-    df.select(*lines).write.mode("overwrite").options(**CSV_DIALECT).csv(path)
+    writer = df.select(*lines).write.mode("overwrite").options(**(options or {}))
+    writer.options(**CSV_DIALECT).csv(path)
 
 
 def write_run_metrics(runs: DataFrame, folder: str, at: datetime | None = None) -> str:

@@ -15,19 +15,35 @@ from starmart.sources.schemas import (
     conform,
     with_date_as,
 )
+from starmart.sources.stores import (
+    STORES,
+    Store,
+    io_options,
+    mount_conf,
+    qualified,
+    scheme_of,
+    store_conf,
+)
 
 __all__ = [
     "PRODUCTS",
     "RUNS",
+    "STORES",
     "Star",
+    "Store",
     "TABLES",
     "TRANSACTIONS",
     "USERS",
     "conform",
+    "io_options",
+    "mount_conf",
+    "qualified",
     "read_bronze",
     "read_run_metrics",
     "read_silver",
     "retail_runs",
     "retail_table",
+    "scheme_of",
+    "store_conf",
     "with_date_as",
 ]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -13,13 +15,18 @@ CSV_DIALECT = {"header": True, "escape": '"'}
 
 
 def read_bronze(
-    spark: SparkSession, path: str, table: str, date_format: str | None = None
+    spark: SparkSession,
+    path: str,
+    table: str,
+    date_format: str | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Raw CSV of one table with its declared columns.
 
     The file is scanned as text and typed by expressions, so one bad cell becomes NULL and
     never costs the row; integers written as ``7.0`` stay integers. Dates stay text for the
     quality rules to judge, or are parsed here if ``date_format`` is given (NULL when bad).
+    ``options`` are settings of the path's file system, see ``io_options``.
     """
     schema = TABLES[table]
     scanned = T.StructType(
@@ -34,6 +41,7 @@ def read_bronze(
         ]
     )
     reader = spark.read.schema(scanned).options(**CSV_DIALECT, enforceSchema=False)
+    reader = reader.options(**(options or {}))
     if date_format:
         reader = reader.option("dateFormat", date_format)
     return reader.csv(path).selectExpr(
@@ -49,15 +57,21 @@ def _typed(name: str, dtype: T.DataType) -> str:
     return quoted(name)
 
 
-def read_silver(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_silver(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    options: Mapping[str, str] | None = None,
+) -> DataFrame:
     """A cleaned table.
 
     Parquet carries its own schema; pass one for a partitioned table, whose partition
     values would otherwise be guessed from directory names and moved to the end.
     """
+    reader = spark.read.options(**(options or {}))
     if schema is None:
-        return spark.read.parquet(path)
-    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+        return reader.parquet(path)
+    return reader.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def read_run_metrics(spark: SparkSession, path: str) -> DataFrame:
