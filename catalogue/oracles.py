@@ -324,6 +324,27 @@ oracle(
         for rule, check in _all_rules(table).items()
     ),
 )
+oracle(
+    "silver_write_counts",
+    "\nUNION ALL\n".join(
+        f"SELECT '{table}' AS table_name, '{rule}' AS rule, "
+        f"COUNT(*) FILTER (WHERE ({check}) IS NOT TRUE) AS rows_failing, "
+        f"COUNT(*) AS rows_before, COUNT(*) FILTER (WHERE {_where(table, *_all_rules(table))}) "
+        f"AS rows_after, "
+        f"COUNT(*) FILTER (WHERE ({_where(table, *_all_rules(table))}) IS NOT TRUE) "
+        f"AS rows_removed, (SELECT COUNT(*) FROM {kept}) AS rows_written FROM noisy_{table}"
+        for table, kept in (
+            ("users", "denoised_users"),
+            ("products", "denoised_products"),
+            ("transactions", "restored_transactions"),
+        )
+        for rule, check in _all_rules(table).items()
+    ),
+)
+oracle(
+    "sink_replace",
+    f"SELECT {_select('users')} FROM (SELECT * REPLACE (upper(name) AS name) FROM clean_users)",
+)
 oracle(
     "try_parse_date",
     "SELECT transaction_id, transaction_date, "
@@ -342,6 +363,30 @@ oracle(
     "WHERE product_id IN (SELECT product_id FROM denoised_products)",
 )
 oracle("fk_enforce_both", f"SELECT {_select(X)} FROM restored_transactions")
+_ORDER = "transaction_date, transaction_id, product_id, user_id, quantity"
+oracle(
+    "long_moving_average",
+    f"""
+SELECT {_select(X)}, round(sum(quantity) OVER w / count(*) OVER w, 6) AS moving_average
+FROM clean_transactions
+WINDOW w AS (ORDER BY {_ORDER} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""",
+)
+oracle(
+    "long_period_over_period",
+    f"""
+SELECT {_select(X)}, previous, round(CASE WHEN previous <> 0
+    THEN (quantity - previous) / CAST(previous AS DOUBLE) * 100 END, 6) AS percent_change
+FROM (SELECT *, lag(quantity, 3) OVER (ORDER BY {_ORDER}) AS previous FROM clean_transactions)""",
+)
+oracle(
+    "long_fill_gaps",
+    """
+SELECT CAST(DATE '1970-01-01' + CAST(key AS INTEGER) AS VARCHAR) AS day,
+    coalesce(orders, 0) AS orders
+FROM (SELECT unnest(range(min(user_id), max(user_id) + 1)) AS key FROM raw_transactions)
+LEFT JOIN (SELECT user_id, count(DISTINCT transaction_id) AS orders
+    FROM raw_transactions GROUP BY user_id) ON key = user_id""",
+)
 oracle("scan_other_scheme", f"SELECT {_select(X)} FROM restored_transactions")
 oracle(
     "fk_orphans",

@@ -332,6 +332,31 @@ def quality_report(spark, folder):
     return reports[0].unionByName(reports[1]).unionByName(reports[2])
 
 
+@query
+def silver_write_counts(spark, folder):
+    """The quality report of a silver job, counted while it wrote."""
+    base = scratch_folder(spark)
+    for name, table in _noisy_tables(spark, folder):
+        sinks.write_csv(table, f"{base}/bronze/{name}.csv")
+    return run_silver(spark, f"{base}/bronze", f"{base}/silver").quality_report(spark)
+
+
+@query
+def sink_replace(spark, folder):
+    """A table replaced by rows read from itself, then left alone by a write that fails."""
+    path = f"{scratch_folder(spark)}/users"
+    sinks.write_parquet(silver(spark, folder, "users"), path)
+    users = sources.read_silver(spark, path)
+    sinks.write_parquet(users.withColumn("name", F.upper("name")), path)
+    broken = F.expr("IF(user_id % 2 = 0, raise_error('planned'), name)")
+    try:
+        sinks.write_parquet(sources.read_silver(spark, path).withColumn("name", broken), path)
+    except Exception as failure:
+        if "planned" not in str(failure):
+            raise
+    return _plain(sources.read_silver(spark, path))
+
+
 @query
 def try_parse_date(spark, folder):
     rows = raw(spark, folder, "transactions")
@@ -494,6 +519,39 @@ def csv_line_breaks(spark, folder):
     return _plain(sources.read_bronze(spark, path, "users"))
 
 
+_SALES_ORDER = ["transaction_date", "transaction_id", "product_id", "user_id", "quantity"]
+
+
+@query
+def long_moving_average(spark, folder):
+    """Each sale with the mean quantity of the last seven: a series as long as the fact."""
+    sales = silver(spark, folder, "transactions")
+    averaged = op.long_moving_average(sales, _SALES_ORDER, "quantity", scratch_folder(spark))
+    return _rounded(_plain(averaged))
+
+
+@query
+def long_period_over_period(spark, folder):
+    """Each sale beside the third one before it."""
+    sales = silver(spark, folder, "transactions")
+    compared = op.long_period_over_period(
+        sales, _SALES_ORDER, "quantity", scratch_folder(spark), offset=3
+    )
+    return _rounded(_plain(compared))
+
+
+@query
+def long_fill_gaps(spark, folder):
+    """A day per customer key, as a calendar with a gap at every key without an order."""
+    orders = raw(spark, folder, "transactions").groupBy("user_id").agg(
+        F.countDistinct("transaction_id").alias("orders")
+    )
+    days = orders.selectExpr(
+        "date_add(DATE '1970-01-01', CAST(user_id AS INT)) AS day", "orders"
+    )
+    return _plain(op.long_fill_gaps(days, "day", ["orders"], scratch_folder(spark), block_rows=500))
+
+
 # --- noise ------------------------------------------------------------------------------
 
 

@@ -35,20 +35,25 @@ def fill_gaps(
     values: Sequence[str],
     fill: float = 0,
     partition_by: Sequence[str] = (),
+    kept: Sequence[str] = (),
 ) -> DataFrame:
-    """The series with its missing days added, holding ``fill``.
+    """The series with its missing days added, holding ``fill``, in ``kept`` values the last one.
 
     Each day is followed by the days up to the next one present, so the series is read once
     and never joined to a calendar. Needs one row per day (and per partition): aggregate first.
     """
-    day, kept = quoted(col), [quoted(c) for c in partition_by]
+    day, groups = quoted(col), [quoted(c) for c in partition_by]
     next_day = f"lead({day}) {over(partition_by, [col])}"
     days = f"sequence({day}, coalesce(date_sub({next_day}, 1), {day}), INTERVAL 1 DAY)"
-    spread = daily.selectExpr(*kept, *map(quoted, values), f"{days} AS _days").selectExpr(
-        *kept, *map(quoted, values), "posexplode(_days) AS (_offset, _day)"
+    spread = daily.selectExpr(*groups, *map(quoted, values), f"{days} AS _days").selectExpr(
+        *groups, *map(quoted, values), "posexplode(_days) AS (_offset, _day)"
     )
     return spread.selectExpr(
-        *kept,
+        *groups,
         f"_day AS {day}",
-        *[f"CASE WHEN _offset = 0 THEN {v} ELSE {fill} END AS {v}" for v in map(quoted, values)],
+        *[
+            quoted(v) if v in kept
+            else f"CASE WHEN _offset = 0 THEN {quoted(v)} ELSE {fill} END AS {quoted(v)}"
+            for v in values
+        ],
     )

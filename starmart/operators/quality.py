@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,6 +98,42 @@ def clean(df: DataFrame, rules: str | Iterable[Rule]) -> DataFrame:
     return df.where(all_of(_conditions(df, rules).values()))
 
 
+def clean_and_count(
+    df: DataFrame, rules: str | Iterable[Rule], counts: Observation
+) -> DataFrame:
+    """``clean``, with what ``quality_report`` counts observed on the way; no pass of its own.
+
+    ``counts`` holds them after the first action. Rows of a shuffle that is computed again after
+    an executor was lost may count twice; the report by itself never does.
+    """
+    conditions = _conditions(df, rules)
+    failing = [
+        F.expr(f"count_if(({condition}) IS NOT TRUE)").alias(name)
+        for name, condition in conditions.items()
+    ]
+    passing = F.expr(f"count_if({all_of(conditions.values())})").alias("rows_after")
+    observed = df.observe(counts, F.count(F.lit(1)).alias("rows_before"), passing, *failing)
+    return observed.where(all_of(conditions.values()))
+
+
+def observed_report(spark: SparkSession, observed: Mapping[str, Mapping[str, int]]) -> DataFrame:
+    """The rows of ``quality_report`` per ``table_name``, from observed counts; a row per rule.
+
+    ``rows_written``, which is counted later (after references, say), stands beside them.
+    """
+    rows = []
+    for table, counts in observed.items():
+        before, after = counts["rows_before"], counts["rows_after"]
+        totals = (before, after, before - after, counts.get("rows_written"))
+        names = [n for n in counts if n not in ("rows_before", "rows_after", "rows_written")]
+        rows += [(table, name, counts[name], *totals) for name in names]
+    return spark.createDataFrame(
+        rows,
+        "table_name string, rule string, rows_failing long, rows_before long, rows_after long,"
+        " rows_removed long, rows_written long",
+    )
+
+
 def quality_report(df: DataFrame, rules: str | Iterable[Rule]) -> DataFrame:
     """Per rule, the rows that fail it, beside the table's row counts; one pass over ``df``.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,33 +99,95 @@ def layer_share(summary: DataFrame) -> DataFrame:
 def group_distribution(runs: DataFrame) -> DataFrame:
     """Mean, spread and quartiles of the run totals per experiment (a value per run).
 
-    Run totals are ranked, a sort that spills, and each quartile is read off the one or two
-    totals at its place; no list of an experiment's totals is kept.
+    Quartiles lie between neighbouring totals in proportion and are exact, see ``quantiles``; no
+    list of an experiment's totals is kept and none is sorted.
     """
     value = "total_transform_s"
     totals = _successful(runs).where(F.col(value).isNotNull())
-    ranked = totals.selectExpr(
-        "experiment",
-        value,
-        f"row_number() {over(['experiment'], [value])} - 1 AS _place",
-        "count(*) OVER (PARTITION BY experiment) - 1 AS _last",
-    )
-
-    def quartile(share: float) -> Column:
-        """The total at ``share`` of the way, between neighbours in proportion."""
-        at = f"{share}D * _last"
-        weight = f"greatest(0D, 1 - abs(_place - {at}))"
-        return F.expr(f"sum(CASE WHEN {weight} > 0 THEN {weight} * {value} END)")
-
-    return ranked.groupBy("experiment").agg(
+    shares = {"median_s": 0.5, "q1_s": 0.25, "q3_s": 0.75}
+    spread = totals.groupBy("experiment").agg(
         _mean(value).alias("mean_s"),
-        quartile(0.5).alias("median_s"),
         F.stddev_pop(value).alias("std_s"),
         F.min(value).alias("min_s"),
         F.max(value).alias("max_s"),
-        quartile(0.25).alias("q1_s"),
-        quartile(0.75).alias("q3_s"),
     )
+    found = quantiles(totals, "experiment", value, shares)
+    found = spread.join(
+        found.withColumnRenamed("experiment", "_e"), F.col("experiment").eqNullSafe(F.col("_e"))
+    )
+    order = ["mean_s", "median_s", "std_s", "min_s", "max_s", "q1_s", "q3_s"]
+    return found.select("experiment", *order)
+
+
+def quantiles(
+    df: DataFrame, group: str, value: str, shares: Mapping[str, float], accuracy: int = 2000
+) -> DataFrame:
+    """A row per group with exact quantiles of a numeric column, a column per share.
+
+    A quantile lies ``share * (n - 1)`` places above the least value, between neighbours in
+    proportion. Found by narrowing instead of sorting: a sketch of fixed size per group brackets
+    the two places; values below the bracket are only counted, those inside are counted per
+    distinct value, and a running count over these, about ``8 / accuracy`` of the group, picks the
+    two. Should a bracket miss a place, it becomes the whole range.
+
+    NULLs are left out; NaN is above all numbers; a NULL group is a group.
+    """
+    rows = df.select(F.col(quoted(group)).alias("_g"), F.col(quoted(value)).alias("_v")).where(
+        "_v IS NOT NULL"
+    )
+    margin = 4 / accuracy
+    ends = [end for share in shares.values() for end in (share - margin, share + margin)]
+    listed = ", ".join(f"{min(1.0, max(0.0, end))!r}D" for end in ends)
+    sketched = rows.groupBy("_g").agg(
+        F.count("*").alias("_n"),
+        F.min("_v").alias("_least"),
+        F.max("_v").alias("_most"),
+        F.expr(f"percentile_approx(_v, array({listed}), {accuracy})").alias("_ends"),
+    )
+
+    columns = ", ".join(
+        f"named_struct('share', {i}, 'at', {share!r}D * (_n - 1),"
+        f" 'low', _ends[{2 * i}], 'high', _ends[{2 * i + 1}])"
+        for i, share in enumerate(shares.values())
+    )
+    wanted = sketched.selectExpr("_g AS _t", "_least", "_most", f"inline(array({columns}))")
+    # What lies below each bracket; the whole range where a place is not inside.
+    brackets = (
+        rows.join(wanted, F.expr("_g <=> _t"))
+        .groupBy("_t", "share", "at", "low", "high", "_least", "_most")
+        .agg(F.expr("count_if(_v < low) AS _below"), F.expr("count_if(_v <= high) AS _upto"))
+        .withColumn("_hit", F.expr("floor(at) >= _below AND ceil(at) < _upto"))
+        .selectExpr(
+            "_t",
+            "share",
+            "at",
+            "IF(_hit, low, _least) AS low",
+            "IF(_hit, high, _most) AS high",
+            "IF(_hit, _below, 0L) AS _below",
+        )
+    )
+    target = ["_g", "share", "at", "_below"]
+    running = over(target, ["_v"], rows=("UNBOUNDED PRECEDING", "1 PRECEDING"))
+    # A value fills the places _first to _first + _rows - 1; the two places weigh by nearness.
+    near, part = "floor(at)", "(at - floor(at))"
+    covers = "({0} >= _first AND {0} < _first + _rows)"
+    weight = (
+        f"CASE WHEN {covers.format(near)} THEN 1 - {part} ELSE 0D END"
+        f" + CASE WHEN {covers.format(near + ' + 1')} THEN {part} ELSE 0D END"
+    )
+    weighed = (
+        rows.join(brackets, F.expr("_g <=> _t AND _v BETWEEN low AND high"))
+        .groupBy(*target, "_v")
+        .agg(F.count("*").alias("_rows"))
+        .selectExpr("*", f"_below + coalesce(sum(_rows) {running}, 0L) AS _first")
+        .selectExpr("_g", "share", "_v", f"{weight} AS _w")
+        .where("_w > 0")
+    )
+    results = [
+        F.sum(F.when(F.col("share") == i, F.col("_w") * F.col("_v"))).alias(name)
+        for i, name in enumerate(shares)
+    ]
+    return weighed.groupBy("_g").agg(*results).withColumnRenamed("_g", group)
 
 
 def group_runs(runs: DataFrame) -> DataFrame:

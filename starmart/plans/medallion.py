@@ -7,14 +7,15 @@ from collections.abc import Iterable, Mapping, Sequence
 from contextlib import ExitStack
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from starmart.operators import clean, enforce_fks
+from starmart.operators import clean_and_count, enforce_fks, observed_report
 from starmart.plans.reports import DAILY_REPORTS, REPORTS, daily_series
 from starmart.plans.sql_reports import run_sql_reports
 from starmart.plans.storage import persisted
-from starmart.sinks import ensure_database, write_parquet, write_table
+from starmart.sinks import ensure_database, recover, write_parquet, write_table
 from starmart.sources import TABLES, conform, read_bronze, read_silver
 
 log = logging.getLogger(__name__)
@@ -23,6 +24,17 @@ log = logging.getLogger(__name__)
 REFERENCES = {"user_id": "users", "product_id": "products"}
 
 
+class SilverTables(dict):
+    """The silver tables by name; ``counts`` are those of each table's rules and writes."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.counts: dict[str, dict[str, int]] = {}
+
+    def quality_report(self, spark: SparkSession) -> DataFrame:
+        return observed_report(spark, self.counts)
+
+
 def run_silver(
     spark: SparkSession,
     bronze: str,
@@ -31,25 +43,30 @@ def run_silver(
     compression: str | None = "snappy",
     partition_products_by: str | None = None,
     options: Mapping[str, str] | None = None,
-) -> dict[str, DataFrame]:
+) -> SilverTables:
     """Clean ``{bronze}/{table}.csv`` into ``{silver}/{table}`` and return the silver tables.
 
     Dates are read as Spark casts text, or strictly in ``date_format``; silver holds dates.
     Dimensions are written before the fact and read back for its references: the raw files
     are parsed once, and a lost executor costs a re-read of small cleaned files. ``options``
     are settings of the file systems behind the paths, see ``io_options``.
+
+    What the rules drop is counted while a table is written (see ``clean_and_count``), and so
+    is what is written; each raw file is read once. A table is replaced when its write has succeeded: after a
+    failure the layer holds the tables of this run up to there and the others as they were.
     """
-    tables: dict[str, DataFrame] = {}
+    tables = SilverTables()
     for table, schema in TABLES.items():
         raw = read_bronze(spark, f"{bronze}/{table}.csv", table, date_format, options)
-        rows = clean(raw, table)
+        cleaned, written = Observation(), Observation()
+        rows = clean_and_count(raw, table, cleaned)
         if table == "transactions":
             rows = enforce_fks(rows, {key: tables[dim] for key, dim in REFERENCES.items()})
         path = f"{silver}/{table}"
         partition_by = partition_products_by if table == "products" else None
-        write_parquet(
-            conform(rows, schema), path, compression, partition_by, options=options
-        )
+        rows = conform(rows, schema).observe(written, F.count(F.lit(1)).alias("rows_written"))
+        write_parquet(rows, path, compression, partition_by, options=options)
+        tables.counts[table] = {**cleaned.get, **written.get}
         tables[table] = read_silver(spark, path, schema, options)
         log.info("silver table written: %s", path)
     return tables
@@ -80,6 +97,8 @@ def run_gold(
     if (gold is None) == (database is None):
         raise ValueError("give either a gold folder or a database")
     declared = schemas or {}
+    for name in TABLES:
+        recover(spark, f"{silver}/{name}", options)
     tables = {
         name: read_silver(spark, f"{silver}/{name}", declared.get(name), options)
         for name in TABLES

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.functions import quoted
+from starmart.sinks.replace import replace_folder
 from starmart.sources.files import CSV_DIALECT
 
 
@@ -30,7 +31,8 @@ def write_parquet(
     values get one file each and a hot one is spread over many tasks.
 
     ``single_file`` is for ordered reports of bounded size: their last stage becomes one task.
-    ``options`` are settings of the path's file system, see ``io_options``.
+    ``options`` are settings of the path's file system, see ``io_options``. What the path held is
+    replaced once all tasks have committed, see ``replace_folder``.
     """
     if partition_by in df.columns:
         df = df.hint("rebalance", partition_by)
@@ -43,7 +45,7 @@ def write_parquet(
         writer = writer.partitionBy(partition_by)
     if compression:
         writer = writer.option("compression", compression)
-    writer.parquet(path)
+    replace_folder(df.sparkSession, path, writer.parquet, options)
 
 
 def write_csv(df: DataFrame, path: str, options: Mapping[str, str] | None = None) -> None:
@@ -58,7 +60,7 @@ def write_csv(df: DataFrame, path: str, options: Mapping[str, str] | None = None
         for field in df.schema.fields
     ]
     writer = df.select(*lines).write.mode("overwrite").options(**(options or {}))
-    writer.options(**CSV_DIALECT).csv(path)
+    replace_folder(df.sparkSession, path, writer.options(**CSV_DIALECT).csv, options)
 
 
 def write_run_metrics(runs: DataFrame, folder: str, at: datetime | None = None) -> str:

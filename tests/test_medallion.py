@@ -1,5 +1,6 @@
 import pytest
 from fixtures import rows, shop
+from pyspark.sql import functions as F
 
 from starmart.operators import inject_noise
 from starmart.plans import (
@@ -146,3 +147,31 @@ def test_a_failed_run_is_recorded_and_the_others_go_on():
     settings = bench_profiles.PROFILES["baseline"]
     measured = bench_profiles.recorded("baseline", 1, settings, steps())
     assert [row[7] for row in measured] == ["success", "failed"]
+
+
+def test_silver_counts_what_it_drops_while_it_writes(spark, tmp_path, monkeypatch):
+    """Each raw file is scanned once, and the counts are those of the report by itself."""
+    from starmart.operators import quality_report
+    from starmart.plans import medallion
+    from starmart.sinks import write_csv, write_parquet
+    from starmart.sources import read_bronze
+
+    for name, table in shop(spark)._asdict().items():
+        bad = table.union(table.limit(3).select(F.lit(-1), *table.columns[1:]))
+        write_csv(bad, f"{tmp_path}/bronze/{name}.csv")
+    scans = []
+
+    def watched(df, *args, **options):
+        scans.append(df._jdf.queryExecution().executedPlan().toString().count("Scan csv"))
+        write_parquet(df, *args, **options)
+
+    monkeypatch.setattr(medallion, "write_parquet", watched)
+    tables = medallion.run_silver(spark, f"{tmp_path}/bronze", f"{tmp_path}/silver")
+    assert scans == [1, 1, 1]
+    found = {(r.table_name, r.rule): tuple(r)[2:6] for r in tables.quality_report(spark).collect()}
+    for name, table in tables.items():
+        raw = read_bronze(spark, f"{tmp_path}/bronze/{name}.csv", name)
+        for row in quality_report(raw, name).collect():
+            assert found[name, row.rule] == tuple(row)[1:]
+        assert tables.counts[name]["rows_written"] == table.count()
+    assert tables.counts["users"]["rows_before"] - tables.counts["users"]["rows_after"] == 3

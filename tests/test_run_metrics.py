@@ -1,3 +1,4 @@
+import random
 import statistics
 
 import numpy as np
@@ -8,6 +9,7 @@ from starmart.operators import (
     group_runs,
     group_vs_baseline,
     layer_share,
+    quantiles,
     stage_totals,
     summarise_runs,
 )
@@ -114,4 +116,44 @@ def test_times_below_a_nanosecond_count(spark):
 
 def test_quartiles_keep_no_list_of_totals(runs):
     plan = group_distribution(runs)._jdf.queryExecution().executedPlan().toString()
-    assert "percentile" not in plan
+    assert "percentile(" not in plan  # a sketch of fixed size is no list
+
+
+def _plain_quantile(values, share):
+    values = sorted(values)
+    at = share * (len(values) - 1)
+    low = int(at)
+    high = min(low + 1, len(values) - 1)
+    return values[low] + (values[high] - values[low]) * (at - low)
+
+
+@pytest.mark.parametrize("accuracy", [20, 2000])
+def test_quantiles_are_exact_whatever_the_sketch(spark, accuracy):
+    """With a coarse sketch the brackets are narrow or miss; ties, one row, a NULL group."""
+    draw = random.Random(4)
+    groups = {
+        "even": [draw.random() for _ in range(3000)],
+        "skewed": [draw.random() ** 30 * 1e9 for _ in range(2001)],
+        "ties": [float(i % 3) for i in range(1000)],
+        "one": [7.5],
+        "two": [-1.0, 4.0],
+        None: [-draw.random() for _ in range(50)],
+    }
+    data = [(g, v) for g, values in groups.items() for v in values] + [("even", None)]
+    draw.shuffle(data)
+    shares = {"low": 0.25, "mid": 0.5, "high": 0.95, "top": 1.0}
+    df = spark.createDataFrame(data, "g string, v double")
+    found = {r.g: r for r in quantiles(df, "g", "v", shares, accuracy).collect()}
+    assert set(found) == set(groups)
+    for group, values in groups.items():
+        for name, share in shares.items():
+            assert found[group][name] == pytest.approx(_plain_quantile(values, share), rel=1e-12)
+
+
+def test_quartiles_sort_no_run_totals(spark):
+    runs = spark.createDataFrame([("a", i, "silver", "x", float(i), 0.0, 1, "success", "d")
+                                  for i in range(30)], RUNS)
+    plan = group_distribution(runs)._jdf.queryExecution().optimizedPlan().toString()
+    for below in plan.split("Window [")[1:]:
+        # Windows run over counts per distinct value inside a bracket.
+        assert "Aggregate [_g" in below.split("\n")[1] or "Aggregate [_g" in below.split("\n")[2]
