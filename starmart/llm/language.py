@@ -173,13 +173,15 @@ def identify(docs: DataFrame, learned: dict[str, str]) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, learned: dict[str, str]) -> DataFrame:
-    """The rows, all columns unchanged, whose ``text`` has a language."""
+    """The rows, all columns unchanged, whose ``text`` has a language.
+
+    Only texts go to Python and only a flag comes back; the rows wait in the JVM.
+    """
     models, weights = tuple(learned.items()), _weights(learned)
-    at = docs.columns.index("text")
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            winners, _ = _predict(batch.column(at), models, weights)
-            yield batch.filter(pa.array(winners < len(models)))
+    @F.arrow_udf("boolean")
+    def identified(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for some in texts:
+            yield pa.array(_predict(some, models, weights)[0] < len(models))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.filter(identified("text"))

@@ -302,14 +302,16 @@ def score(docs: DataFrame, model: ToxicityModel, window: int = 1) -> DataFrame:
 
 
 def keep_ordinary(docs: DataFrame, model: ToxicityModel, window: int = 1) -> DataFrame:
-    """The rows, all columns unchanged, whose ``text`` scores below 0.5."""
-    at = docs.columns.index("text")
+    """The rows, all columns unchanged, whose ``text`` scores below 0.5.
+
+    Only texts go to Python and only a flag comes back; the rows wait in the JVM.
+    """
     *weights, bias = model.weights
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("boolean")
+    def ordinary(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         memo = Memo(model.places(), 1, capacity=200_000)
-        for batch in batches:
-            logit = _measure(batch.column(at), model, memo, window) @ np.array(weights) + bias
-            yield batch.filter(pa.array(logit < 0))
+        for some in texts:
+            yield pa.array(_measure(some, model, memo, window) @ np.array(weights) + bias < 0)
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.filter(ordinary("text"))
