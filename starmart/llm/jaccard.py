@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.llm.graph import components
-from starmart.llm.words import slices, split_words
+from starmart.llm.words import forget_kept, slices, split_words
 from starmart.plans import scratch_folder
 
 _MULTIPLIERS = np.array(
@@ -53,6 +53,8 @@ def _sets(texts: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray]]:
     """Row and shingle set of each text."""
     import xxhash
 
+    forget_kept()
+
     for low, some in slices(texts):
         distinct, places, bounds = split_words(pc.ascii_lower(some))
         hashes = (xxhash.xxh64_intdigest(word) for word in distinct)

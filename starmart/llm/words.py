@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -33,6 +35,18 @@ def kept(key: object, make: Callable[[], object]):
     return _KEPT[key]
 
 
+def forget_kept() -> None:
+    """Give back what an earlier operator's tasks left in this worker process."""
+    if not _KEPT:
+        return
+    _KEPT.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(texts: pa.Array, size: int = _SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
     """The texts in runs of about ``size`` bytes, or one longer text; a null becomes empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
