@@ -6,7 +6,7 @@ import hashlib
 import json
 import struct
 from collections.abc import Iterator
-from functools import cache
+from functools import lru_cache
 from uuid import uuid4
 
 import numpy as np
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.llm.tokens import encoder
+from starmart.sources import qualified
 
 # A file: magic and dictionary hash; one frame per document; the index, a row per document
 # (key, whether it is null, tokens, width of an id in bytes, end of the frame); the tail.
@@ -158,6 +159,7 @@ def write_token_files(
     parts = max(1, -(-(total or 0) // bytes_per_part))
     shared = train_dictionary(docs, rows, tokenizer, end_id)
     digest = hashlib.sha256(shared).digest()
+    folder = qualified(spark, folder)
     place, base = _place(folder)
     place.create_dir(base, recursive=True)
     with place.open_output_stream(f"{base}/dictionary.bin") as out:
@@ -205,7 +207,7 @@ def write_token_files(
     return folder
 
 
-@cache
+@lru_cache(maxsize=4)
 def _dictionary(folder: str, digest: bytes):
     """The shared dictionary, checked against the hash a file names."""
     import zstandard
@@ -260,6 +262,7 @@ def read_token_files(
     ``start`` counts the ids of all documents before it. With ``doc_ids`` only files that can
     hold them are opened, and of those only the index and the frames asked for.
     """
+    folder = qualified(spark, folder)
     before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
     files = (
         spark.read.schema(_MANIFEST)

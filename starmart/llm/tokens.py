@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -59,26 +60,30 @@ class Encoder:
     def _learn(self, pieces: list[str]) -> None:
         for at in range(0, len(pieces), 4096):
             some = pieces[at : at + 4096]
-            for piece, found in zip(
-                some, self._tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            ):
-                ids, code = found.ids, len(self._codes)
-                if self._used + len(ids) > len(self._flat):
-                    self._flat = np.resize(self._flat, 2 * (self._used + len(ids)))
-                if code == len(self._starts):
-                    self._starts = np.resize(self._starts, 2 * code)
-                    self._sizes = np.resize(self._sizes, 2 * code)
-                self._flat[self._used : self._used + len(ids)] = ids
-                self._starts[code], self._sizes[code] = self._used, len(ids)
-                self._used += len(ids)
-                self._codes[piece] = code
+            encoded = self._tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            lists = [found.ids for found in encoded]
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            total, code = int(sizes.sum()), len(self._codes)
+            if self._used + total > len(self._flat):
+                self._flat = np.resize(self._flat, 2 * (self._used + total))
+            if code + len(some) > len(self._starts):
+                self._starts = np.resize(self._starts, 2 * (code + len(some)))
+                self._sizes = np.resize(self._sizes, 2 * (code + len(some)))
+            ids = np.fromiter(chain.from_iterable(lists), np.int32, total)
+            self._flat[self._used : self._used + total] = ids
+            self._sizes[code : code + len(some)] = sizes
+            self._starts[code : code + len(some)] = self._used + np.cumsum(sizes) - sizes
+            self._used += total
+            self._codes.update(zip(some, range(code, code + len(some))))
 
     def _lookup(self, pieces: list[str]) -> np.ndarray:
-        codes = self._codes
-        missing = [piece for piece in pieces if piece not in codes]
-        if missing:
-            self._learn(list(dict.fromkeys(missing)))
-        return np.fromiter((codes[piece] for piece in pieces), np.int64, len(pieces))
+        codes = np.fromiter(map(self._codes.get, pieces, repeat(-1)), np.int64, len(pieces))
+        missing = np.flatnonzero(codes < 0)
+        if len(missing):
+            unknown = [pieces[i] for i in missing]
+            self._learn(list(dict.fromkeys(unknown)))
+            codes[missing] = [self._codes[piece] for piece in unknown]
+        return codes
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and where each text begins in it (one more entry).
@@ -96,7 +101,11 @@ class Encoder:
         bounds = np.asarray(pieces.offsets, dtype=np.int64)
         bounds = bounds - bounds[0]
         words = pieces.flatten().dictionary_encode()
-        codes = self._lookup([self._blank + x for x in words.dictionary.to_pylist()])
+        distinct = words.dictionary
+        if self._blank:
+            before, none = (pa.scalar(x, distinct.type) for x in (self._blank, ""))
+            distinct = pc.binary_join_element_wise(before, distinct, none)
+        codes = self._lookup(distinct.to_pylist())
         codes = codes[np.asarray(words.indices)]
         if self._blank and len(texts):
             first = bounds[:-1]
