@@ -13,7 +13,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from starmart.llm.graph import components
 from starmart.llm.words import forget_kept, slices, split_words
@@ -312,42 +311,46 @@ def _classes(members: DataFrame, near: Fraction, folder: str, entries: int) -> D
     return found.select(F.col("node").alias("fp"), "label")
 
 
-def _keyed(docs: DataFrame, shingle_words: int, schema) -> DataFrame:
-    """``docs`` (whose last column is ``text``) with ``n_shingles`` and ``fp`` in place of the text, or
-    behind it if ``schema`` keeps it."""
+def _keyed(texts: DataFrame, shingle_words: int) -> DataFrame:
+    """``doc_id, text_hash, n_shingles, fp`` of rows ``doc_id, text_hash, text``."""
 
     def fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, fps = [], []
             with np.errstate(over="ignore"):
-                for _, found in _sets(batch.column(batch.num_columns - 1), shingle_words):
+                for _, found in _sets(batch.column(2), shingle_words):
                     sizes.append(len(found))
                     fps.append(_fingerprint(found))
-            kept = batch.columns[: len(schema.fields) - 2]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(sizes, pa.int64()), pa.array(fps, pa.binary())], names=schema.names
+                [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(fps, pa.binary())],
+                names=["doc_id", "text_hash", "n_shingles", "fp"],
             )
 
-    return docs.mapInArrow(fingerprint, schema)
+    return texts.mapInArrow(fingerprint, "doc_id long, text_hash long, n_shingles long, fp binary")
 
 
-_KEYED = T.StructType(
-    [
-        T.StructField("doc_id", T.LongType()),
-        T.StructField("n_shingles", T.LongType()),
-        T.StructField("fp", T.BinaryType()),
+def _row_key(doc_id, text_hash) -> list:
+    """Three columns equal for rows of the same id and text only; without nulls, for joins."""
+    return [
+        F.coalesce(doc_id, F.lit(0)).alias("_id"),
+        doc_id.isNull().cast("int").alias("_no_id"),
+        text_hash.alias("_text_hash"),
     ]
-)
+
+
+_ROW_KEY = ["_id", "_no_id", "_text_hash"]
 
 
 def _class_table(
     docs: DataFrame, shingle_words: int, near: Fraction, entries: int, folder: str
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows as ``doc_id, n_shingles, fp``; and the class (``fp, label``) of sets that may link."""
+    """Rows as ``_keyed`` gives them; and the class (``fp, label``) of sets that may link."""
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    texts = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text")
+    )
 
-    keyed = _keyed(texts, shingle_words, _KEYED)
+    keyed = _keyed(texts, shingle_words)
     keyed.write.parquet(f"{folder}/keyed")
     keyed = spark.read.parquet(f"{folder}/keyed")
 
@@ -385,10 +388,11 @@ def _class_table(
     regions = components(spark.read.parquet(f"{folder}/candidates"), f"{folder}/candidate-rounds")
     regions = regions.select(F.col("node").alias("fp"), F.hex("label").alias("region"))
 
-    # One row's text for each set of a region; the text's own key tells it from rows of the same id.
-    chosen = (
-        keyed.groupBy("fp").agg(F.min("doc_id").alias("_id")).join(regions, "fp")
-    ).withColumnRenamed("fp", "_fp")
+    # One row's text for each set of a region; rows of one id, or without, are told apart by their texts.
+    firsts = keyed.groupBy("fp").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    chosen = firsts.join(regions, "fp").select(
+        *_row_key(F.col("first.doc_id"), F.col("first.text_hash")), F.col("fp").alias("_fp"), "region"
+    )
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -406,7 +410,8 @@ def _class_table(
                 )
 
     members = (
-        texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")))
+        texts.select("text", *_row_key(F.col("doc_id"), F.col("text_hash")))
+        .join(chosen, _ROW_KEY)
         .select("text", "_fp", "region")
         .mapInArrow(fetch, "region string, fp binary, shingles binary")
     )
@@ -463,21 +468,16 @@ def keep_one_of_each(
     folder = scratch_folder(docs.sparkSession)
     keyed, classes = _class_table(docs, shingle_words, near, entries, folder)
     firsts = keyed.filter(F.col("fp").isNotNull()).groupBy("fp")
-    firsts = firsts.agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("first"))
+    firsts = firsts.agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first"))
     classes = classes.withColumnRenamed("fp", "_fp")
     firsts = firsts.join(classes, F.col("fp") == F.col("_fp"), "left")
-    chosen = firsts.groupBy(F.coalesce("label", "fp").alias("label")).agg(
-        F.min(F.struct("first", "fp")).alias("best")
-    )
-    chosen = chosen.select(F.col("best.fp").alias("_fp"))
+    chosen = firsts.groupBy(F.coalesce("label", "fp").alias("label")).agg(F.min("first").alias("best"))
+    chosen = chosen.select(*_row_key(F.col("best.doc_id"), F.col("best.text_hash")))
 
     words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    packed = docs.filter(words).select(
-        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text")
+    rows = docs.filter(words).select(
+        F.struct("*").alias("row"), *_row_key(F.col("doc_id").cast("long"), F.xxhash64("text"))
     )
-    schema = T.StructType([*packed.schema.fields[:2], *_KEYED.fields[1:]])
-    rows = _keyed(packed, shingle_words, schema)
-    order = Window.partitionBy("fp").orderBy(F.col("doc_id").asc_nulls_last())
-    single = rows.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") == 1)
-    stay = single.join(chosen, F.col("fp") == F.col("_fp"), "left_semi").select("row.*")
-    return stay.union(docs.filter(~words))
+    # Copies go before rows of one id and text, if there are several, become one.
+    stay = rows.join(chosen, _ROW_KEY, "left_semi").groupBy(*_ROW_KEY).agg(F.first("row").alias("row"))
+    return stay.select("row.*").union(docs.filter(~words))

@@ -82,6 +82,26 @@ def test_null_ids_only_and_empty_table(documents):
     assert found(documents([]), 4, Fraction(4, 5)) == []
 
 
+def test_many_texts_of_one_id(documents):
+    """Rows without an id, and rows of one id, are told apart by their texts: the work stays in proportion."""
+    texts = [text for _, text in near_copies(1200, seed=9, families=400)]
+    rows = [(None if i % 2 else 5, text) for i, text in enumerate(texts)]
+    near = Fraction(4, 5)
+    assert found(documents(rows), 3, near) == expected(rows, 3, near)
+    labels = {row[2] for row in expected(list(enumerate(texts)), 3, near)}
+    kept = jaccard.keep_one_of_each(documents(rows), 3, near).collect()
+    assert len(kept) == len(labels) and {(r.doc_id, r.text) for r in kept} <= set(rows)
+
+
+def test_the_smallest_id_of_each_class_stays(documents):
+    rows = [(row[0], row[1], row[0]) for row in near_copies(400, seed=11, families=60)]
+    rows += [(None, text, 1000) for _, text, _ in rows[:40]] + [(None, "no one else says so", 1001)]
+    near = Fraction(4, 5)
+    kept = jaccard.keep_one_of_each(documents([row[:2] for row in rows]), 3, near).collect()
+    least = {row[2] for row in expected([row[:2] for row in rows], 3, near)}
+    assert {repr(r.doc_id) for r in kept} == least and len(kept) == len(least)
+
+
 @given(st.integers(1, 400), st.randoms(use_true_random=False), st.sampled_from([Fraction(4, 5), Fraction(17, 20)]))
 @settings(max_examples=300, deadline=None)
 def test_linked_sets_share_a_signature(size, draw, near):
