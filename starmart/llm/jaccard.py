@@ -374,23 +374,25 @@ def _class_table(
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys)))
         return pa.RecordBatch.from_arrays([pa.array(fps, pa.binary()), lists], names=["fp", "keys"])
 
+    # Regions are found over 64-bit names of the sets: rows of signatures are many, and names half of each.
+    name = F.xxhash64("fp").alias("name")
     signed = texts.select("text").mapInArrow(sign, "fp binary, keys array<long>")
-    once = signed.groupBy("fp").agg(F.first("keys").alias("keys"))
+    once = signed.select(name, "keys").groupBy("name").agg(F.first("keys").alias("keys"))
     together = Window.partitionBy("key")
     candidates = (
-        once.select("fp", F.explode("keys").alias("key"))
-        .withColumn("b", F.min("fp").over(together))
-        .filter(F.col("fp") != F.col("b"))
-        .select(F.col("fp").alias("a"), "b")
+        once.select("name", F.explode("keys").alias("key"))
+        .withColumn("b", F.min("name").over(together))
+        .filter(F.col("name") != F.col("b"))
+        .select(F.col("name").alias("a"), "b")
         .distinct()
     )
     candidates.write.parquet(f"{folder}/candidates")
     regions = components(spark.read.parquet(f"{folder}/candidates"), f"{folder}/candidate-rounds")
-    regions = regions.select(F.col("node").alias("fp"), F.hex("label").alias("region"))
+    regions = regions.select(F.col("node").alias("name"), F.col("label").cast("string").alias("region"))
 
     # One row's text for each set of a region; rows of one id, or without, are told apart by their texts.
     firsts = keyed.groupBy("fp").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
-    chosen = firsts.join(regions, "fp").select(
+    chosen = firsts.withColumn("name", name).join(regions, "name").select(
         *_row_key(F.col("first.doc_id"), F.col("first.text_hash")), F.col("fp").alias("_fp"), "region"
     )
 
