@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count as numbers
 from math import sqrt
 
 import numpy as np
@@ -16,26 +17,33 @@ from starmart.plans import scratch_folder
 # Bounds of the index that hold for any input: rings of all pivots fit in every task.
 MOST_PIVOTS, RINGS = 256, 64
 _RING_ROWS, _QUERY_ROWS, _BLOCK = 20_000, 20_000, 512
-_HITS = "query_id long, vec_id long, score long"
+# Rings that the first round expands for each query; every later round expands thrice as many.
+_FIRST_RINGS = 4
+_HITS = "query long, vec_id long, copies long, score long"
 
 
 def _whole(vectors: pa.Array, width: int, grid: int) -> np.ndarray:
     return np.floor(grid * matrix(vectors, width))
 
 
-def _from_bytes(column: pa.ChunkedArray, width: int) -> np.ndarray:
+def _from_bytes(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
     data = b"".join(column.to_pylist())
     return np.frombuffer(data, np.float64).reshape(-1, width)
 
 
-def _best(query_ids, queries, ids, vectors, limits, k: int) -> Iterator[pa.Table]:
+def _best(asked: pa.Table, ring: pa.Table, width: int, k: int) -> Iterator[pa.Table]:
     """The ``k`` highest products of each query, none below its limit; ties to the smaller id."""
-    by_id = np.argsort(ids, kind="stable")
-    ids, vectors = ids[by_id], vectors[by_id]
-    for low in range(0, len(query_ids), _BLOCK):
+    ring = ring.sort_by([("vec_id", "ascending")])  # null ids come last
+    rows, copies = ring.column("row").to_numpy(), ring.column("copies").to_numpy()
+    vectors = _from_bytes(ring.column("v"), width)
+    queries, limits = asked.column("query").to_numpy(), asked.column("limit").to_numpy()
+    wanted = _from_bytes(asked.column("q"), width)
+    for low in range(0, len(queries), _BLOCK):
         part = slice(low, low + _BLOCK)
-        scores = queries[part] @ vectors.T
-        scores[query_ids[part][:, None] == ids[None, :]] = -np.inf
+        scores = wanted[part] @ vectors.T
+        # A query is no candidate of its own; its further copies are.
+        own = queries[part][:, None] == rows[None, :]
+        scores[own & (copies == 1)[None, :]] = -np.inf
         scores[scores < limits[part][:, None]] = -np.inf
         top = min(k, scores.shape[1])
         # The k-th highest score, then all above it and the first of those equal to it.
@@ -47,69 +55,48 @@ def _best(query_ids, queries, ids, vectors, limits, k: int) -> Iterator[pa.Table
         row, column = row[place < k], column[place < k]
         yield pa.table(
             {
-                "query_id": pa.array(query_ids[part][row], pa.int64()),
-                "vec_id": pa.array(ids[column], pa.int64()),
+                "query": pa.array(queries[part][row], pa.int64()),
+                "vec_id": ring.column("vec_id").take(pa.array(column)),
+                "copies": pa.array(copies[column] - own[row, column], pa.int64()),
                 "score": pa.array(scores[row, column].astype(np.int64), pa.int64()),
             }
         )
 
 
-def top_k_products(
-    vectors: DataFrame, query: str = "vec_id % 50 = 0", k: int = 5, grid: int = 256
-) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` highest inner products of each query row.
+def _build(vectors: DataFrame, folder: str, grid: int) -> tuple[DataFrame, np.ndarray, int]:
+    """The written index, its pivots and the vectors' width.
 
-    Components become ``floor(grid * x)``. Candidates are all rows of other ids; ties go to the
-    smaller id. Exact: vectors are keyed by their nearest pivot and their distance to it, in
-    rings of equal width (the last one open). A query is first scored in the ring that it lies in
-    itself and its neighbours, which gives a lower limit. By the triangle inequality, a
-    vector of a ring is no nearer than the query's own distance to the pivot lies outside the
-    ring; so its product has an upper bound, and the search goes on in the rings whose bound reaches the
-    limit and stops at the others.
-
-    Rings are split by a hash of the id where they are large, and so are the queries; pivots (the
-    vectors with the lowest hash) and rings are limited in number, not in size. Rows with a null
-    id, and vectors that are null, empty or hold null or non-finite components take no part.
-    Shorter vectors count as if they ended in zeros. Rows that repeat an id and vector are one row.
-    Products are exact while they stay below 2**53. Other columns are not read.
+    A row of the index stands for all rows of one id and one vector (``copies`` of them).
     """
-    spark, folder = vectors.sparkSession, scratch_folder(vectors.sparkSession)
-    rows = (
-        vectors.select(
-            F.col("vec_id").cast("long").alias("vec_id"),
-            F.col("embedding").cast("array<double>").alias("embedding"),
-        )
-        .filter(F.col("vec_id").isNotNull() & usable("embedding"))
-    )
-    rows.dropDuplicates(["vec_id", "embedding"]).write.parquet(f"{folder}/rows")
-    rows = spark.read.parquet(f"{folder}/rows")
+    spark = vectors.sparkSession
+    rows = vectors.select(
+        F.col("vec_id").cast("long").alias("vec_id"),
+        F.col("embedding").cast("array<double>").alias("embedding"),
+    ).filter(usable("embedding"))
     count, width = rows.agg(F.count("*"), F.max(F.size("embedding"))).first()
     width = width or 1
     wanted = min(MOST_PIVOTS, max(2, int(sqrt(count) / 16)))
     threshold = min(1.0, 8 * wanted / max(count, 1))
     drawn = rows.withColumn("_draw", F.xxhash64("vec_id", "embedding"))
     share = F.pmod(F.col("_draw"), F.lit(1 << 30)) < int(threshold * (1 << 30)) + 1
-    chosen = drawn.filter(share).orderBy("_draw", "vec_id").limit(wanted).collect()
-    if not chosen:
-        chosen = drawn.orderBy("_draw", "vec_id").limit(wanted).collect()
+
+    def lowest(some: DataFrame) -> list:
+        return some.distinct().orderBy("_draw", "vec_id").limit(wanted).collect()
+
+    chosen = lowest(drawn.filter(share)) or lowest(drawn)
     pivots = np.zeros((max(1, len(chosen)), width))
     for i, row in enumerate(chosen):
         pivots[i, : len(row.embedding)] = np.floor(grid * np.array(row.embedding))
-    ring_width = grid / 16
-
-    def distances(x: np.ndarray) -> np.ndarray:
-        square = (x * x).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2 * x @ pivots.T
-        return np.sqrt(np.maximum(square, 0))
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 4096):
                 part = batch.slice(low, 4096)
                 x = _whole(part.column(1), width, grid)
-                far = distances(x)
+                far = _distances(x, pivots)
                 pivot = far.argmin(1)
                 distance = far[np.arange(len(x)), pivot]
-                ring = np.minimum(distance // ring_width, RINGS - 1).astype(np.int32)
+                ring = np.minimum(distance // (grid / 16), RINGS - 1).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
@@ -117,7 +104,7 @@ def top_k_products(
                         pa.array(ring),
                         pa.array(distance),
                         pa.array(np.linalg.norm(x, axis=1)),
-                        pa.array([v.tobytes() for v in x], pa.binary()),
+                        pa.array([v.tobytes() for v in x + 0.0], pa.binary()),
                     ],
                     names=["vec_id", "pivot", "ring", "distance", "norm", "v"],
                 )
@@ -125,113 +112,162 @@ def top_k_products(
     keyed = rows.mapInArrow(
         key, "vec_id long, pivot int, ring int, distance double, norm double, v binary"
     )
-    keyed.write.parquet(f"{folder}/index")
-    index = spark.read.parquet(f"{folder}/index")
+    each = [F.first(c).alias(c) for c in ("pivot", "ring", "distance", "norm")]
+    grouped = keyed.groupBy("vec_id", "v").agg(F.count("*").alias("copies"), *each)
+    # The number is drawn once, when the index is written.
+    grouped.withColumn("row", F.monotonically_increasing_id()).write.parquet(f"{folder}/index")
+    return spark.read.parquet(f"{folder}/index"), pivots, width
+
+
+def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    square = (x * x).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2 * x @ pivots.T
+    return np.sqrt(np.maximum(square, 0))
+
+
+def _reach(x: np.ndarray, pivots: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The highest product that a vector of each ring may have with each query."""
+    norm, highest = np.linalg.norm(x, axis=1)[:, None], bounds[:, 4][None, :]
+    to_pivot = _distances(x, pivots)[:, bounds[:, 0].astype(int)]
+    gap = np.maximum(bounds[:, 2][None, :] - to_pivot, to_pivot - bounds[:, 3][None, :])
+    gap = np.maximum(gap - 1e-6, 0)
+    return np.minimum((norm**2 + highest**2 - gap**2) / 2, norm * highest) + 1e-3
+
+
+def search(
+    vectors: DataFrame, query: str = "vec_id % 50 = 0", k: int = 5, grid: int = 256
+) -> tuple[DataFrame, float]:
+    """What ``top_k_products`` returns, and the share of all pairs of query and row that was scored."""
+    spark, folder = vectors.sparkSession, scratch_folder(vectors.sparkSession)
+    index, pivots, width = _build(vectors, folder, grid)
     rings = (
         index.groupBy("pivot", "ring")
-        .agg(F.count("*"), F.min("distance"), F.max("distance"), F.max("norm"))
+        .agg(F.min("distance"), F.max("distance"), F.max("norm"), F.count("*"))
         .collect()
     )
-    parts = {(r[0], r[1]): -(-r[2] // _RING_ROWS) for r in rings}
     bounds = np.array([[*r] for r in rings], dtype=np.float64).reshape(-1, 6)
     queries = spark.read.parquet(f"{folder}/index").filter(query)
-    query_parts = max(1, -(-queries.count() // _QUERY_ROWS))
 
-    def visit(seen: bool):
-        """Rows that send each query to rings: those around it, or the others that may matter."""
+    def visit(low: int, high: int):
+        """Rows that send each query to its rings from place ``low`` to ``high``, highest bound first."""
 
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ids, data = batch.column(0), batch.column(1)
-                limits = batch.column(2).to_numpy(zero_copy_only=False)
-                x = np.frombuffer(b"".join(data.to_pylist()), np.float64).reshape(-1, width)
-                far = distances(x)
-                home = far.argmin(1)
-                ring = np.minimum(far[np.arange(len(x)), home] // ring_width, RINGS - 1)
-                norm = np.linalg.norm(x, axis=1)
-                around = (bounds[:, 0][None, :] == home[:, None]) & (
-                    np.abs(bounds[:, 1][None, :] - ring[:, None]) <= 1
-                )
-                to_pivot = far[:, bounds[:, 0].astype(int)]
-                gap = np.maximum(bounds[:, 3][None, :] - to_pivot, to_pivot - bounds[:, 4][None, :])
-                gap = np.maximum(gap - 1e-6, 0)
-                highest = bounds[:, 5][None, :]
-                reach = (norm[:, None] ** 2 + highest**2 - gap**2) / 2
-                reach = np.minimum(reach, norm[:, None] * highest) + 1e-3
-                chosen = around if seen else ~around & (reach >= limits[:, None])
-                for i in range(len(x)):
-                    found = np.flatnonzero(chosen[i])
-                    targets = [
-                        (int(bounds[j, 0]), int(bounds[j, 1]), part)
-                        for j in found
-                        for part in range(parts[int(bounds[j, 0]), int(bounds[j, 1])])
-                    ]
-                    if targets:
-                        n = len(targets)
-                        pivot, to, part = zip(*targets)
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array([ids[i].as_py()] * n, pa.int64()),
-                                pa.array(pivot, pa.int32()),
-                                pa.array(to, pa.int32()),
-                                pa.array(part, pa.int32()),
-                                pa.array([limits[i]] * n),
-                                pa.array([data[i].as_py()] * n, pa.binary()),
-                            ],
-                            names=["query_id", "pivot", "ring", "part", "limit", "q"],
-                        )
+                for at in range(0, batch.num_rows, _BLOCK):
+                    part = batch.slice(at, _BLOCK)
+                    limits = part.column(2).to_numpy(zero_copy_only=False)
+                    reach = _reach(_from_bytes(part.column(1), width), pivots, bounds)
+                    order = np.argsort(-reach, axis=1, kind="stable")[:, low:high]
+                    row, place = np.nonzero(np.take_along_axis(reach, order, 1) >= limits[:, None])
+                    ring, row = order[row, place], pa.array(row)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part.column(0).take(row),
+                            pa.array(bounds[ring, 0].astype(np.int32)),
+                            pa.array(bounds[ring, 1].astype(np.int32)),
+                            part.column(2).take(row),
+                            part.column(1).take(row),
+                        ],
+                        names=["query", "pivot", "ring", "limit", "q"],
+                    )
 
         return send
 
     def score(asked: pa.Table, ring: pa.Table) -> pa.Table:
-        tables = [pa.table({n: pa.array([], pa.int64()) for n in ("query_id", "vec_id", "score")})]
+        kinds = [(n, pa.int64()) for n in ("query", "vec_id", "copies", "score")]
+        tables = [pa.schema(kinds).empty_table()]
         if asked.num_rows and ring.num_rows:
-            tables += _best(
-                asked.column("query_id").to_numpy(),
-                _from_bytes(asked.column("q"), width),
-                ring.column("vec_id").to_numpy(),
-                _from_bytes(ring.column("v"), width),
-                asked.column("limit").to_numpy(),
-                k,
-            )
+            tables += _best(asked, ring, width, k)
         return pa.concat_tables(tables)
 
-    ring_parts = F.create_map(
-        *[F.lit(x) for (p, r), n in parts.items() if n > 1 for x in (p * RINGS + r, n)]
+    order = [F.col("score").desc(), F.col("vec_id").asc_nulls_last()]
+    ranked = Window.partitionBy("query").orderBy(*order)
+
+    def top(hits: DataFrame) -> DataFrame:
+        """The first ``k`` of each query, copies counted; ``before`` of them come before a row."""
+        first = hits.withColumn("_n", F.row_number().over(ranked)).filter(F.col("_n") <= k)
+        earlier = F.sum("copies").over(ranked.rowsBetween(Window.unboundedPreceding, -1))
+        kept = first.drop("_n").withColumn("before", F.coalesce(earlier, F.lit(0)))
+        return kept.filter(F.col("before") < k)
+
+    hits, pairs, low, width_of_round = None, 0, 0, _FIRST_RINGS
+    for number in numbers():
+        asking = queries.select("row", "v").withColumn("limit", F.lit(float("-inf")))
+        if hits is not None:
+            full = hits.filter(F.col("before") + F.col("copies") >= k)
+            limits = full.select(F.col("query").alias("row"), F.col("score").cast("double").alias("_l"))
+            asking = asking.join(limits, "row", "left").select(
+                "row", "v", F.coalesce("_l", "limit").alias("limit")
+            )
+        sent = asking.mapInArrow(
+            visit(low, low + width_of_round),
+            "query long, pivot int, ring int, limit double, q binary",
+        )
+        asked = {(r[0], r[1]): r[2] for r in sent.groupBy("pivot", "ring").count().collect()}
+        if not asked:
+            break
+        # Bounded by the number of rings: pieces of the ring's rows and of its queries.
+        places = [
+            (r[0], r[1], -(-r[5] // _RING_ROWS), -(-asked[r[0], r[1]] // _QUERY_ROWS))
+            for r in rings
+            if (r[0], r[1]) in asked
+        ]
+        pairs += sum(asked.get((r[0], r[1]), 0) * r[5] for r in rings)
+        split = spark.createDataFrame(places, "pivot int, ring int, parts int, lots int")
+        group = ["pivot", "ring", "part", "lot"]
+
+        def every(name: str):
+            return F.explode(F.sequence(F.lit(0), F.col(name) - 1))
+
+        placed = index.join(F.broadcast(split), ["pivot", "ring"]).select(
+            "row", "vec_id", "copies", "v", "pivot", "ring",
+            F.pmod(F.xxhash64("row"), F.col("parts")).cast("int").alias("part"),
+            every("lots").alias("lot"),
+        )
+        dealt = sent.join(F.broadcast(split), ["pivot", "ring"]).select(
+            "query", "limit", "q", "pivot", "ring",
+            F.pmod(F.xxhash64("query"), F.col("lots")).cast("int").alias("lot"),
+            every("parts").alias("part"),
+        )
+        found = dealt.groupBy(*group).cogroup(placed.groupBy(*group)).applyInArrow(score, _HITS)
+        top(found if hits is None else hits.drop("before").union(found)).write.parquet(
+            f"{folder}/round-{number}"
+        )
+        hits = spark.read.parquet(f"{folder}/round-{number}")
+        low, width_of_round = low + width_of_round, 3 * width_of_round
+    if hits is None:
+        hits = spark.createDataFrame([], f"{_HITS}, before long")
+    again = queries.select(
+        F.col("row").alias("query"), F.col("vec_id").alias("query_id"), F.col("copies").alias("_times")
     )
-    split = F.lit(1)
-    if any(n > 1 for n in parts.values()):
-        split = F.coalesce(ring_parts[F.col("pivot") * RINGS + F.col("ring")], F.lit(1))
-    placed = index.select(
-        "pivot",
-        "ring",
-        F.pmod(F.xxhash64("vec_id"), split).cast("int").alias("part"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_parts - 1))).alias("lot"),
-        "vec_id",
-        "v",
+    last = F.least(F.col("before") + F.col("copies"), F.lit(k))
+    ranks = F.explode(F.sequence(F.col("before") + 1, last)).alias("rank")
+    result = hits.join(again, "query").select(
+        "query_id", F.col("vec_id"), "score", "_times", ranks
     )
-    group = ["pivot", "ring", "part", "lot"]
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times"))).alias("_time")
+    result = result.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score", times)
+    of_all = queries.count() * bounds[:, 5].sum()
+    return result.drop("_time"), pairs / of_all if of_all else 0.0
 
-    def search(asking: DataFrame, seen: bool) -> DataFrame:
-        sent = asking.select("vec_id", "v", "limit").mapInArrow(
-            visit(seen), "query_id long, pivot int, ring int, part int, limit double, q binary"
-        )
-        lot = F.pmod(F.xxhash64("query_id"), F.lit(query_parts)).cast("int")
-        sent = sent.withColumn("lot", lot)
-        return sent.groupBy(*group).cogroup(placed.groupBy(*group)).applyInArrow(score, _HITS)
 
-    ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+def top_k_products(
+    vectors: DataFrame, query: str = "vec_id % 50 = 0", k: int = 5, grid: int = 256
+) -> DataFrame:
+    """``query_id, rank, vec_id, score``: the ``k`` highest inner products of each query row.
 
-    def top(hits: DataFrame) -> DataFrame:
-        return hits.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k)
+    Components become ``floor(grid * x)``. Candidates are all rows but the query's own; ties go to
+    the smaller id, null ids last. Exact: vectors are keyed by their nearest pivot and their
+    distance to it, in rings of equal width (the last one open). By the triangle inequality, a vector
+    of a ring is no nearer than the query's own distance to the pivot lies outside the ring; so its
+    product has an upper bound. Each query expands rings in the order of their bounds, some in
+    each round (4, 12, 36, ...). After a round its k-th score is its new limit, and it stops at the first
+    ring whose bound is below. Only rings that are asked for are read.
 
-    first = search(queries.withColumn("limit", F.lit(float("-inf"))), True)
-    top(first.distinct()).write.parquet(f"{folder}/first")
-    first = spark.read.parquet(f"{folder}/first")
-    limits = first.filter(F.col("rank") == k).select(
-        F.col("query_id").alias("_q"), F.col("score").cast("double").alias("limit")
-    )
-    asking = queries.join(limits, F.col("vec_id") == F.col("_q"), "left")
-    rest = search(asking.withColumn("limit", F.coalesce("limit", F.lit(float("-inf")))), False)
-    hits = first.drop("rank").union(rest).distinct()
-    return top(hits).select("query_id", "rank", "vec_id", "score")
+    Rings are split by a hash of the row where they are large, and so are a ring's queries; pivots (the
+    vectors with the lowest hash) and rings are limited in number, not in size. Vectors that are
+    null, empty or hold null or non-finite components take no part. A null id is a candidate, and no
+    query unless ``query`` says so. Shorter vectors count as if they ended in zeros. Rows that
+    repeat an id and vector are candidates each, also of one another, and queries each; they
+    are scored once. Products are exact while they stay below 2**53. Other columns are not read.
+    """
+    return search(vectors, query, k, grid)[0]

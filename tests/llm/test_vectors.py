@@ -81,28 +81,51 @@ def test_pairs_at_the_threshold_are_found_in_large_tables(width):
 
 
 def unit(rows):
-    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    return rows / np.linalg.norm(rows, axis=-1, keepdims=True)
 
 
 def rows_of_one(width):
     return [1.0] * width
 
 
-def test_search_matches_brute_force(vectors):
-    rows = clustered(500) + [(1000, None), (1050, [NAN] * 24), (1100, [0.0] * 24), (None, [1.0] * 24)]
-    rows += [(1001, rows_of_one(24)), (1150, rows_of_one(24)), (1002, rows_of_one(24)), (1003, [0.5])]
-    good = [(k, v) for k, v in rows if k is not None and v is not None and np.isfinite(v).all()]
-    keys = np.array([k for k, _ in good])
+def check_search(rows, got):
+    """Brute force over rows, each a candidate of all others."""
+    good = [(k, v) for k, v in rows if v is not None and len(v) and np.isfinite(v).all()]
+    keys = np.array([np.iinfo(np.int64).max if k is None else k for k, _ in good])
     x = np.zeros((len(good), 24))
     for i, (_, v) in enumerate(good):
-        x[i, : len(v)] = np.floor(256 * np.array(v, dtype=np.float64))
+        x[i, : len(v)] = np.floor(256 * np.array(np.float32(v), dtype=np.float64))
     expected = []
-    for i in np.flatnonzero(keys % 50 == 0):
+    for i in [i for i, (k, _) in enumerate(good) if k is not None and k % 50 == 0]:
         score = x @ x[i]
         order = [j for j in np.lexsort((keys, -score)) if j != i][:5]
-        expected += [(keys[i], n, keys[j], score[j]) for n, j in enumerate(order, 1)]
-    got = pivot_index.top_k_products(vectors(rows)).collect()
-    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(expected)
+        expected += [(keys[i], n, good[j][0], score[j]) for n, j in enumerate(order, 1)]
+    found = [(r.query_id, r["rank"], r.vec_id, r.score) for r in got]
+    assert sorted(found, key=repr) == sorted([(int(a), b, c, int(d)) for a, b, c, d in expected], key=repr)
+
+
+def test_search_matches_brute_force(vectors):
+    rows = clustered(500) + [(1000, None), (1050, [NAN] * 24), (1100, [0.0] * 24), (None, [1.0] * 24), (1101, [])]
+    rows += [(1001, rows_of_one(24)), (1150, rows_of_one(24)), (1002, rows_of_one(24)), (1003, [0.5])]
+    check_search(rows, pivot_index.top_k_products(vectors(rows)).collect())
+
+
+def test_search_takes_repeated_rows_and_ids_as_rows(vectors):
+    """A third of the rows is one vector; queries have copies, and other vectors under their id."""
+    rows = clustered(120, seed=2)
+    rows += [(1200, rows_of_one(24))] * 60 + [(1250, [2.0] * 24)] * 2 + [(1250, [3.0] * 24)]
+    rows += [(None, [2.0] * 24)] * 3 + [(1201, [2.0] * 24)] * 2
+    check_search(rows, pivot_index.top_k_products(vectors(rows)).collect())
+
+
+def test_search_stops_before_most_rings_of_clusters(vectors):
+    """Rows of one length in distant families: bounds separate them."""
+    random = np.random.default_rng(4)
+    centres = random.normal(size=(40, 24))
+    rows = [(i, np.float32(unit(centres[i % 40] + 0.05 * random.normal(size=24)))) for i in range(2000)]
+    found, share = pivot_index.search(vectors(rows))
+    check_search(rows, found.collect())
+    assert share < 0.5
 
 
 def test_few_rows_and_empty_tables(vectors):
