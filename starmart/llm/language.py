@@ -72,38 +72,41 @@ class SuffixAutomaton:
 
 
 def learn(
-    docs: DataFrame, trained: Column, chars: int = 400_000, per_language: int = 40, excerpt: int = 1500
+    docs: DataFrame, trained: Column, per_language: int = 40, excerpt: int = 1500
 ) -> dict[str, str]:
     """A learning text per language.
 
-    The bounded sample: of the rows that ``trained`` admits, whose language is not null and
-    whose text holds a letter, the ``per_language`` distinct excerpts of ``excerpt`` characters of each
-    language with the lowest hash, those of longer texts last; never over ``chars`` in all. Excerpts that
-    differ only in case or in what is no letter count as one. Lengths may differ between
-    languages: phrases are weighed by the length of the learning text.
+    The bounded sample: texts of the rows that ``trained`` admits, whose language is not null, are cut into
+    passages of ``excerpt`` characters from beginning to end; of those with a letter, the ``per_language``
+    distinct ones of each language with the lowest hash are taken, whole passages before the shorter
+    rests of longer texts. Passages that differ only in case or in what is no letter count as one.
+    Lengths may differ between languages: phrases are weighed by the length of the learning text.
     """
-    opening = F.substring("text", 1, excerpt)
-    plain = F.trim(F.regexp_replace(F.lower(opening), r"[^\p{L}]+", " "))
-    rows = docs.filter(trained & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
-        "lang",
-        opening.alias("text"),
-        (F.length("text") > excerpt).alias("_long"),
-        F.xxhash64(plain).alias("_draw"),
-    )
-    order = Window.partitionBy("lang").orderBy("_long", "_draw")
-    drawn = (
-        rows.groupBy("lang", "_draw")
-        .agg(F.min("_long").alias("_long"))
-        .withColumn("_place", F.row_number().over(order))
-        .filter(F.col("_place") <= per_language)
-        .select("lang", "_draw")
-    )
-    found = rows.join(drawn, ["lang", "_draw"], "left_semi").groupBy("lang", "_draw")
+    begins = F.sequence(F.lit(1), F.greatest(F.length("text"), F.lit(1)), F.lit(excerpt))
+    rows = docs.filter(trained & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    rows = rows.select("lang", "text", F.explode(begins).alias("_at"))
+    rows = rows.select("lang", "_at", F.col("text").substr(F.col("_at"), F.lit(excerpt)).alias("text"))
+    plain = F.trim(F.regexp_replace(F.lower("text"), r"[^\p{L}]+", " "))
+    rest = (F.col("_at") > 1) & (F.length("text") < excerpt)
+    rows = rows.select("lang", "text", plain.alias("_plain"), rest.alias("_rest"))
+    rows = rows.filter(F.col("_plain") != "")
+    rows = rows.select("lang", "text", "_rest", F.xxhash64("_plain").alias("_draw"))
+
+    def lowest(drawn: DataFrame, *group: str) -> DataFrame:
+        order = Window.partitionBy("lang", *group).orderBy("_rest", "_draw")
+        numbered = drawn.withColumn("_place", F.row_number().over(order))
+        return numbered.filter(F.col("_place") <= per_language).drop("_place")
+
+    # A common language is narrowed in parts first.
+    part = F.pmod(F.col("_draw"), F.lit(64))
+    distinct = rows.groupBy("lang", "_draw").agg(F.min("_rest").alias("_rest"))
+    drawn = lowest(lowest(distinct.withColumn("_part", part), "_part"))
+    chosen = drawn.select("lang", "_draw")
+    found = rows.join(chosen, ["lang", "_draw"], "left_semi").groupBy("lang", "_draw")
     texts: dict[str, set[str]] = {}
     for row in found.agg(F.min("text").alias("text")).collect():
         texts.setdefault(row.lang, set()).add(" ".join(_letters(pa.array([row.text]))[0].as_py().split()))
-    longest = chars // max(1, len(texts))
-    return {lang: f" {' '.join(sorted(texts[lang]))} "[:longest] for lang in sorted(texts)}
+    return {lang: f" {' '.join(sorted(texts[lang]))} " for lang in sorted(texts)}
 
 
 def _parser(learned: tuple[tuple[str, str], ...]) -> Memo:

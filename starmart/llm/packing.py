@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +22,7 @@ _PIECES = T.StructType(
         T.StructField("length", T.LongType()),
         T.StructField("doc_tokens", T.LongType()),
         T.StructField("ids", T.BinaryType()),
+        T.StructField("deal", T.LongType()),
     ]
 )
 
@@ -49,16 +52,18 @@ def cut_documents(
     end_id: int = 2,
     max_waste: float = 0.01,
 ) -> DataFrame:
-    """Pieces of every document: ``doc_id, start, length, doc_tokens, ids``.
+    """Pieces of every document: ``doc_id, start, length, doc_tokens, ids, deal``.
 
     A document is the ids of its whole text and ``end_id``; a null or empty text is the end
     id alone. ``ids`` holds unsigned 32-bit integers, little-endian. Every id lies in exactly one
-    piece. Null and repeated ``doc_id`` are kept: each row is a document. Other columns, whatever
+    piece. ``deal`` is a hash of the piece and of how many equal ones its task has met before, so
+    it spreads pieces of null and repeated ids, copies too, and doesn't depend on the order of rows.
+    Null and repeated ``doc_id`` are kept: each row is a document. Other columns, whatever
     their names, are not read.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
+        encode, met = encoder(tokenizer), Counter()
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             for low, ids, offsets in encode.documents(texts, end_id):
@@ -69,7 +74,11 @@ def cut_documents(
                     key = keys[low + i].as_py()
                     for length in cut_sizes(size, capacity, max_waste):
                         first = 4 * (at + start)
-                        rows.append((key, start, length, size, data[first : first + 4 * length]))
+                        piece = data[first : first + 4 * length]
+                        name = xxhash.xxh3_64_intdigest(b"%d,%d," % (key or 0, start) + piece)
+                        deal = xxhash.xxh3_64_intdigest(b"%d,%d" % (name, met[name])) >> 1
+                        met[name] += 1
+                        rows.append((key, start, length, size, piece, deal))
                         start += length
                 if rows:
                     yield pa.RecordBatch.from_arrays(
@@ -97,10 +106,12 @@ def _first_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
     return bins
 
 
-def _fill(group: pd.DataFrame, capacity: int) -> pd.DataFrame:
+def _fill(group: pa.Table, capacity: int) -> pa.Table:
     """Sequences and offsets of one worker's pieces."""
-    group = group.sort_values(["length", "doc_id", "start"], ascending=[False, True, True])
-    length = group["length"].to_numpy(np.int64)
+    length = group.column("length").to_numpy()
+    by_size = [("length", "descending"), ("doc_id", "ascending"), ("start", "ascending")]
+    order = pc.sort_indices(group, by_size).to_numpy()
+    length = length[order]
     per_bin = capacity // length
     classes, first, size = np.unique(per_bin, return_index=True, return_counts=True)
     full = size // classes
@@ -108,25 +119,30 @@ def _fill(group: pd.DataFrame, capacity: int) -> pd.DataFrame:
     sequence = bin_of + np.repeat(np.cumsum(full) - full, size)
     left = np.flatnonzero(bin_of >= np.repeat(full, size))
     sequence[left] = full.sum() + _first_fit(length[left], capacity)
-    order = np.argsort(sequence, kind="stable")
-    ends = np.cumsum(length[order])
-    begins = ends - length[order]
-    heads = np.flatnonzero(np.diff(sequence[order], prepend=-1))
-    offset = np.empty(len(length), dtype=np.int64)
-    offset[order] = begins - np.repeat(begins[heads], np.diff([*heads, len(length)]))
-    worker = group.pop("_worker").to_numpy(np.int64)
-    return group.assign(sequence_id=(worker << 32) + sequence, offset=offset)
-
-
-def fill_bins(pieces: DataFrame, workers: int, capacity: int = 4096) -> DataFrame:
+    in_bins = np.argsort(sequence, kind="stable")
+    order, sequence, length = order[in_bins], sequence[in_bins], length[in_bins]
+    begins = np.cumsum(length) - length
+    heads = np.flatnonzero(np.diff(sequence, prepend=-1))
+    offset = begins - np.repeat(begins[heads], np.diff([*heads, len(length)]))
+    worker = group.column("_worker")[0].as_py()
+    placed = group.drop_columns(["_worker"]).take(pa.array(order))
+    placed = placed.append_column("sequence_id", pa.array((worker << 32) + sequence))
+    return placed.append_column("offset", pa.array(offset))
+
+
+def fill_bins(
+    pieces: DataFrame, workers: int, capacity: int = 4096, deal: Column | None = None
+) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows with ``doc_id``, ``start``, ``length``.
 
-    Pieces are dealt to ``workers`` by their key. Each worker packs on its own: the pieces of
-    which ``k`` fit into a sequence, but not ``k + 1``, form class ``k``, and ``k`` of them fill a
-    bin. Bins that stay incomplete are emptied and packed together, largest piece first.
-    Lengths lie between 1 and ``capacity``; all columns are kept.
+    Pieces are dealt to ``workers`` by the number ``deal``, a hash of ``doc_id`` and ``start`` if
+    none is given. Each worker packs on its own: the pieces of which ``k`` fit into a sequence,
+    but not ``k + 1``, form class ``k``, and ``k`` of them fill a bin. Bins that stay incomplete
+    are emptied and packed together, largest piece first. Lengths lie between 1 and
+    ``capacity``; all columns are kept, whatever they hold.
     """
-    dealt = pieces.withColumn("_worker", F.expr(f"pmod(xxhash64(doc_id, start), {workers}L)"))
+    by = F.xxhash64("doc_id", "start") if deal is None else deal
+    dealt = pieces.withColumn("_worker", F.pmod(by, F.lit(workers).cast("long")))
     schema = T.StructType(
         [
             *pieces.schema.fields,
@@ -135,10 +151,10 @@ def fill_bins(pieces: DataFrame, workers: int, capacity: int = 4096) -> DataFram
         ]
     )
 
-    def fill(group: pd.DataFrame) -> pd.DataFrame:
+    def fill(group: pa.Table) -> pa.Table:
         return _fill(group, capacity)
 
-    return dealt.groupBy("_worker").applyInPandas(fill, schema)
+    return dealt.groupBy("_worker").applyInArrow(fill, schema)
 
 
 def packing_workers(docs: DataFrame, bytes_per_worker: int = 32 << 20) -> int:
@@ -160,4 +176,4 @@ def harmonic_pack(
     ``offset`` make the sequence; offsets are gapless from 0. An empty table gives no rows.
     """
     pieces = cut_documents(docs, tokenizer, capacity, end_id, max_waste)
-    return fill_bins(pieces, packing_workers(docs), capacity)
+    return fill_bins(pieces, packing_workers(docs), capacity, F.col("deal")).drop("deal")

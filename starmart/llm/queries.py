@@ -45,9 +45,8 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query
 def op1_harmonic_packing(spark, folder):
     docs = _table(spark, folder, "documents")
-    pieces = packing.cut_documents(docs, tokenizer_file("word_bpe_49k.json"))
-    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return packing.fill_bins(digests, packing.packing_workers(docs))
+    packed = packing.harmonic_pack(docs, tokenizer_file("word_bpe_49k.json"))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
 @query

@@ -37,6 +37,13 @@ def test_copies_take_one_place_and_short_languages_cut_no_other(documents):
     assert {r.lang_pred for r in found} == {"en"}
 
 
+def test_learning_reads_texts_to_their_end(documents):
+    """Letters only behind 3,000 blanks and digits, and in the rest of a text."""
+    rows = [(1, "1 " * 1500 + "bonjour le monde", "fr"), (2, "hello world " * 130 + "zebra", "en")]
+    learned = language.learn(documents(rows), F.lit(True))
+    assert "bonjour le monde" in learned["fr"] and "zebra" in learned["en"]
+
+
 def test_edges(documents, learned):
     assert list(learned) == ["de", "en"]
     rows = [(1, None), (2, ""), (3, "12 %"), (4, "The DOG!"), (5, "die Katze"), (None, "the house")]

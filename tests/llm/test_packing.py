@@ -55,6 +55,16 @@ def test_every_id_in_one_piece(spark, documents):
     assert sum(r.doc_id is None for r in rows) == 1
 
 
+def test_null_and_repeated_ids_are_spread_over_workers(documents, monkeypatch):
+    """Documents of one id, a third of them copies: every worker gets its share."""
+    rows = [(None, f"text {i}") for i in range(600)] + [(None, "copy")] * 300 + [(7, "copy")] * 300
+    monkeypatch.setattr(packing, "packing_workers", lambda docs: 8)
+    found = packing.harmonic_pack(documents(rows), tokenizer_file(VOCABULARY)).collect()
+    workers = np.bincount([r.sequence_id >> 32 for r in found], minlength=8)
+    assert workers.sum() == 1200 and workers.min() > 80 and workers.max() < 250
+    check_sequences(found, 4096)
+
+
 def test_empty_table(documents):
     docs = documents([])
     assert packing.harmonic_pack(docs, tokenizer_file(VOCABULARY)).count() == 0
@@ -98,8 +108,10 @@ def test_query_digests(spark):
     texts = dict(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect())
     check_sequences(rows, 4096)
     assert {r.doc_id for r in rows} == set(texts)
-    for row in rows[:200]:
-        ids = np.array(expected_ids(texts[row.doc_id]), "<u4")
+    encoded = {key: np.array(expected_ids(text), "<u4") for key, text in texts.items()}
+    assert sum(row.length for row in rows) == sum(map(len, encoded.values()))
+    for row in rows:
+        ids = encoded[row.doc_id]
         assert row.doc_tokens == len(ids)
         part = ids[row.start : row.start + row.length]
         assert row.ids_crc32 == zlib.crc32(part.tobytes())
