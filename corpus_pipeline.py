@@ -39,17 +39,22 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it."""
+    """Every document as often as the mix takes it; rows without words are not taken.
+
+    Null and repeated ids are rows of their own; a null source is a source.
+    """
     mixed = mixing.mix(docs).filter(F.col("copies") > 0)
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy")
     return mixed.select("row", each).select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents and their places in sequences of at most 4,096 tokens."""
-    pieces = packing.cut_documents(docs, tokenizer_file("word_bpe_49k.json"))
-    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return packing.fill_bins(digests, packing.packing_workers(docs))
+    """Pieces of the documents with their ids, placed in sequences of at most 4,096 tokens.
+
+    Every row is a document, null and repeated ids too; null and empty texts are one end id.
+    """
+    packed = packing.harmonic_pack(docs, tokenizer_file("word_bpe_49k.json"))
+    return packed.withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [
