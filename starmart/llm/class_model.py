@@ -1,4 +1,8 @@
-"""Language-model scores from Brown classes: a class after a class, a word of its class."""
+"""Language-model scores from Brown classes: a class after a class, a word of its class.
+
+Frequent words and endings are clustered by exchange; then every other word that occurs often
+enough moves, in tasks of its own, to the class that its neighbours in all learning texts speak for.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +13,7 @@ from uuid import uuid4
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +28,8 @@ _PRIOR = 20.0
 _ROWS_PER_FILE = 2
 # A run asks once for each of its words: the longer it is, the fewer rows are asked for.
 _RUN_BYTES = 16 << 20
+# Rows of contexts that a task merges, and runs that may name one word in a merge.
+_MERGE_ROWS, _MERGE_RUNS = 400_000, 512
 _SLICES = (
     "slice long, doc_ids array<long>, held array<boolean>, bounds binary, codes binary,"
     " words array<string>, counts array<long>"
@@ -44,6 +51,21 @@ def _repeat(bounds: np.ndarray, flags: np.ndarray) -> np.ndarray:
     return np.repeat(flags, np.diff(bounds))
 
 
+def _packed(codes: np.ndarray) -> bytes:
+    return zstandard.compress(codes.astype("<i4").tobytes(), 1)
+
+
+def _unpacked(codes: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(codes), "<i4")
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one by one: a row is a run of texts and holds some megabytes."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _code(docs: DataFrame, held_out: Column, folder: str) -> DataFrame:
     """All texts as numbers, a run of texts a row, with the run's own words and their counts
     in learning texts."""
@@ -61,7 +83,7 @@ def _code(docs: DataFrame, held_out: Column, folder: str) -> DataFrame:
                     "doc_ids": [batch.column(0).slice(low, len(texts)).to_pylist()],
                     "held": [held.tolist()],
                     "bounds": [bounds.astype("<i8").tobytes()],
-                    "codes": [places.astype("<i4").tobytes()],
+                    "codes": [_packed(places)],
                     "words": [distinct],
                     "counts": [counts],
                 }
@@ -90,8 +112,9 @@ class ClassModel:
     """Class of every word, transitions between classes, and what a class emits.
 
     ``types`` are frequent words and frequent endings (``"*ing"``); ``classes`` has the class of
-    each, then that of all other words, then that of the end of a text, which stands alone and
-    also precedes every text. ``follow`` is log10 P(class | class before); ``size`` and ``variety``
+    each, then that of words with another ending, then that of the end of a text, which stands alone and
+    also precedes every text. Words that are no type have classes of their own, kept in files.
+    ``follow`` is log10 P(class | class before); ``size`` and ``variety``
     are the learning tokens and distinct words of each class.
     """
 
@@ -176,93 +199,193 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int = 8) -> np.ndarray:
     return of
 
 
-def _types(counts: DataFrame, words: int, endings: int) -> tuple[str, ...]:
-    frequent = [r[0] for r in counts.orderBy(F.col("n").desc(), "word").limit(words).collect()]
-    suffix = F.concat(F.lit("*"), F.substring("word", -SUFFIX, SUFFIX))
-    sums = counts.groupBy(suffix.alias("ending")).agg(F.sum("n").alias("n"))
+def _types(counts: DataFrame, words: int, endings: int) -> tuple[dict[str, int], tuple[str, ...]]:
+    """The most frequent words with their counts; those and the most frequent endings."""
+    rows = counts.orderBy(F.col("n").desc(), "word").limit(words).collect()
+    frequent = {r.word: r.n for r in rows}
+    sums = counts.groupBy(_ending().alias("ending")).agg(F.sum("n").alias("n"))
     rows = sums.orderBy(F.col("n").desc(), "ending").limit(endings).collect()
-    return tuple(dict.fromkeys(frequent + [r[0] for r in rows]))
+    return frequent, tuple(dict.fromkeys([*frequent, *(r.ending for r in rows)]))
+
 
+def _ending() -> Column:
+    return F.concat(F.lit("*"), F.substring("word", -SUFFIX, SUFFIX))
 
-def _adjacent(runs: DataFrame, types: tuple[str, ...]) -> np.ndarray:
-    """How often each type follows each type in the learning texts."""
-    end, width = len(types) + 1, len(types) + 2
+
+def _sequence(row: dict, kinds: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The kinds of a run's tokens, with an end after each text, and where ends lie."""
+    bounds = np.frombuffer(row["bounds"], "<i8")
+    return np.insert(kinds[_unpacked(row["codes"])], bounds[1:], end), bounds[1:] + np.arange(len(bounds) - 1)
+
+
+def _learned(row: dict) -> np.ndarray:
+    """Which tokens, ends too, belong to learning texts."""
+    bounds = np.frombuffer(row["bounds"], "<i8")
+    return np.repeat(~np.array(row["held"], dtype=bool), np.diff(bounds) + 1)
+
+
+def _pairs(runs: DataFrame, kinds_of: Callable[[], Callable[[dict], np.ndarray]], width: int) -> np.ndarray:
+    """How often each kind follows each kind in the learning texts; the last kind is the end.
+
+    ``kinds_of()``, called once a task, gives what finds the kinds of a run's words.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(_finder(types), 1, capacity=300_000)
-        for batch in batches:
-            for row in batch.to_pylist():
-                kinds = memo.rows(row["words"])[:, 0].astype(np.int64)
-                codes = np.frombuffer(row["codes"], "<i4")
-                bounds = np.frombuffer(row["bounds"], "<i8")
-                sequence = np.insert(kinds[codes], bounds[1:], end)
-                before = np.concatenate(([end], sequence[:-1]))
-                marks = np.repeat(~np.array(row["held"], dtype=bool), np.diff(bounds) + 1)
-                found = np.bincount((before * width + sequence)[marks], minlength=width * width)
-                some = np.flatnonzero(found)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some), pa.array(found[some])], names=["pair", "n"]
-                )
+        kinds = kinds_of()
+        for row in _rows(batches):
+            sequence, _ = _sequence(row, kinds(row), width - 1)
+            before = np.concatenate(([width - 1], sequence[:-1]))
+            found = np.bincount((before * width + sequence)[_learned(row)], minlength=width * width)
+            some = np.flatnonzero(found)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some), pa.array(found[some])], names=["pair", "n"]
+            )
 
-    pairs = runs.select("held", "bounds", "codes", "words").mapInArrow(count, "pair long, n long")
+    pairs = runs.mapInArrow(count, "pair long, n long")
     table = np.zeros(width * width)
     for row in pairs.groupBy("pair").agg(F.sum("n").alias("n")).collect():
         table[row.pair] = row.n
     return table.reshape(width, width)
 
 
-def learn(
-    runs: DataFrame, counts: DataFrame, texts: int, words: int, endings: int, classes: int
-) -> ClassModel:
-    """Fit the classes on all learning texts; ``counts`` holds every learned word with its count.
+def _type_kinds(types: tuple[str, ...]) -> Callable[[], Callable[[dict], np.ndarray]]:
+    def start() -> Callable[[dict], np.ndarray]:
+        memo = Memo(_finder(types), 1, capacity=300_000)
+        return lambda row: memo.rows(row["words"])[:, 0].astype(np.int64)
 
-    ``words`` frequent words and ``endings`` frequent endings are clustered (a bound on the
-    model, not on the texts): a word that is no type belongs where its ending does.
-    """
-    types = _types(counts, words, endings)
-    pairs = _adjacent(runs, types)
-    of = exchange(pairs, classes)
-    total = of[-1] + 1
-    table = np.zeros((total, total))
-    np.add.at(table, (of[:, None], of[None, :]), pairs)
-    share = (table.sum(0) + 1) / (table.sum() + total)
-    follow = (table + _PRIOR * share) / (table.sum(1, keepdims=True) + _PRIOR)
+    return start
 
-    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = _finder(types)
-        for batch in batches:
-            kinds = of[[find(word) for word in batch.column(0).to_pylist()]]
-            n = batch.column(1).to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.arange(total)),
-                    pa.array(np.bincount(kinds, n, minlength=total).astype(np.int64)),
-                    pa.array(np.bincount(kinds, minlength=total)),
-                ],
-                names=["class", "n", "v"],
+
+def _contexts(runs: DataFrame, types: tuple[str, ...], frequent: frozenset, of: np.ndarray) -> DataFrame:
+    """``word, slice, seen``: of each run's words that are no type, the classes beside them.
+
+    ``seen`` holds 64-bit numbers, count << 16 | class before or (number of classes + class after).
+    """
+    end = int(of[-1])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = _type_kinds(types)()
+        for row in _rows(batches):
+            classes, ends = _sequence(row, of[kinds(row)], end)
+            other = np.array([word not in frequent for word in row["words"]], dtype=bool)
+            codes = np.insert(_unpacked(row["codes"]).astype(np.int64), np.frombuffer(row["bounds"], "<i8")[1:], 0)
+            inner = _learned(row)
+            inner[ends] = False
+            inner = np.flatnonzero(inner)
+            inner = inner[other[codes[inner]]]
+            before, after = classes[inner - 1], classes[inner + 1]
+            before[inner == 0] = end
+            at = codes[inner] << 16
+            keys, counts = np.unique(np.concatenate((at | before, at | (end + 1 + after))), return_counts=True)
+            heads = np.flatnonzero(np.diff(keys >> 16, prepend=-1))
+            seen = (counts << 16 | keys & 0xFFFF).astype("<i8")
+            offsets = (8 * np.append(heads, len(keys))).astype(np.int64)
+            packed = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(heads), [None, pa.py_buffer(offsets), pa.py_buffer(seen)]
             )
+            words = pa.array(row["words"], pa.string()).take(pa.array(keys[heads] >> 16))
+            for low in range(0, len(heads), 65536):
+                part = slice(low, low + 65536)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        words[part],
+                        pa.array(np.full(len(words[part]), row["slice"])),
+                        packed[part].cast(pa.binary()),
+                    ],
+                    names=["word", "slice", "seen"],
+                )
+
+    columns = runs.select("slice", "held", "bounds", "codes", "words")
+    return columns.mapInArrow(find, "word string, slice long, seen binary")
+
+
+def _merged(table: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words; word, context and count of each sum, by word."""
+    encoded = table.column("word").combine_chunks().dictionary_encode()
+    seen = table.column("seen").to_pylist()
+    sizes = np.array([len(x) // 8 for x in seen], dtype=np.int64)
+    flat = np.frombuffer(b"".join(seen), "<i8")
+    keys = np.repeat(np.asarray(encoded.indices).astype(np.int64), sizes) << 16 | flat & 0xFFFF
+    keys, at = np.unique(keys, return_inverse=True)
+    counts = np.bincount(at, flat >> 16, minlength=len(keys)).astype(np.int64)
+    return encoded.dictionary, keys >> 16, keys & 0xFFFF, counts
+
+
+def affinity(table: np.ndarray) -> np.ndarray:
+    """What a neighbour adds to each class: the change of the classes' mutual information.
+
+    Row ``c`` stands for class ``c`` before a word, row ``number of classes + c`` for one after it.
+    First order in the moved counts, so exact in the limit of words that are small beside classes.
+    """
+    filled = table + 0.5
+    gain = np.log(filled) - np.log(filled.sum(1, keepdims=True)) - np.log(filled.sum(0, keepdims=True))
+    return np.vstack([gain, gain.T])
 
-    size, variety = np.zeros(total), np.zeros(total)
-    by_class = counts.mapInArrow(sizes, "class long, n long, v long").groupBy("class")
-    for row in by_class.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
-        size[row["class"]], variety[row["class"]] = row.n, row.v
-    tokens, distinct = int(size.sum()) + texts, int(variety.sum()) + (texts > 0)
-    return ClassModel(types, of, np.log10(follow), size, variety, tokens, distinct, texts)
+
+def _lexicon(contexts: DataFrame, rows: int, runs: int, model: dict, least: int) -> DataFrame:
+    """``word, n, class`` of every learned word that is no type.
+
+    A word with ``least`` occurrences takes the class with the highest gain over all of its neighbours
+    (one exchange sweep, all words at once; ties to the lowest class), a rarer one that of its
+    ending. A word of very many runs is merged in parts first.
+    """
+    types, of, gain = model["types"], model["of"], model["gain"]
+    buckets = max(1, -(-rows // _MERGE_ROWS))
+    parts = max(1, -(-runs // _MERGE_RUNS))
+    bucket = F.pmod(F.xxhash64("word"), F.lit(buckets)).alias("bucket")
+
+    def merge(table: pa.Table) -> pa.Table:
+        words, word, context, counts = _merged(table)
+        heads = np.append(np.flatnonzero(np.diff(word, prepend=-1)), len(word))
+        packed = (counts << 16 | context).astype("<i8")
+        seen = [packed[a:b].tobytes() for a, b in zip(heads, heads[1:])]
+        return pa.table({"word": words, "seen": pa.array(seen, pa.binary())})
+
+    def assign(table: pa.Table) -> pa.Table:
+        words, word, context, counts = _merged(table)
+        total = gain.shape[1]
+        n = np.bincount(word, counts * (context < total), minlength=len(words)).astype(np.int64)
+        best = np.empty(len(words), dtype=np.int32)
+        for low in range(0, len(words), 20_000):
+            high = min(low + 20_000, len(words))
+            here = slice(*np.searchsorted(word, [low, high]))
+            near = np.zeros((high - low, 2 * total))
+            near[word[here] - low, context[here]] = counts[here]
+            # The end of a text keeps its class for itself, the last.
+            best[low:high] = (near @ gain)[:, : max(1, total - 1)].argmax(1)
+        rare, find = np.flatnonzero(n < least), _finder(types)
+        best[rare] = of[[find(word) for word in words.take(pa.array(rare)).to_pylist()]]
+        return pa.table({"word": words, "n": pa.array(n), "class": pa.array(best)})
+
+    if parts > 1:
+        part = F.pmod("slice", F.lit(parts)).alias("part")
+        contexts = contexts.groupBy(bucket, part).applyInArrow(merge, "word string, seen binary")
+    return contexts.groupBy(bucket).applyInArrow(assign, "word string, n long, class int")
 
 
 def score_texts(
-    docs: DataFrame, held_out: Column, words: int = 400, endings: int = 110, classes: int = 40
+    docs: DataFrame,
+    held_out: Column,
+    words: int = 400,
+    endings: int = 110,
+    classes: int = 40,
+    least: int = 3,
 ) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every text.
 
     Tokens are the words of the text (A-Z lowered, cut at ASCII white space) and one end. Learned
     from all rows that ``held_out`` doesn't mark. ``base_score`` is the add-one unigram model;
-    ``score`` sums log10 P(class | class before) + log10 P(word | class), where classes come
-    from exchange clustering, transitions are smoothed by the classes' own shares, and
-    unknown words, as one symbol, get what discounting leaves in their class.
+    ``score`` sums log10 P(class | class before) + log10 P(word | class), transitions smoothed by
+    the classes' own shares; unknown words, as one symbol, get what discounting leaves in their class.
+
+    Classes are built from ``words`` frequent words and ``endings`` frequent endings by exchange
+    clustering. Then every learned word that occurs ``least`` times moves to the class that
+    its neighbours in all learning texts speak for, however many such words there are. Rarer and
+    unknown words belong where their ending does. Transitions are counted after that, over all
+    learning texts.
 
-    The counts of all words stay distributed: texts are coded by runs of some megabytes, and each
-    run asks for the counts of its own distinct words. Null texts are empty and hold the end
+    Words, their counts, contexts and classes stay distributed: texts are coded by runs of some megabytes,
+    and each run asks for the counts and classes of its own distinct words. Null texts are empty and hold the end
     alone. ``doc_id`` may be null or repeated; other columns, whatever their names, are not read. Without
     any learning text all words are unknown. An empty table gives no rows.
     """
@@ -274,38 +397,93 @@ def score_texts(
     totals.write.parquet(f"{folder}/counts")
     counts = spark.read.parquet(f"{folder}/counts")
     learned = F.size(F.filter("held", lambda x: ~x))
-    texts = int(runs.agg(F.sum(learned)).first()[0] or 0)
-    model = learn(runs, counts, texts, words, endings, classes)
+    sums = runs.agg(F.sum(learned), F.count("*"), F.sum(F.size("words"))).first()
+    texts, run_count, rows = (int(x or 0) for x in sums)
+
+    frequent, types = _types(counts, words, endings)
+    coded = runs.select("held", "bounds", "codes", "words")
+    pairs = _pairs(coded, _type_kinds(types), len(types) + 2)
+    of = exchange(pairs, classes)
+    total = int(of[-1]) + 1
+    table = np.zeros((total, total))
+    np.add.at(table, (of[:, None], of[None, :]), pairs)
+    seeds = {"types": types, "of": of, "gain": affinity(table)}
+    contexts = _contexts(runs, types, frozenset(frequent), of)
+    place = {name: i for i, name in enumerate(types)}
+    common = spark.createDataFrame(
+        [(word, n, int(of[place[word]])) for word, n in frequent.items()],
+        "word string, n long, class int",
+    )
+    _lexicon(contexts, rows, run_count, seeds, least).union(common).write.parquet(f"{folder}/lexicon")
+    lexicon = spark.read.parquet(f"{folder}/lexicon")
 
+    size, variety = np.zeros(total), np.zeros(total)
+    for row in lexicon.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():
+        size[row["class"]], variety[row["class"]] = row.n, row.v
+
+    # What is not in the lexicon was never learned: its ending decides.
+    by_ending = [F.lit(x) for name, i in place.items() if name[:1] == "*" for x in (name, int(of[i]))]
+    other = F.lit(int(of[len(types)]))
+    ending = F.coalesce(F.create_map(*by_ending)[_ending()], other) if by_ending else other
     asked = runs.select("slice", F.posexplode("words").alias("place", "word"))
-    answers = asked.join(counts, "word").select("slice", "place", "n")
-
-    def score(run: pa.Table, answer: pa.Table) -> pa.Table:
-        row = run.to_pylist()[0]
-        codes = np.frombuffer(row["codes"], "<i4")
-        bounds = np.frombuffer(row["bounds"], "<i8")
-        n = np.zeros(len(row["words"]), dtype=np.int64)
-        n[answer.column("place").to_numpy()] = answer.column("n").to_numpy()
-        find, end = _finder(model.types), len(model.types) + 1
-        kinds = model.classes[np.array([find(word) for word in row["words"]], dtype=np.int64)]
-        emitted = np.insert(model.emit(kinds, n)[codes], bounds[1:], 0.0)
-        sequence = np.insert(kinds[codes], bounds[1:], model.classes[end])
-        before = np.concatenate(([model.classes[end]], sequence[:-1]))
-        ends = bounds + np.arange(len(bounds))
-        count = np.insert(n[codes], bounds[1:], model.texts)
-        base = np.log10((count + 1) / (model.tokens + model.distinct + 1))
-        return pa.table(
-            {
-                "doc_id": pa.array(row["doc_ids"], pa.int64()),
-                "held_out": pa.array(row["held"], pa.bool_()),
-                "n_tokens": pa.array(np.diff(ends)),
-                "n_known": pa.array(per_text(count > 0, ends, np.add, 0).astype(np.int64)),
-                "train_tokens": pa.array(np.full(len(ends) - 1, model.tokens)),
-                "base_score": pa.array(per_text(base, ends, np.add, 0)),
-                "score": pa.array(per_text(emitted + model.follow[before, sequence], ends, np.add, 0)),
-            }
-        )
+    answers = asked.join(lexicon, "word", "left").select(
+        "slice", "place", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("class", ending).alias("class")
+    )
+
+    def answered(run: pa.Table, answer: pa.Table) -> pa.Table:
+        places = answer.column("place").to_numpy()
+        n, kinds = np.zeros(len(places), dtype="<i8"), np.zeros(len(places), dtype="<i4")
+        n[places] = answer.column("n").to_numpy()
+        kinds[places] = answer.column("class").to_numpy()
+        for name, values in (("n", n), ("kinds", kinds)):
+            run = run.append_column(name, pa.array([values.tobytes()], pa.binary()))
+        return run.drop_columns(["slice"])
 
     again = spark.read.parquet(f"{folder}/slices")  # apart from the plan that joins its words
-    by_run = again.select("slice", "doc_ids", "held", "bounds", "codes", "words").groupBy("slice")
-    return by_run.cogroup(answers.groupBy("slice")).applyInArrow(score, _SCORES)
+    by_run = again.select("slice", "doc_ids", "held", "bounds", "codes").groupBy("slice")
+    classed = by_run.cogroup(answers.groupBy("slice")).applyInArrow(
+        answered,
+        "doc_ids array<long>, held array<boolean>, bounds binary, codes binary, n binary, kinds binary",
+    )
+    path = f"{folder}/classed"
+    classed.write.option("maxRecordsPerFile", _ROWS_PER_FILE).option("compression", "zstd").parquet(path)
+    classed = spark.read.parquet(path)
+
+    def own_kinds() -> Callable[[dict], np.ndarray]:
+        return lambda row: np.frombuffer(row["kinds"], "<i4").astype(np.int64)
+
+    table = _pairs(classed.select("held", "bounds", "codes", "kinds"), own_kinds, total)
+    share = (table.sum(0) + 1) / (table.sum() + total)
+    follow = np.log10((table + _PRIOR * share) / (table.sum(1, keepdims=True) + _PRIOR))
+    tokens, distinct = int(size.sum()) + texts, int(variety.sum()) + (texts > 0)
+    model = ClassModel(types, of, follow, size, variety, tokens, distinct, texts)
+    return classed.mapInArrow(_scorer(model), _SCORES)
+
+
+def _scorer(model: ClassModel) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    end = len(model.size) - 1
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            codes, bounds = _unpacked(row["codes"]), np.frombuffer(row["bounds"], "<i8")
+            n = np.frombuffer(row["n"], "<i8")
+            kinds = np.frombuffer(row["kinds"], "<i4").astype(np.int64)
+            emitted = np.insert(model.emit(kinds, n)[codes], bounds[1:], 0.0)
+            sequence = np.insert(kinds[codes], bounds[1:], end)
+            before = np.concatenate(([end], sequence[:-1]))
+            ends = bounds + np.arange(len(bounds))
+            count = np.insert(n[codes], bounds[1:], model.texts)
+            base = np.log10((count + 1) / (model.tokens + model.distinct + 1))
+            scores = emitted + model.follow[before, sequence]
+            columns = [
+                pa.array(row["doc_ids"], pa.int64()),
+                pa.array(row["held"], pa.bool_()),
+                pa.array(np.diff(ends)),
+                pa.array(per_text(count > 0, ends, np.add, 0).astype(np.int64)),
+                pa.array(np.full(len(ends) - 1, model.tokens)),
+                pa.array(per_text(base, ends, np.add, 0)),
+                pa.array(per_text(scores, ends, np.add, 0)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=_SCORES.names)
+
+    return score
