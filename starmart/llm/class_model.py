@@ -52,11 +52,13 @@ def _repeat(bounds: np.ndarray, flags: np.ndarray) -> np.ndarray:
 
 
 def _packed(codes: np.ndarray) -> bytes:
-    return zstandard.compress(codes.astype("<i4").tobytes(), 1)
+    """Compressed by place value: all lowest bytes, then all second ones, and so on."""
+    return zstandard.compress(codes.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 3)
 
 
 def _unpacked(codes: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(codes), "<i4")
+    planes = np.frombuffer(zstandard.decompress(codes), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -256,10 +258,28 @@ def _type_kinds(types: tuple[str, ...]) -> Callable[[], Callable[[dict], np.ndar
     return start
 
 
-def _contexts(runs: DataFrame, types: tuple[str, ...], frequent: frozenset, of: np.ndarray) -> DataFrame:
-    """``word, slice, seen``: of each run's words that are no type, the classes beside them.
+def _seen(keys: np.ndarray, counts: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Contexts and counts of each word, and which word; keys are word << 16 | context, sorted.
 
-    ``seen`` holds 64-bit numbers, count << 16 | class before or (number of classes + class after).
+    Two bytes an entry, context and count: a count above 255 takes several entries.
+    """
+    times = -(-counts // 255)
+    word, context = np.repeat(keys >> 16, times), np.repeat(keys & 0xFFFF, times)
+    entries = np.full((len(word), 2), 255, dtype=np.uint8)
+    entries[:, 0] = context
+    entries[np.cumsum(times) - 1, 1] = counts - 255 * (times - 1)
+    heads = np.flatnonzero(np.diff(word, prepend=-1))
+    offsets = 2 * np.append(heads, len(word)).astype(np.int64)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(entries)]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(heads), buffers), word[heads]
+
+
+def _contexts(
+    runs: DataFrame, types: tuple[str, ...], frequent: frozenset, of: np.ndarray, parts: int
+) -> DataFrame:
+    """``word, part, seen``: of each run's words that are no type, the classes beside them.
+
+    A context is the class before or (number of classes + the class after). Runs are dealt to ``parts``.
     """
     end = int(of[-1])
 
@@ -277,37 +297,32 @@ def _contexts(runs: DataFrame, types: tuple[str, ...], frequent: frozenset, of:
             before[inner == 0] = end
             at = codes[inner] << 16
             keys, counts = np.unique(np.concatenate((at | before, at | (end + 1 + after))), return_counts=True)
-            heads = np.flatnonzero(np.diff(keys >> 16, prepend=-1))
-            seen = (counts << 16 | keys & 0xFFFF).astype("<i8")
-            offsets = (8 * np.append(heads, len(keys))).astype(np.int64)
-            packed = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), len(heads), [None, pa.py_buffer(offsets), pa.py_buffer(seen)]
-            )
-            words = pa.array(row["words"], pa.string()).take(pa.array(keys[heads] >> 16))
-            for low in range(0, len(heads), 65536):
+            seen, at = _seen(keys, counts)
+            words = pa.array(row["words"], pa.string()).take(pa.array(at))
+            for low in range(0, len(at), 65536):
                 part = slice(low, low + 65536)
                 yield pa.RecordBatch.from_arrays(
                     [
                         words[part],
-                        pa.array(np.full(len(words[part]), row["slice"])),
-                        packed[part].cast(pa.binary()),
+                        pa.array(np.full(len(words[part]), row["slice"] % parts, dtype=np.int32)),
+                        seen[part].cast(pa.binary()),
                     ],
-                    names=["word", "slice", "seen"],
+                    names=["word", "part", "seen"],
                 )
 
     columns = runs.select("slice", "held", "bounds", "codes", "words")
-    return columns.mapInArrow(find, "word string, slice long, seen binary")
+    return columns.mapInArrow(find, "word string, part int, seen binary")
 
 
 def _merged(table: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct words; word, context and count of each sum, by word."""
     encoded = table.column("word").combine_chunks().dictionary_encode()
     seen = table.column("seen").to_pylist()
-    sizes = np.array([len(x) // 8 for x in seen], dtype=np.int64)
-    flat = np.frombuffer(b"".join(seen), "<i8")
-    keys = np.repeat(np.asarray(encoded.indices).astype(np.int64), sizes) << 16 | flat & 0xFFFF
+    sizes = np.array([len(x) // 2 for x in seen], dtype=np.int64)
+    entries = np.frombuffer(b"".join(seen), np.uint8).reshape(-1, 2)
+    keys = np.repeat(np.asarray(encoded.indices).astype(np.int64), sizes) << 16 | entries[:, 0]
     keys, at = np.unique(keys, return_inverse=True)
-    counts = np.bincount(at, flat >> 16, minlength=len(keys)).astype(np.int64)
+    counts = np.bincount(at, entries[:, 1], minlength=len(keys)).astype(np.int64)
     return encoded.dictionary, keys >> 16, keys & 0xFFFF, counts
 
 
@@ -322,7 +337,7 @@ def affinity(table: np.ndarray) -> np.ndarray:
     return np.vstack([gain, gain.T])
 
 
-def _lexicon(contexts: DataFrame, rows: int, runs: int, model: dict, least: int) -> DataFrame:
+def _lexicon(contexts: DataFrame, rows: int, parts: int, model: dict, least: int) -> DataFrame:
     """``word, n, class`` of every learned word that is no type.
 
     A word with ``least`` occurrences takes the class with the highest gain over all of its neighbours
@@ -331,15 +346,12 @@ def _lexicon(contexts: DataFrame, rows: int, runs: int, model: dict, least: int)
     """
     types, of, gain = model["types"], model["of"], model["gain"]
     buckets = max(1, -(-rows // _MERGE_ROWS))
-    parts = max(1, -(-runs // _MERGE_RUNS))
     bucket = F.pmod(F.xxhash64("word"), F.lit(buckets)).alias("bucket")
 
     def merge(table: pa.Table) -> pa.Table:
         words, word, context, counts = _merged(table)
-        heads = np.append(np.flatnonzero(np.diff(word, prepend=-1)), len(word))
-        packed = (counts << 16 | context).astype("<i8")
-        seen = [packed[a:b].tobytes() for a, b in zip(heads, heads[1:])]
-        return pa.table({"word": words, "seen": pa.array(seen, pa.binary())})
+        seen, at = _seen(word << 16 | context, counts)
+        return pa.table({"word": words.take(pa.array(at)), "seen": seen.cast(pa.binary())})
 
     def assign(table: pa.Table) -> pa.Table:
         words, word, context, counts = _merged(table)
@@ -358,9 +370,8 @@ def _lexicon(contexts: DataFrame, rows: int, runs: int, model: dict, least: int)
         return pa.table({"word": words, "n": pa.array(n), "class": pa.array(best)})
 
     if parts > 1:
-        part = F.pmod("slice", F.lit(parts)).alias("part")
-        contexts = contexts.groupBy(bucket, part).applyInArrow(merge, "word string, seen binary")
-    return contexts.groupBy(bucket).applyInArrow(assign, "word string, n long, class int")
+        contexts = contexts.groupBy(bucket, "part").applyInArrow(merge, "word string, seen binary")
+    return contexts.select("word", "seen").groupBy(bucket).applyInArrow(assign, "word string, n long, class int")
 
 
 def score_texts(
@@ -384,11 +395,13 @@ def score_texts(
     unknown words belong where their ending does. Transitions are counted after that, over all
     learning texts.
 
-    Words, their counts, contexts and classes stay distributed: texts are coded by runs of some megabytes,
+    ``classes`` is at most 127, since a context is a byte. Words, their counts, contexts and classes stay distributed: texts are coded by runs of some megabytes,
     and each run asks for the counts and classes of its own distinct words. Null texts are empty and hold the end
     alone. ``doc_id`` may be null or repeated; other columns, whatever their names, are not read. Without
     any learning text all words are unknown. An empty table gives no rows.
     """
+    if not 0 < classes < 128:
+        raise ValueError("classes must lie between 1 and 127")
     spark, folder = docs.sparkSession, scratch_folder(docs.sparkSession)
     runs = _code(docs, F.coalesce(held_out, F.lit(False)), folder)
     listed = runs.select(F.explode(F.arrays_zip("words", "counts")).alias("_e"))
@@ -408,13 +421,14 @@ def score_texts(
     table = np.zeros((total, total))
     np.add.at(table, (of[:, None], of[None, :]), pairs)
     seeds = {"types": types, "of": of, "gain": affinity(table)}
-    contexts = _contexts(runs, types, frozenset(frequent), of)
+    parts = max(1, -(-run_count // _MERGE_RUNS))
+    contexts = _contexts(runs, types, frozenset(frequent), of, parts)
     place = {name: i for i, name in enumerate(types)}
     common = spark.createDataFrame(
         [(word, n, int(of[place[word]])) for word, n in frequent.items()],
         "word string, n long, class int",
     )
-    _lexicon(contexts, rows, run_count, seeds, least).union(common).write.parquet(f"{folder}/lexicon")
+    _lexicon(contexts, rows, parts, seeds, least).union(common).write.parquet(f"{folder}/lexicon")
     lexicon = spark.read.parquet(f"{folder}/lexicon")
 
     size, variety = np.zeros(total), np.zeros(total)
@@ -426,15 +440,15 @@ def score_texts(
     other = F.lit(int(of[len(types)]))
     ending = F.coalesce(F.create_map(*by_ending)[_ending()], other) if by_ending else other
     asked = runs.select("slice", F.posexplode("words").alias("place", "word"))
-    answers = asked.join(lexicon, "word", "left").select(
-        "slice", "place", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("class", ending).alias("class")
-    )
+    # Count and class in one number: fewer bytes to shuffle.
+    answer = F.shiftleft(F.coalesce("n", F.lit(0)), 16).bitwiseOR(F.coalesce("class", ending).cast("long"))
+    answers = asked.join(lexicon, "word", "left").select("slice", "place", answer.alias("answer"))
 
     def answered(run: pa.Table, answer: pa.Table) -> pa.Table:
         places = answer.column("place").to_numpy()
         n, kinds = np.zeros(len(places), dtype="<i8"), np.zeros(len(places), dtype="<i4")
-        n[places] = answer.column("n").to_numpy()
-        kinds[places] = answer.column("class").to_numpy()
+        n[places] = answer.column("answer").to_numpy() >> 16
+        kinds[places] = answer.column("answer").to_numpy() & 0xFFFF
         for name, values in (("n", n), ("kinds", kinds)):
             run = run.append_column(name, pa.array([values.tobytes()], pa.binary()))
         return run.drop_columns(["slice"])

@@ -150,7 +150,7 @@ def test_scores_by_brute_force(documents, monkeypatch, split):
     docs = [
         (k, " ".join(parts[i % 3][int(len(parts[0]) * random.random() ** 2)] for i in range(random.integers(0, 25))))
         for k in range(120)
-    ] + [(120, None), (121, "New words only"), (122, "adj0ing " * 50)]
+    ] + [(120, None), (121, "New words only"), (122, "adj0ing " * 50), (123, "often " * 700)]
     rows = class_model.score_texts(documents(docs), remainder(7) == 2, 12, 4, 5, 2).collect()
     got = {r.doc_id: r.score for r in rows}
     assert len(rows) == len(docs)
