@@ -296,7 +296,11 @@ def _contexts(
             before, after = classes[inner - 1], classes[inner + 1]
             before[inner == 0] = end
             at = codes[inner] << 16
-            keys, counts = np.unique(np.concatenate((at | before, at | (end + 1 + after))), return_counts=True)
+            keys = np.concatenate((at | before, at | (end + 1 + after)))
+            del classes, codes, inner, before, after, at  # some hundred MB before sorting
+            keys.sort()
+            heads = np.flatnonzero(np.diff(keys, prepend=-1))
+            counts, keys = np.diff(np.append(heads, len(keys))), keys[heads]
             seen, at = _seen(keys, counts)
             words = pa.array(row["words"], pa.string()).take(pa.array(at))
             for low in range(0, len(at), 65536):
