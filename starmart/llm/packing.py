@@ -67,27 +67,28 @@ def cut_documents(
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1)
             for low, ids, offsets in encode.documents(texts, end_id):
-                data = ids.astype("<u4").tobytes()
+                values = np.ascontiguousarray(ids, "<u4")
+                data = memoryview(values).cast("B") if len(values) else b""
                 rows: list[tuple] = []
                 for i, at in enumerate(offsets[:-1].tolist()):
                     size, start = int(offsets[i + 1]) - at, 0
                     key = keys[low + i].as_py()
                     for length in cut_sizes(size, capacity, max_waste):
                         first = 4 * (at + start)
-                        piece = data[first : first + 4 * length]
-                        name = xxhash.xxh3_64_intdigest(b"%d,%d," % (key or 0, start) + piece)
+                        seed = xxhash.xxh3_64_intdigest(b"%d,%d" % (key or 0, start))
+                        name = xxhash.xxh3_64_intdigest(data[first : first + 4 * length], seed)
                         deal = xxhash.xxh3_64_intdigest(b"%d,%d" % (name, met[name])) >> 1
                         met[name] += 1
-                        rows.append((key, start, length, size, piece, deal))
+                        rows.append((key, start, length, size, deal))
                         start += length
                 if rows:
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(column, pa.binary() if i == 4 else pa.int64())
-                            for i, column in enumerate(zip(*rows))
-                        ],
-                        names=_PIECES.names,
-                    )
+                    columns = [pa.array(column, pa.int64()) for column in zip(*rows)]
+                    # Pieces lie one after the other in the ids of the slice: no copies of them.
+                    ends = np.cumsum([0, *(row[2] for row in rows)], dtype=np.int64)
+                    buffers = [None, pa.py_buffer(4 * (int(offsets[0]) + ends)), pa.py_buffer(values)]
+                    pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(rows), buffers)
+                    columns.insert(4, pieces.cast(pa.binary()))
+                    yield pa.RecordBatch.from_arrays(columns, names=_PIECES.names)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(cut, _PIECES)
 
