@@ -1,15 +1,18 @@
-"""Main text of web pages, boilerplate found with a suffix array per host."""
+"""Main text of web pages, boilerplate found with the suffix array of each host."""
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
 from html import unescape
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,8 +54,9 @@ _WORDS = re.compile(r"[a-z]+")
 _HUMPS = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)"
 
-# A host up to this size is compared in one task.
-GROUP_PAGES, _GROUP_CHARS = 256, 16_000_000
+# Pages and characters of which a task sorts the suffixes; a host beyond either is dealt to several lots.
+GROUP_PAGES, _GROUP_CHARS = 16_384, 16_000_000
+_CHROME_BIT, _CONTENT_BIT = 1, 2
 _RESULT = T.StructType(
     [
         T.StructField("page_id", T.LongType()),
@@ -189,12 +193,11 @@ def _close_implied(stack: list[_Open], name: str) -> None:
             return
 
 
-def covered(streams: list[np.ndarray], depth: int) -> list[np.ndarray]:
-    """Which tokens of each page lie in a run of ``depth`` tokens that another page has too.
+def suffix_array(streams: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All suffixes by their first ``depth`` tokens, where each rank begins, and their streams.
 
-    ``depth`` is a power of two. The suffixes of all pages, one after the other, are
-    ranked by their first tokens, twice as many each round; suffixes of equal rank share
-    ``depth`` tokens, and of a rank found in two pages every suffix starts such a run.
+    ``depth`` is a power of two. The suffixes of all streams, one after the other and each closed by an end of
+    its own, are ranked by their first tokens, twice as many each round.
     """
     sizes = [len(s) for s in streams]
     total = sum(sizes) + len(streams)
@@ -212,103 +215,146 @@ def covered(streams: list[np.ndarray], depth: int) -> list[np.ndarray]:
         _, rank = np.unique(rank * (total + len(streams) + rank.max() + 2) + later, return_inverse=True)
         length *= 2
     suffixes = np.argsort(rank, kind="stable")
-    ranks, pages = rank[suffixes], page[suffixes]
-    heads = np.flatnonzero(np.diff(ranks, prepend=-1))
+    return suffixes, np.flatnonzero(np.diff(rank[suffixes], prepend=-1)), page[suffixes]
+
+
+def covered(
+    streams: list[np.ndarray], depth: int, elsewhere: Callable[[np.ndarray], np.ndarray] | None = None
+) -> list[np.ndarray]:
+    """Which tokens of each page lie in a run of ``depth`` tokens that another page has too.
+
+    Suffixes of equal rank share ``depth`` tokens, and of a rank found in two pages every suffix
+    starts such a run. ``elsewhere`` tells of which ranks, given by a suffix of each, other lots have runs.
+    """
+    suffixes, heads, pages = suffix_array(streams, depth)
+    total = len(suffixes)
     several = np.minimum.reduceat(pages, heads) != np.maximum.reduceat(pages, heads)
+    if elsewhere is not None:
+        several |= elsewhere(suffixes[heads])
     starts = suffixes[np.repeat(several, np.diff([*heads, total]))]
     edges = np.zeros(total + depth + 1, dtype=np.int64)
     np.add.at(edges, starts, 1)
     np.add.at(edges, starts + depth, -1)
     inside = np.cumsum(edges)[:total] > 0
-    cuts = np.cumsum([n + 1 for n in sizes])[:-1]
+    cuts = np.cumsum([len(s) + 1 for s in streams])[:-1]
     return [run[:-1] for run in np.split(inside, cuts)]
 
 
-def _text(page: list[Block], repeated: np.ndarray, share: float) -> str:
-    """Main text of a page, of whose words ``repeated`` are on other pages too."""
-    article = _has_article(page)
-    ends = np.cumsum([len(block.words) for block in page])
-    upto = np.concatenate(([0], np.cumsum(repeated)))
-    kept = []
-    for block, end in zip(page, ends):
-        size = len(block.words)
-        common = upto[end] - upto[end - size]
-        if not block.chrome and (block.content if article else common < share * size):
-            kept.append(" ".join(block.words))
-    return "\n".join(kept)
-
-
-def _has_article(page: list[Block]) -> bool:
-    return any(block.content and not block.chrome for block in page)
-
-
-def _is_open(page: list[Block]) -> bool:
-    """Whether the main text depends on other pages: there is no article, but some unnamed block."""
-    return not _has_article(page) and any(not block.chrome for block in page)
-
-
-def main_texts(pages: list[list[Block]], depth: int = 8, share: float = 0.5) -> list[str]:
-    """Main text of each page of a host.
-
-    The visible words of all distinct pages make one token sequence, in which ``covered`` finds what
-    pages repeat. A block outside articles goes if ``share`` of its words is covered, or if
-    its element names it a menu, header, footer, sidebar, notice, advert, form or comments;
-    what stays are the page's unique runs. Where these lie in an article or main element, that is
-    the main text: all of its blocks but named ones stay, also passages that other pages quote,
-    and unique runs outside go.
-    """
-    place: dict[str, int] = {}
-    distinct: dict[tuple, int] = {}
-    streams: list[np.ndarray] = []
-    of_page = []
-    for page in pages:
-        words = [place.setdefault(w, len(place)) for block in page for w in block.words]
-        key = tuple(words)
-        if key not in distinct:
-            distinct[key] = len(streams)
-            streams.append(np.array(words, dtype=np.int64))
-        of_page.append(distinct[key])
-    repeated = covered(streams, depth) if len(streams) > 1 else [np.zeros(len(s), bool) for s in streams]
-    return [_text(page, repeated[stream], share) for page, stream in zip(pages, of_page)]
+def _stays(sizes: np.ndarray, common: np.ndarray, kinds: np.ndarray, share: float) -> np.ndarray:
+    """Which blocks of a page are its main text; ``common`` of their words are on other pages too."""
+    plain = kinds & _CHROME_BIT == 0
+    inside = plain & (kinds & _CONTENT_BIT > 0)
+    own = common < share * sizes
+    outside = plain & ~inside & own
+    article = inside.any() and ((inside & own).any() or sizes[outside].sum() <= sizes[inside].sum())
+    return inside if article else outside
 
 
 def _digest(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
 
 
-def _page_key(page: list[Block]) -> int:
-    """The same for pages of equal words."""
-    return _digest(" ".join(word for block in page for word in block.words)) >> 1
-
-
-def _runs(page: list[Block], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit key of the ``depth`` words from each place on, and whether an unnamed block has any."""
-    digest: dict[str, int] = {}
-    for block in page:
-        for word in block.words:
-            if word not in digest:
-                digest[word] = _digest(word)
-    words = np.array([digest[w] for block in page for w in block.words], dtype=np.uint64)
-    count = max(0, len(words) - depth + 1)
-    key = np.zeros(count, dtype=np.uint64)
-    for k in range(depth):
-        key = (key ^ words[k : k + count]) * np.uint64(0x9E3779B97F4A7C15)
-        key ^= key >> np.uint64(29)
-    unnamed = np.repeat([not block.chrome for block in page], [len(block.words) for block in page])
-    upto = np.concatenate(([0], np.cumsum(unnamed)))
-    return key.view(np.int64), upto[depth : depth + count] > upto[:count]
+class _Lot:
+    """Pages of a host: their blocks as lines, their words as numbers."""
+
+    def __init__(self, rows: pa.Table, depth: int):
+        self._depth = depth
+        lines = pc.split_pattern(rows.column("body").combine_chunks().cast(pa.large_string()), "\n")
+        self._lines = lines.flatten()
+        words = pc.split_pattern(self._lines, " ")
+        encoded = words.flatten().dictionary_encode()
+        self._dictionary, codes = encoded.dictionary, np.asarray(encoded.indices).astype(np.int64)
+        self._pages, self._blocks = (np.asarray(x.offsets, dtype=np.int64) for x in (lines, words))
+        self._kinds = np.frombuffer(b"".join(rows.column("kinds").to_pylist()), np.uint8)
+        self._streams: list[np.ndarray] = []
+        self._stream_of: list[int] = []
+        distinct: dict[bytes, int] = {}
+        bounds = self._blocks[self._pages]
+        for low, high in zip(bounds, bounds[1:]):
+            key = codes[low:high].tobytes()
+            if key not in distinct:
+                distinct[key] = len(self._streams)
+                self._streams.append(codes[low:high])
+            self._stream_of.append(distinct[key])
+
+    def _names(self) -> tuple[np.ndarray, np.ndarray]:
+        """A 64-bit name of the words from each place on, and whether they are within a page."""
+        digests = [_digest(word) for word in self._dictionary.to_pylist()]
+        digests = np.array([*digests, 0], dtype=np.uint64)
+        sizes = np.array([len(s) + 1 for s in self._streams])
+        words = digests[np.concatenate([x for s in self._streams for x in (s, [-1])]).astype(np.int64)]
+        ends = np.repeat(np.cumsum(sizes), sizes)
+        within = np.arange(len(words)) + self._depth < ends
+        words = np.append(words, np.zeros(self._depth, dtype=np.uint64))
+        name = np.zeros(len(within), dtype=np.uint64)
+        for k in range(self._depth):
+            name = (name ^ words[k : k + len(name)]) * np.uint64(0x9E3779B97F4A7C15)
+            name ^= name >> np.uint64(29)
+        return name, within
+
+    def runs(self) -> np.ndarray:
+        """Names of all distinct runs, in order."""
+        name, within = self._names()
+        suffixes, heads, _ = suffix_array(self._streams, self._depth)
+        first = suffixes[heads]
+        return np.unique(name[first[within[first]]])
+
+    def texts(self, share: float, repeated: np.ndarray | None = None) -> list[str]:
+        """The main text of each page; ``repeated`` runs are also those of other lots."""
+        elsewhere = None
+        if repeated is not None and len(repeated):
+            name, within = self._names()
+            elsewhere = lambda first: within[first] & np.isin(name[first], repeated)
+        if len(self._streams) > 1 or elsewhere:
+            inside = covered(self._streams, self._depth, elsewhere)
+        else:
+            inside = [np.zeros(len(s), dtype=bool) for s in self._streams]
+        lines, texts = self._lines.to_pylist(), []
+        for low, high, stream in zip(self._pages, self._pages[1:], self._stream_of):
+            ends = self._blocks[low : high + 1] - self._blocks[low]
+            common = np.diff(np.concatenate(([0], np.cumsum(inside[stream])))[ends])
+            stays = _stays(np.diff(ends), common, self._kinds[low:high], share)
+            texts.append("\n".join(compress(lines[low:high], stays)))
+        return texts
+
+
+def _packed(names: np.ndarray) -> bytes:
+    """Sorted names, compressed by place value."""
+    return zstandard.compress(names.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), 3)
+
+
+def _unpacked(names: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(names), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def _written(pages: pa.RecordBatch) -> bytes:
+    """Pages of one batch and lot, compressed together."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, pages.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(pages)
+    return sink.getvalue().to_pybytes()
+
+
+def _read(rows: pa.Table) -> pa.Table:
+    """The pages of a lot."""
+    return pa.concat_tables(pa.ipc.open_stream(x).read_all() for x in rows.column("pages").to_pylist())
 
 
 def extract_main_text(pages: DataFrame, depth: int = 8, share: float = 0.5) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row of ``page_id, url, html``.
 
     Elements that class, id or role name boilerplate go (``_hint`` says which); one that holds the page's
-    only article does not. A page with an article, or with named elements only, is decided alone. All others are compared with
-    every page of their host (of the url, lower case; null or without one: the empty host). A
-    host of at most 256 pages and 16 million characters is brought together, and ``main_texts`` finds what its
-    pages share. Of a larger one no task sees all pages: the keys of all runs of ``depth`` words are
-    counted by distinct page, and those of several pages joined back to the places where they stand.
-    Both ways give the same texts.
+    only article does not. Every page is compared with all pages of its host (of the url, lower case;
+    null or without one: the empty host): the words of the host's distinct pages are one sequence,
+    in whose suffix array runs of ``depth`` words that several pages have stand together. A block is repeated if
+    ``share`` of its words lie in such runs. The main text is the article or main element, with passages that other
+    pages quote too; but not one of which every block is repeated (a promotion, a teaser) on a page with more words in
+    unnamed blocks of its own: then, as without an article, these are the main text.
+
+    Hosts over ``GROUP_PAGES`` pages or 16 million characters are dealt to lots, equal pages to one. The
+    suffixes of each lot are sorted alone, then the lots' runs, by names of 64 bits, are merged in
+    buckets: runs of several lots are repeated in each. So results depend on no lot's size.
 
     White space within a block becomes one blank, blocks are joined by a line feed, references are
     decoded; nothing else is changed, and pages are never cut. A null or empty html, and a page
@@ -323,121 +369,79 @@ def extract_main_text(pages: DataFrame, depth: int = 8, share: float = 0.5) -> D
         url.alias("url"),
         F.col("html").cast("string").alias("html"),
     )
+    lots = F.greatest(
+        F.ceil(F.count("*") / max(1, GROUP_PAGES)),
+        F.ceil(F.coalesce(F.sum(F.length("html")), F.lit(0)) / _GROUP_CHARS),
+    )
+    sizes = rows.groupBy("host").agg(lots.cast("int").alias("lots")).filter("lots > 1")
+    sizes.write.parquet(f"{folder}/hosts")
+    large = spark.read.parquet(f"{folder}/hosts")  # a row for each 16 million characters at most
 
-    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            htmls = batch.column(3).to_pylist()
-            texts, keys = [], []
-            for html in htmls:
-                page = blocks(html or "")
-                waits = _is_open(page)
-                texts.append(None if waits else _text(page, np.zeros(sum(len(b.words) for b in page)), share))
-                keys.append(_page_key(page) if waits else None)
-            left = [html if text is None else None for html, text in zip(htmls, texts)]
-            sizes = [None if text is None else len(text) for text in texts]
+            bodies, kinds, lot = [], [], []
+            for html, lots in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
+                page = blocks(html or "") or [Block([""], True, False)]
+                body = "\n".join(" ".join(block.words) for block in page)
+                bodies.append(body)
+                kinds.append(bytes(_CHROME_BIT * b.chrome + _CONTENT_BIT * b.content for b in page))
+                lot.append(_digest(body.replace("\n", " ")) % lots if lots > 1 else 0)
+            table = pa.RecordBatch.from_arrays(
+                [batch.column(1), batch.column(2), pa.array(bodies, pa.string()), pa.array(kinds, pa.binary())],
+                names=["page_id", "url", "body", "kinds"],
+            )
+            together: dict[tuple, list[int]] = {}
+            for i, key in enumerate(zip(batch.column(0).to_pylist(), lot, batch.column(4).to_pylist())):
+                together.setdefault(key, []).append(i)
+            columns = [*zip(*together), [_written(table.take(pa.array(at))) for at in together.values()]]
+            types = (pa.string(), pa.int32(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[:3],
-                    pa.array(texts, pa.string()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(left, pa.string()),
-                    pa.array(keys, pa.int64()),
-                ],
-                names=["host", "page_id", "url", "text", "n_chars", "html", "page"],
+                [pa.array(column, kind) for column, kind in zip(columns, types)],
+                names=["host", "lot", "lots", "pages"],
             )
 
-    kinds = "host string, page_id long, url string, text string, n_chars long, html string, page long"
-    rows.mapInArrow(settle, kinds).write.option("compression", "zstd").parquet(f"{folder}/pages")
-    seen = spark.read.parquet(f"{folder}/pages")
-    done = seen.filter(F.col("text").isNotNull()).select(*_RESULT.names)
-    waiting = seen.filter(F.col("text").isNull())
-    if waiting.isEmpty():
-        return done
-
-    sizes = (
-        rows.join(waiting.select("host").distinct(), "host", "left_semi")
-        .groupBy("host")
-        .agg(F.count("*").alias("n"), F.sum(F.length("html")).alias("chars"))
-    )
-    fits = (F.col("n") <= GROUP_PAGES) & (F.coalesce("chars", F.lit(0)) <= _GROUP_CHARS)
-    sizes.select("host", fits.alias("fits")).write.parquet(f"{folder}/hosts")
-    hosts = spark.read.parquet(f"{folder}/hosts")
-    small, large = hosts.filter("fits").select("host"), hosts.filter("not fits").select("host")
-
-    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, keys, parsed = None, [], []
-        for batch in batches:
-            for host, page_id, url, html in zip(*(column.to_pylist() for column in batch.columns)):
-                if keys and host != group:
-                    yield _batch(keys, parsed, main_texts(parsed, depth, share))
-                    keys, parsed = [], []
-                group = host
-                keys.append((page_id, url))
-                parsed.append(blocks(html or ""))
-        if keys:
-            yield _batch(keys, parsed, main_texts(parsed, depth, share))
-
-    order = ["host", "page_id", "url", F.xxhash64("html")]
-    of_small = rows.join(small, "host", "left_semi").select("host", "page_id", "url", "html")
-    of_small = of_small.repartition("host").sortWithinPartitions(*order).mapInArrow(together, _RESULT)
-
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for site, html in zip(*(column.to_pylist() for column in batch.columns)):
-                page = blocks(html or "")
-                run, unnamed = _runs(page, depth)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(run), site, dtype=np.int64)),
-                        pa.array(np.full(len(run), _page_key(page), dtype=np.int64)),
-                        pa.array(run),
-                        pa.array(np.arange(len(run), dtype=np.int64)),
-                        pa.array(unnamed & _is_open(page)),
-                    ],
-                    names=["site", "page", "run", "place", "asks"],
-                )
-
-    site = F.xxhash64("host").alias("site")
-
-    def runs(some: DataFrame) -> DataFrame:
-        found = some.join(large, "host", "left_semi").select(site, "html")
-        return found.mapInArrow(find, "site long, page long, run long, place long, asks boolean")
-
-    counted = runs(rows).groupBy("site", "run")
-    counted = counted.agg(F.min("page").alias("least"), F.max("page").alias("most"), F.max("asks").alias("asks"))
-    repeated = counted.filter("asks and least < most").select("site", "run")
-    places = (
-        runs(waiting)
-        .filter("asks")
-        .join(repeated, ["site", "run"], "left_semi")
-        .groupBy("site", "page")
-        .agg(F.collect_set("place").alias("places"))
-    )
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for page_id, url, html, starts in zip(*(column.to_pylist() for column in batch.columns)):
-                page = blocks(html)
-                edges = np.zeros(sum(len(block.words) for block in page) + 1, dtype=np.int64)
-                at = np.array(starts or [], dtype=np.int64)
-                edges[at] += 1
-                edges[at + depth] -= 1
-                yield _batch([(page_id, url)], [page], [_text(page, np.cumsum(edges)[:-1] > 0, share)])
-
-    asking = waiting.join(large, "host", "left_semi").select("page_id", "url", "html", site, "page")
-    of_large = asking.join(places, ["site", "page"], "left").select("page_id", "url", "html", "places")
-    return done.union(of_small).union(of_large.mapInArrow(finish, _RESULT))
-
-
-def _batch(keys: list[tuple], parsed: list[list[Block]], texts: list[str]) -> pa.RecordBatch:
-    """The rows of pages that are not decided alone."""
-    rows = [(*key, text) for key, page, text in zip(keys, parsed, texts) if _is_open(page)]
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([row[0] for row in rows], pa.int64()),
-            pa.array([row[1] for row in rows], pa.string()),
-            pa.array([row[2] for row in rows], pa.string()),
-            pa.array([len(row[2]) for row in rows], pa.int64()),
-        ],
-        names=_RESULT.names,
-    )
+    def parsed(some: DataFrame) -> DataFrame:
+        ordered = some.select("host", "page_id", "url", "html", "lots")
+        return ordered.mapInArrow(parse, "host string, lot int, lots int, pages binary")
+
+    def result(rows: pa.Table, texts: list[str]) -> pa.Table:
+        sizes = [len(text) for text in texts]
+        columns = [rows.column("page_id"), rows.column("url"), pa.array(texts, pa.string()), pa.array(sizes, pa.int64())]
+        return pa.table(columns, names=_RESULT.names)
+
+    def alone(rows: pa.Table) -> pa.Table:
+        rows = _read(rows)
+        return result(rows, _Lot(rows, depth).texts(share))
+
+    small = rows.join(F.broadcast(large), "host", "left_anti").withColumn("lots", F.lit(1))
+    texts = parsed(small).groupBy("host", "lot").applyInArrow(alone, _RESULT)
+    if large.isEmpty():
+        return texts
+
+    def name(key: tuple, rows: pa.Table) -> pa.Table:
+        lots = rows.column("lots")[0].as_py()
+        runs = _Lot(_read(rows), depth).runs()
+        bucket = (runs % np.uint64(lots)).astype(np.int32)
+        some = np.unique(bucket)
+        packed = [_packed(runs[bucket == b]) for b in some]
+        keys = [pa.array([k.as_py()] * len(some), kind) for k, kind in zip(key, (pa.string(), pa.int32()))]
+        return pa.table([*keys, pa.array(some), pa.array(packed, pa.binary())], names=["host", "lot", "bucket", "runs"])
+
+    def merge(key: tuple, rows: pa.Table) -> pa.Table:
+        runs = [_unpacked(x) for x in rows.column("runs").to_pylist()]
+        names, count = np.unique(np.concatenate(runs), return_counts=True)
+        several = names[count > 1]
+        found = [_packed(x[np.isin(x, several)]) for x in runs]
+        host = pa.array([key[0].as_py()] * len(found), pa.string())
+        return pa.table([host, rows.column("lot"), pa.array(found, pa.binary())], names=["of_host", "of_lot", "runs"])
+
+    def beside(rows: pa.Table, runs: pa.Table) -> pa.Table:
+        repeated = [_unpacked(x) for x in runs.column("runs").to_pylist()]
+        rows = _read(rows)
+        return result(rows, _Lot(rows, depth).texts(share, np.concatenate(repeated) if repeated else None))
+
+    dealt = parsed(rows.join(F.broadcast(large), "host"))
+    runs = dealt.groupBy("host", "lot").applyInArrow(name, "host string, lot int, bucket int, runs binary")
+    repeated = runs.groupBy("host", "bucket").applyInArrow(merge, "of_host string, of_lot int, runs binary")
+    of_large = dealt.groupBy("host", "lot").cogroup(repeated.groupBy("of_host", "of_lot"))
+    return texts.union(of_large.applyInArrow(beside, _RESULT))

@@ -185,3 +185,20 @@ def test_query(spark):
         parts = [re.sub(r"<[^>]*>", " ", part) for part in re.split(r"</?(?:p|h1)>", article)]
         expected = [" ".join(unescape(part).split()) for part in parts]
         assert texts[row.page_id] == "\n".join(part for part in expected if part)
+
+
+@pytest.mark.parametrize("most", [2, 10_000])
+def test_an_article_that_all_pages_share_is_no_main_text(table, monkeypatch, most):
+    """The suffix array decides on pages with an article too, alike for hosts of one lot and of many."""
+    monkeypatch.setattr(pages, "GROUP_PAGES", most)
+    promo = "<article><h2>Our shop of the year</h2><p>Visit us today and buy two for the price of one.</p></article>"
+    rows = [(i, "http://p.example/", f"<body>{promo}<div><p>{own(i)}</p></div>") for i in range(9)]
+    story = "<article><p>" + own(77, 30) + "</p></article>"
+    rows += [(i, "http://p.example/", f"<body>{story}<div><p>Seen {i} times</p></div>") for i in (20, 21)]
+    rows += [(30, "http://q.example/", f"<body>{promo}<div><p>{own(30)}</p></div>")]
+    got = {r.page_id: r.text for r in pages.extract_main_text(table(rows)).collect()}
+    assert got == {
+        **{i: own(i) for i in range(9)},
+        **{i: own(77, 30) for i in (20, 21)},
+        30: "Our shop of the year\nVisit us today and buy two for the price of one.",
+    }
