@@ -16,6 +16,7 @@ from starmart.llm.vectors import matrix, usable
 from starmart.plans import scratch_folder
 
 _BLOCK = 1024
+_SCALE = 6.0
 # Twice the 240 shortest vectors of the lattice: pairs of ones, and halves with an even sign.
 _PAIRS = [
     [s if k == i else t if k == j else 0 for k in range(8)]
@@ -55,12 +56,12 @@ def _cell_keys(cells: np.ndarray, table: int) -> np.ndarray:
 class LatticeTables:
     """Random projections to 8 dimensions, scaled so that cells hold few vectors.
 
-    ``scale`` grows with the 8th root of the number of vectors and stays at 6 from 50,000 on: in
-    smaller cells near vectors would more and more seldom be neighbours.
+    The scale is one for all tables, so that a pair is found or not whatever the number of vectors
+    (``count`` is not used). In smaller cells near vectors would seldom be neighbours.
     """
 
     def __init__(self, width: int, count: int, tables: int, probes: int, seed: int):
-        scale = min(6.0, max(3.0, 6 * (count / 50_000) ** 0.125)) * sqrt(max(width, 8) / 64)
+        scale = _SCALE * sqrt(max(width, 8) / 64)
         random = np.random.default_rng(seed)
         self._maps = [
             np.linalg.qr(random.normal(size=(max(width, 8), 8)))[0][:width] * scale

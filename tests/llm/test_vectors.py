@@ -80,6 +80,13 @@ def test_pairs_at_the_threshold_are_found_in_large_tables(width):
         assert found.mean() >= 0.985
 
 
+def test_found_pairs_do_not_depend_on_the_number_of_vectors():
+    x = unit(np.random.default_rng(4).normal(size=(500, 24)))
+    few, many = (lattice.LatticeTables(24, count, tables=6, probes=8, seed=0) for count in (500, 5_000_000))
+    for (own, around), (home, near) in zip(few.keys(x), many.keys(x)):
+        assert (own == home).all() and (around == near).all()
+
+
 def unit(rows):
     return rows / np.linalg.norm(rows, axis=-1, keepdims=True)
 
