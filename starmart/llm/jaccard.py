@@ -27,6 +27,8 @@ _MULTIPLIERS = np.array(
 REGION_ENTRIES = 6_000_000
 _PART_ENTRIES = 500_000
 _PIVOTS, _SPLITS = 8, 3
+# How often sets without enough keys in common with others are left out.
+_ROUNDS = 2
 # Links of a pivot from which on the windows of all other sets are worth looking at.
 _DENSE = 8
 
@@ -78,6 +80,10 @@ class Signatures:
     border of two classes also give the keys of the border. Spare buckets make up for those empty in
     both sets; a set with more empty buckets than spare ones adds the elements that its
     similarity cannot do without (all but the largest ``ceil(near * size) - 1``).
+
+    With spare buckets more than one is equal: each that is neither differing nor empty in both. A set
+    needs as many keys in common with another as ``signed`` says; the last two bits of a key tell to
+    which of the set's sizes or borders it belongs.
     """
 
     def __init__(self, near: Fraction):
@@ -108,7 +114,11 @@ class Signatures:
                 yield 2 * border + 1, *self._buckets(least, below + above)
 
     def of(self, shingles: np.ndarray) -> np.ndarray:
-        size, found, poor = len(shingles), [], False
+        return self.signed(shingles)[0]
+
+    def signed(self, shingles: np.ndarray) -> tuple[np.ndarray, int]:
+        """The keys of a set, and how many it needs of each kind: six bits for each value of a key's last two."""
+        size, found, needs, poor = len(shingles), [], [1] * 4, False
         with np.errstate(over="ignore"):
             for key, buckets, spare in self._keys(size):
                 bucket = (shingles >> np.uint64(16)) % np.uint64(buckets)
@@ -116,12 +126,16 @@ class Signatures:
                 inside = bucket[order]
                 heads = np.flatnonzero(np.diff(inside, prepend=np.uint64(buckets)))
                 sums = np.add.reduceat(_mix(shingles[order] + np.uint64(key)), heads)
-                found.append(_mix(sums + (inside[heads] << np.uint64(16)) * _MULTIPLIERS[2]))
-                poor |= buckets - len(heads) > spare
+                names = _mix(sums + (inside[heads] << np.uint64(16)) * _MULTIPLIERS[2])
+                found.append(names & ~np.uint64(3) | np.uint64(key % 4))
+                empty = buckets - len(heads)
+                needs[key % 4] = min(63, max(1, spare + 1 - empty))
+                poor |= empty > spare
             if poor:
                 needed = size - ceil(self._near * size) + 1
                 found.append(_mix(shingles[:needed] ^ _MULTIPLIERS[3]))
-        return np.concatenate(found).view(np.int64)
+                needs = [1] * 4
+        return np.concatenate(found).view(np.int64), sum(n << 6 * i for i, n in enumerate(needs))
 
 
 def near_classes(
@@ -357,30 +371,53 @@ def _class_table(
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signatures = Signatures(near)
         for batch in batches:
-            fps, keys = [], []
+            fps, keys, needs = [], [], []
             with np.errstate(over="ignore"):
                 for _, found in _sets(batch.column(0), shingle_words):
                     if len(found):
                         fps.append(_fingerprint(found))
-                        keys.append(signatures.of(found))
-                    if sum(map(len, keys[-1:])) and len(keys) >= 2000:
-                        yield _listed(fps, keys)
-                        fps, keys = [], []
+                        key, need = signatures.signed(found)
+                        keys.append(key)
+                        needs.append(need)
+                    if len(keys) >= 2000:
+                        yield _listed(fps, keys, needs)
+                        fps, keys, needs = [], [], []
             if keys:
-                yield _listed(fps, keys)
+                yield _listed(fps, keys, needs)
 
-    def _listed(fps: list[bytes], keys: list[np.ndarray]) -> pa.RecordBatch:
+    def _listed(fps: list[bytes], keys: list[np.ndarray], needs: list[int]) -> pa.RecordBatch:
         offsets = np.concatenate(([0], np.cumsum([len(k) for k in keys]))).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys)))
-        return pa.RecordBatch.from_arrays([pa.array(fps, pa.binary()), lists], names=["fp", "keys"])
-
-    # Regions are found over 64-bit names of the sets: rows of signatures are many, and names half of each.
-    name = F.xxhash64("fp").alias("name")
-    signed = texts.select("text").mapInArrow(sign, "fp binary, keys array<long>")
-    once = signed.select(name, "keys").groupBy("name").agg(F.first("keys").alias("keys"))
+        columns = [pa.array(fps, pa.binary()), lists, pa.array(needs, pa.int32())]
+        return pa.RecordBatch.from_arrays(columns, names=["fp", "keys", "needs"])
+
+    # Regions are found over names of the sets, of 58 bits: rows of signatures are many, and names half of
+    # each. The other six bits say how many keys of its kind a set needs in common with others.
+    name = F.xxhash64("fp").bitwiseAND(F.lit(-64)).alias("name")
+    signed = texts.select("text").mapInArrow(sign, "fp binary, keys array<long>, needs int")
+    once = signed.groupBy(F.xxhash64("fp").alias("full")).agg(
+        F.first(F.struct("keys", "needs")).alias("first")
+    )
+    need = F.expr("shiftright(needs, CAST(6 * (key & 3) AS INT)) & 63").cast("long")
+    rows = (
+        once.select("full", "first.needs", F.explode("first.keys").alias("key"))
+        .select(F.col("full").bitwiseAND(F.lit(-64)).bitwiseOR(need).alias("set"), "key")
+    )
     together = Window.partitionBy("key")
+
+    def several(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_n", F.count("*").over(together)).filter("_n > 1").drop("_n")
+
+    several(rows).write.parquet(f"{folder}/shared-0")
+    # A set with fewer keys in common with others than it needs links to none of them; nor do its keys count then.
+    for number in range(1, _ROUNDS + 1):
+        shared = spark.read.parquet(f"{folder}/shared-{number - 1}")
+        kind = Window.partitionBy("set", F.expr("key & 3"))
+        enough = shared.withColumn("_n", F.count("*").over(kind)).filter("_n >= (set & 63)").drop("_n")
+        several(enough).write.parquet(f"{folder}/shared-{number}")
+    shared = spark.read.parquet(f"{folder}/shared-{_ROUNDS}")
     candidates = (
-        once.select("name", F.explode("keys").alias("key"))
+        shared.select(F.col("set").bitwiseAND(F.lit(-64)).alias("name"), "key")
         .withColumn("b", F.min("name").over(together))
         .filter(F.col("name") != F.col("b"))
         .select(F.col("name").alias("a"), "b")

@@ -132,3 +132,36 @@ def test_components_of_paths_and_stars(spark):
     label = {r.node: r.label for r in components(frame, scratch_folder(spark)).collect()}
     assert {label[i] for i in range(1, 61)} == {1}
     assert {label[i] for i in [100, *range(200, 260)]} == {100}
+
+
+@given(st.integers(1, 400), st.randoms(use_true_random=False), st.sampled_from([Fraction(4, 5), Fraction(17, 20)]))
+@settings(max_examples=300, deadline=None)
+def test_linked_sets_share_as_many_signatures_as_they_need(size, draw, near):
+    signatures = jaccard.Signatures(near)
+    a = {draw.getrandbits(64) for _ in range(size)}
+    b = set(a)
+    for x in draw.sample(sorted(a), k=draw.randrange(0, max(1, size // 5))):
+        if draw.random() < 0.7:
+            b.discard(x)
+        if draw.random() < 0.7:
+            b.add(draw.getrandbits(64))
+    if b and len(a & b) >= near * len(a | b):
+        (keys, need), (others, other_need) = (signatures.signed(np.array(sorted(s), np.uint64)) for s in (a, b))
+        shared = set(keys.tolist()) & set(others.tolist())
+        for needs in (need, other_need):
+            assert any(sum(k & 3 == i for k in shared) >= needs >> 6 * i & 63 for i in range(4))
+
+
+def test_texts_that_share_a_passage_are_no_region(documents, tmp_path, monkeypatch):
+    """Some buckets hold nothing but the passage; a link needs more of them."""
+    monkeypatch.setattr(jaccard, "scratch_folder", lambda spark: str(tmp_path))
+    random.seed(3)
+    passage = " ".join(f"p{k}" for k in range(15))
+    rows = [(i, " ".join([passage, *(f"w{random.randrange(10**6)}" for _ in range(85))])) for i in range(200)]
+    rows += [(300 + i, rows[i][1] + " and more") for i in range(10)]
+    docs = documents(rows)
+    assert found(docs, 4, Fraction(4, 5)) == expected(rows, 4, Fraction(4, 5))
+    read = docs.sparkSession.read.parquet
+    some = read(f"{tmp_path}/shared-0").selectExpr("set & -64 AS name").distinct().count()
+    left = read(f"{tmp_path}/candidates").selectExpr("explode(array(a, b)) AS name").distinct().count()
+    assert 20 <= left < some / 2
