@@ -201,11 +201,18 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int = 8) -> np.ndarray:
     return of
 
 
-def _types(counts: DataFrame, words: int, endings: int) -> tuple[dict[str, int], tuple[str, ...]]:
-    """The most frequent words with their counts; those and the most frequent endings."""
-    rows = counts.orderBy(F.col("n").desc(), "word").limit(words).collect()
-    frequent = {r.word: r.n for r in rows}
-    sums = counts.groupBy(_ending().alias("ending")).agg(F.sum("n").alias("n"))
+def _types(listed: DataFrame, words: int, endings: int) -> tuple[dict[str, int], tuple[str, ...]]:
+    """The most frequent words with their counts; those and the most frequent endings.
+
+    ``listed`` has ``word, n`` of each run. Words are added up by 64-bit names, which are shorter to
+    shuffle; equal counts at the border go to the lowest name.
+    """
+    name = F.xxhash64("word")
+    totals = listed.groupBy(name.alias("name")).agg(F.sum("n").alias("n"))
+    names = [r.name for r in totals.orderBy(F.col("n").desc(), "name").limit(words).collect()]
+    chosen = listed.filter(name.isin(names)).groupBy("word").agg(F.sum("n").alias("n"))
+    frequent = {r.word: r.n for r in chosen.orderBy(F.col("n").desc(), "word").limit(words).collect()}
+    sums = listed.groupBy(_ending().alias("ending")).agg(F.sum("n").alias("n"))
     rows = sums.orderBy(F.col("n").desc(), "ending").limit(endings).collect()
     return frequent, tuple(dict.fromkeys([*frequent, *(r.ending for r in rows)]))
 
@@ -409,15 +416,12 @@ def score_texts(
     spark, folder = docs.sparkSession, scratch_folder(docs.sparkSession)
     runs = _code(docs, F.coalesce(held_out, F.lit(False)), folder)
     listed = runs.select(F.explode(F.arrays_zip("words", "counts")).alias("_e"))
-    listed = listed.select("_e.words", "_e.counts").filter(F.col("counts") > 0)
-    totals = listed.groupBy(F.col("words").alias("word")).agg(F.sum("counts").alias("n"))
-    totals.write.parquet(f"{folder}/counts")
-    counts = spark.read.parquet(f"{folder}/counts")
+    listed = listed.select(F.col("_e.words").alias("word"), F.col("_e.counts").alias("n")).filter("n > 0")
     learned = F.size(F.filter("held", lambda x: ~x))
     sums = runs.agg(F.sum(learned), F.count("*"), F.sum(F.size("words"))).first()
     texts, run_count, rows = (int(x or 0) for x in sums)
 
-    frequent, types = _types(counts, words, endings)
+    frequent, types = _types(listed, words, endings)
     coded = runs.select("held", "bounds", "codes", "words")
     pairs = _pairs(coded, _type_kinds(types), len(types) + 2)
     of = exchange(pairs, classes)

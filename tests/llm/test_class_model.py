@@ -174,3 +174,15 @@ def test_affinity_is_the_slope_of_mutual_information():
         # The same -1 for every class.
         assert math.isclose(change, slope[before, c] - 1, abs_tol=1e-4)
         assert slope[4 + c, before] == slope[before, c]
+
+
+def test_frequent_words_are_added_up_by_names(spark):
+    """No word goes through the shuffle of all words, and what comes out are the words' sums."""
+    rows = [(f"w{i % 50}ing" if i % 3 else f"v{i % 40}ed", i % 7 + 1) for i in range(600)]
+    frequent, types = class_model._types(spark.createDataFrame(rows, "word string, n long"), 20, 3)
+    sums = {}
+    for word, n in rows:
+        sums[word] = sums.get(word, 0) + n
+    assert len(frequent) == 20 and all(sums[word] == n for word, n in frequent.items())
+    assert sorted(frequent.values()) == sorted(sums.values())[-20:] and {"*ing", "*ed"} & set(types) == {"*ing"}
+    assert types[:20] == tuple(sorted(frequent, key=lambda word: (-sums[word], word)))
