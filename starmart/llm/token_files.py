@@ -48,6 +48,8 @@ _DOCUMENTS = T.StructType(
     ]
 )
 _BATCH_BYTES = 16 << 20
+# Frames of a file that are read together.
+_READ_BYTES = 4 << 20
 
 
 def _place(folder: str) -> tuple[fs.FileSystem, str]:
@@ -175,14 +177,17 @@ def write_token_files(
         compress = zstandard.ZstdCompressor(level=level, dict_data=known).compress
         writer, rows = None, []
         for batch in batches:
-            keys = batch.column(0)
+            keys = batch.column(0).to_pylist()
             for low, ids, offsets in encoder(tokenizer).documents(batch.column(1), end_id):
-                for i, (a, b) in enumerate(zip(offsets, offsets[1:])):
+                # Ids of a slice are narrowed at once, unless some need four bytes.
+                narrow = memoryview(_pack(ids)[1]) if not len(ids) or ids.max() < 1 << 16 else None
+                bounds = offsets.tolist()
+                for key, a, b in zip(keys[low:], bounds, bounds[1:]):
                     if writer is None:
                         name = f"tokens-{part:06d}-{len(rows):04d}.bin"
                         writer = _Writer(folder, name, digest)
-                    width, data = _pack(ids[a:b])
-                    writer.add(keys[low + i].as_py(), int(b - a), width, compress(data))
+                    width, data = (2, narrow[2 * a : 2 * b]) if narrow is not None else _pack(ids[a:b])
+                    writer.add(key, b - a, width, compress(data))
                     if writer.full(bytes_per_file):
                         rows.append(writer.close(part, len(rows)))
                         writer = None
@@ -240,18 +245,23 @@ def _read_file(
         decompress = zstandard.ZstdDecompressor(dict_data=known).decompress
         begins = np.concatenate(([len(head)], index["end"][:-1])) if count else []
         starts = start + np.cumsum(index["tokens"]) - index["tokens"]
-        rows = range(count)
+        rows = slice(None)
         if wanted is not None:
             rows = np.flatnonzero(
                 (index["null"] == 0) & np.isin(index["doc_id"], np.array(list(wanted), "i8"))
             )
-        for i in rows:
-            row = index[i]
-            file.seek(int(begins[i]))
-            data = decompress(file.read(int(row["end"] - begins[i])))
-            ids = np.frombuffer(data, dtype=f"<u{row['width']}").astype("<u4").tobytes()
-            key = None if row["null"] else int(row["doc_id"])
-            yield key, int(starts[i]), int(row["tokens"]), ids
+        chosen = index[rows] if wanted is not None else index
+        columns = [chosen[name].tolist() for name in ("doc_id", "null", "tokens", "width", "end")]
+        places = zip(np.asarray(begins)[rows].tolist(), starts[rows].tolist()) if count else ()
+        buffer, at = b"", 0
+        for (begin, before), (key, null, tokens, width, end) in zip(places, zip(*columns)):
+            if not at <= begin <= end <= at + len(buffer):
+                ahead = max(end - begin, min(_READ_BYTES, int(index["end"][-1]) - begin) if wanted is None else 0)
+                file.seek(begin)
+                buffer, at = file.read(ahead), begin
+            data = decompress(memoryview(buffer)[begin - at : end - at])
+            ids = np.frombuffer(data, dtype=f"<u{width}").astype("<u4").tobytes()
+            yield None if null else key, before, tokens, ids
 
 
 def read_token_files(
